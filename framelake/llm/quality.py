@@ -48,9 +48,12 @@ def repeated_words(words: Column) -> Column:
 
         return F.when(F.size(F.array_distinct(grams)) == F.size(grams), F.lit(0)).otherwise(bound_to(by_text, marked))
 
-    last = F.size(words) - 2
-    grams = F.filter(F.transform(words, lambda w, i: F.when(i < last, F.concat_ws(" ", w, F.get(words, i + 1), F.get(words, i + 2)))), lambda g: g.isNotNull())
-    return F.when(last < 2, F.lit(0)).otherwise(bound_to(grams, covered))
+    def counted(words: Column) -> Column:
+        last = F.size(words) - 2
+        grams = F.filter(F.transform(words, lambda w, i: F.when(i < last, F.concat_ws(" ", w, F.get(words, i + 1), F.get(words, i + 2)))), lambda g: g.isNotNull())
+        return F.when(last < 2, F.lit(0)).otherwise(bound_to(grams, covered))
+
+    return bound_to(words, counted)
 
 
 def line_fails(line: Column, max_symbols: float = 0.1, separators: int = 3) -> Column:
