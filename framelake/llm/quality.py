@@ -15,9 +15,10 @@ from framelake.llm.common import WHITE, WORD
 SYMBOLS = "#*$%&|<>"
 #: Regular expressions that Java and RE2 read alike; they look at one line.
 TERMINAL = r"[.!?:;\x{2026}\x{3002}\x{FF01}\x{FF1F}][\"'\x{201D}\x{2019}\x{00BB})\]]*[ \x09-\x0D]*$"
+SEPARATORS = r"[|\x{2022}\x{00B7}\x{00BB}>]"
 BOILERPLATE = (
-    r"cookie|javascript|privacy policy|terms of (use|service)|all rights reserved|lorem ipsum|log ?in|sign (in|up)"
-    r"|subscribe|newsletter|read more|click here|skip to|powered by|back to top|share (this|on)"
+    r"(^|[^a-z])(cookie|javascript|privacy policy|terms of (use|service)|all rights reserved|lorem ipsum|log ?in|sign (in|up)"
+    r"|subscribe|newsletter|read more|click here|skip to|powered by|back to top|share (this|on))"
 )
 
 
@@ -58,14 +59,13 @@ def repeated_words(words: Column) -> Column:
 
 def line_fails(line: Column, max_symbols: float = 0.1, separators: int = 3) -> Column:
     """A line without closing punctuation, of navigation (many separators) or with a boilerplate phrase; a line without a word never fails."""
-    size = F.length(squeezed(line))
-    bare = F.length(F.translate(line, "|»•·>", ""))
-    return (size > 0) & (
-        ~line.rlike(TERMINAL)
-        | (F.length(line) - bare >= separators)
-        | ((F.length(line) - F.length(without_symbols(line))) > F.lit(max_symbols) * size)
-        | F.lower(line).rlike(BOILERPLATE)
-    )
+    signs = F.length(line) - F.length(without_symbols(line))
+    return F.when(
+        line.rlike(TERMINAL),
+        (line.rlike("[" + SYMBOLS + "]") & (signs > F.lit(max_symbols) * F.length(squeezed(line))))
+        | line.rlike(SEPARATORS + f"(.*{SEPARATORS}){{{separators - 1}}}")
+        | F.lower(line).rlike(BOILERPLATE),
+    ).otherwise(line.rlike(r"[^\x20\x09-\x0D]"))
 
 
 def clean_lines(docs: DataFrame, text: str = "text", min_words: int = 50, max_repeat: float = 0.5, max_lost: float = 0.5) -> DataFrame:
@@ -115,7 +115,7 @@ l AS (SELECT rid, unnest(string_split(t, chr(10))) AS line FROM d),
 lj AS (SELECT rid, line, length(regexp_replace(line, '[\x20\x09-\x0D]', '', 'g')) AS n FROM l),
 lf AS (SELECT rid, line, n, n > 0 AND (
          NOT regexp_matches(line, '{TERMINAL.replace("'", "''")}')
-         OR length(line) - length(translate(line, '|{chr(0xBB)}{chr(0x2022)}{chr(0xB7)}>', '')) >= 3
+         OR regexp_matches(line, '{SEPARATORS}(.*{SEPARATORS}){{2}}')
          OR length(line) - length(translate(line, '{SYMBOLS}', '')) > 0.1 * n
          OR regexp_matches(lower(line), '{BOILERPLATE}')) AS bad FROM lj),
 ls AS (SELECT rid, sum(CASE WHEN bad THEN 0 ELSE n END) AS left_chars,
