@@ -1,10 +1,66 @@
-"""A training-text pipeline over documents: each stage's table is written and read again as the next stage's input."""
+"""A training-text pipeline over documents: language, near copies, repeated passages, benchmark leaks, tokens.
+
+Each stage's table is written as Parquet and read again as the next stage's docs, so a lost executor costs a stage at
+most, and every stage judges all that its predecessor kept."""
 
 from __future__ import annotations
 
-STAGES = []
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from framelake.llm import bpe, decontam, langid, neardup, substring
+from framelake.llm.common import new_folder, written
+
+
+def _by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps texts with a letter whose main language has at least half of the words; lang becomes the prediction. Models come from all labelled rows of docs."""
+    model = langid.fit(docs.select("text", "lang"))
+    out = langid.predict(docs, model).where((F.col("lang_pred") != "und") & (F.col("score") >= 0.5))
+    return out.withColumn("lang", F.col("lang_pred")).select(docs.columns)
+
+
+def _one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document of least id of each near-duplicate class; of rows that repeat an id, one. Rows without an id can't be told apart by it, and stay."""
+    classes = neardup.classes(docs)
+    chosen = classes.where("doc_id = class_id").select("doc_id").distinct()
+    kept = docs.join(chosen, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.unionByName(docs.where("doc_id IS NULL")).select(docs.columns)
+
+
+def _without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cuts passages of 35 words or more that occur elsewhere; n_chars follows. Every document stays."""
+    return substring.remove(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+
+
+def _without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents in which a benchmark item occurs."""
+    found = decontam.leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id").distinct()
+    return docs.join(written(found, "leaks"), "doc_id", "left_anti").select(docs.columns)
+
+
+def _tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The tokens of every document that is left: (doc_id, n_tokens, ids_sha256, decoded_sha256)."""
+    return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+STAGES = [
+    ("language", _by_language),
+    ("near_duplicates", _one_of_each_class),
+    ("repeated_passages", _without_repeats),
+    ("benchmark_leaks", _without_leaks),
+    ("tokens", _tokens),
+]
+
+#: Mixture inference, sketches, automata and BPE can't be put into SQL; the stages are tested against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        folder = new_folder(spark, f"pipeline-{name}")
+        stage(spark, docs, sf_dir).write.parquet(folder)
+        docs = spark.read.parquet(folder)
+    return docs

@@ -92,14 +92,14 @@ def word_hashes(text: str | bytes) -> np.ndarray:
 
 
 def gram_hashes(words: np.ndarray, k: int) -> np.ndarray:
-    """Hashes of all runs of k words, from their hashes."""
+    """Hashes of all runs of k words, from their hashes, by prefix sums as above."""
     n = len(words) - k + 1
     if n < 1:
         return np.empty(0, np.uint64)
-    out = np.zeros(n, np.uint64)
-    for i in range(k):
-        out = out * np.uint64(_BASE) + words[i : i + n]
-    return mix(out)
+    up, down = _power_tables(len(words) + 1)
+    sums = np.zeros(len(words) + 1, np.uint64)
+    np.cumsum(words * up[: len(words)], out=sums[1:])
+    return mix((sums[k:] - sums[:-k]) * down[:n])
 
 
 def connected(edges: DataFrame, a: str, b: str, name: str) -> DataFrame:
