@@ -354,17 +354,19 @@ def _(t):
       first_value(CASE WHEN detected THEN frame_idx END IGNORE NULLS) OVER v AS nf, first_value(CASE WHEN detected THEN x END IGNORE NULLS) OVER v AS nx, max(frame_idx) OVER (PARTITION BY clip_id) AS hi FROM v_frames
       WINDOW w AS (PARTITION BY clip_id ORDER BY frame_idx ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), v AS (PARTITION BY clip_id ORDER BY frame_idx ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
     g AS (SELECT *, coalesce(pf + 1, 0) AS st, coalesce(nf, hi + 1) AS en FROM s),
-    a AS (SELECT clip_id, frame_idx, valid, px, nx, CASE WHEN valid THEN x END AS x0, en - st AS n, CASE WHEN pf IS NOT NULL AND nf IS NOT NULL THEN (frame_idx - st + 1)::DOUBLE / (en - st + 1)
-      WHEN pf IS NOT NULL THEN least(1.0::DOUBLE, (frame_idx - st + 1)::DOUBLE / 31) ELSE least(1.0::DOUBLE, (en - frame_idx)::DOUBLE / 31) END AS t, pf, nf FROM g)
-    SELECT clip_id, frame_idx, round(CASE WHEN valid THEN x0 / 100 WHEN n > 30 OR (pf IS NULL AND nf IS NULL) THEN 0 ELSE CASE WHEN pf IS NULL THEN 0 ELSE px / 100 END * (1 - t) + CASE WHEN pf IS NULL THEN nx / 100 * (1-t) + nx / 100 * (2*t-1) WHEN nf IS NULL THEN 0 ELSE nx / 100 * t END END, 8) AS filled FROM a WHERE pf IS NOT NULL OR nf IS NULL""",
+a AS (SELECT clip_id, frame_idx, valid, x / 1000 AS x0, coalesce(px, 0) / 2000 AS a, coalesce(nx, 0) / 2000 AS b, en - st AS n, CASE WHEN pf IS NOT NULL AND nf IS NOT NULL THEN (frame_idx - st + 1)::DOUBLE / (en - st + 1)
+      WHEN pf IS NOT NULL THEN least(1.0::DOUBLE, (frame_idx - st + 1)::DOUBLE / 31) ELSE least(1.0::DOUBLE, (en - frame_idx)::DOUBLE / 31) END AS t, pf, nf FROM g),
+    d AS (SELECT *, least(abs(cos(a) * cos(b) + sin(a) * sin(b)), 1.0::DOUBLE) AS d FROM a),
+    k AS (SELECT *, CASE WHEN d > 0.9995::DOUBLE THEN 1 - t ELSE sin((1 - t) * acos(d)) / sin(acos(d)) END AS ka, CASE WHEN d > 0.9995::DOUBLE THEN t ELSE sin(t * acos(d)) / sin(acos(d)) END AS kb FROM d)
+    SELECT clip_id, frame_idx, round(CASE WHEN valid THEN x0 WHEN n > 30 OR (pf IS NULL AND nf IS NULL) THEN 0 ELSE 2 * atan2(abs(ka * sin(a) + kb * sin(b)), ka * cos(a) + kb * cos(b)) END, 11) AS filled FROM k WHERE pf IS NOT NULL""",
 )
 def _(t):
-    # Rotations about one axis: slerp between them is linear in the angle, which SQL can follow.
-    f = t.v_frames.select("clip_id", "frame_idx", F.col("detected").alias("valid"), F.array(F.col("x") / 100, F.lit(0.0), F.lit(0.0)).alias("pose"))
+    # Rotations about one axis, so that SQL can follow.
+    f = t.v_frames.select("clip_id", "frame_idx", F.col("detected").alias("valid"), F.array(F.col("x") / 1000, F.lit(0.0), F.lit(0.0)).alias("pose"))
     rest = F.array(F.lit(0.0), F.lit(0.0), F.lit(0.0))
     filled = O.fill_gaps(f, "pose", "valid", rest, lambda a, b, u: R.slerp_pose(a, b, u, joints=1))
     first = F.min(F.when(F.col("valid"), F.col("frame_idx"))).over(Window.partitionBy("clip_id"))
-    return filled.withColumn("_first", first).where("_first IS NULL OR frame_idx >= _first").select("clip_id", "frame_idx", F.round(F.col("filled")[0], 8).alias("filled"))
+    return filled.withColumn("_first", first).where("frame_idx >= _first").select("clip_id", "frame_idx", F.round(F.col("filled")[0], 11).alias("filled"))
 
 
 @query("win_velocity", "SELECT clip_id, frame_idx, round(coalesce(list_sum(list_transform(range(1, 64), lambda i: abs(pose[i]::DOUBLE - p[i]::DOUBLE))), 0) * CASE WHEN left_valid THEN 1 ELSE 0 END, 5) AS velocity FROM (SELECT *, lag(pose) OVER (PARTITION BY clip_id ORDER BY frame_idx) AS p FROM v_poses) q")
