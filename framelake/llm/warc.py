@@ -93,7 +93,7 @@ def write(pages: DataFrame, folder: str, date: str = "2024-01-01T00:00:00Z", lea
         for b in batches:
             for page_id, url, html, size, digest, refers_to in b[["page_id", "url", "html", "payload_bytes", "payload_digest", "refers_to"]].itertuples(index=False):
                 if out is None:
-                    out = at.open_output_stream(f"{folder_in}/{name}")
+                    out = at.open_output_stream(f"{folder_in}/{name}", compression=None)
                     out.write(struct.pack("<II", DICT_FRAME, len(raw)) + raw)
                 page_id = None if pd.isna(page_id) else int(page_id)
                 revisit = not pd.isna(refers_to)
@@ -149,7 +149,7 @@ def read(manifest: DataFrame) -> DataFrame:
             for path in b["path"]:
                 fs, at = local_path(path)
                 rows = []
-                with fs.open_input_stream(at) as f:
+                with fs.open_input_stream(at, compression=None) as f:
                     for h, block in records(f):
                         digest = h["warc-payload-digest"].removeprefix("sha1:")
                         size = int(h["x-payload-length"])
