@@ -126,17 +126,17 @@ def _(t):
 
 def _overlay_sql(channel: str) -> str:
     return f"""SELECT b.clip_id, b.frame_idx, coalesce(g.{channel}, CAST(0 AS DOUBLE)) AS {channel}, coalesce(NOT g.stale, false) AS face_valid
-    FROM v_body b LEFT JOIN v_face g ON b.clip_id = g.clip_id AND b.frame_idx = g.timestep_id WHERE b.frame_idx < 200"""
+    FROM v_body b LEFT JOIN v_face g ON b.clip_id = g.clip_id AND b.frame_idx = g.timestep_id"""
 
 
 @query("join_face_overlay", _overlay_sql("jaw"))
 def _(t):
-    return O.fuse(t.v_body.where("frame_idx < 200").select("clip_id", "frame_idx"), face=t.v_face.select("clip_id", "timestep_id", "stale", "jaw"))
+    return O.fuse(t.v_body.select("clip_id", "frame_idx"), face=t.v_face.select("clip_id", "timestep_id", "stale", "jaw"))
 
 
 @query("join_gaze_overlay", _overlay_sql("blink"))
 def _(t):
-    return O.fuse(t.v_body.where("frame_idx < 200").select("clip_id", "frame_idx"), face=t.v_face.select("clip_id", "timestep_id", "stale", "blink"))
+    return O.fuse(t.v_body.select("clip_id", "frame_idx"), face=t.v_face.select("clip_id", "timestep_id", "stale", "blink"))
 
 
 _DEPTH = """SELECT d.clip_id, d.frame_idx, d.det_idx, d.is_right, d.kp_count, d.kp_conf, d.cam_x, d.cam_y, CASE WHEN d.det_idx % 29 = 0 THEN CAST(0 AS DOUBLE) ELSE d.cam_z END AS cam_z, b.transl_z AS wrist_z,
@@ -231,11 +231,11 @@ def _(t):
     return eye_pose(faces, points).select(*k, F.round("rx", 7).alias("rx"), F.round("ry", 7).alias("ry"))
 
 
-@query("join_dyad_pairs", "SELECT a.session, a.condition, a.clip_id AS first_clip, b.clip_id AS second_clip, a.num_frames = b.num_frames AS same_length FROM v_clips a JOIN v_clips b ON a.session = b.session AND a.condition = b.condition AND b.clip_id > a.clip_id AND b.clip_id <= a.clip_id + 45")
+@query("join_dyad_pairs", "SELECT a.session, a.condition, a.clip_id AS first_clip, b.clip_id AS second_clip, a.num_frames = b.num_frames AS same_length FROM v_clips a JOIN v_clips b ON a.session = b.session AND a.condition = b.condition AND b.clip_id > a.clip_id")
 def _(t):
     from framelake.operators.compare import dyads
 
-    return dyads(t.v_clips).where("second_clip <= first_clip + 45")
+    return dyads(t.v_clips)
 
 
 @query("join_nearest_torso", "SELECT clip_id, frame_idx, point_id, surface_id FROM (SELECT p.clip_id, p.frame_idx, p.det_idx AS point_id, s.track_id AS surface_id, row_number() OVER (PARTITION BY p.clip_id, p.frame_idx, p.det_idx ORDER BY (s.x1 - p.cam_x) * (s.x1 - p.cam_x) + (s.y1 - p.cam_y) * (s.y1 - p.cam_y) + (s.x2 - p.cam_z) * (s.x2 - p.cam_z), s.track_id) AS rn FROM v_detections p JOIN v_tracks s ON p.clip_id = s.clip_id AND p.frame_idx = s.frame_idx) q WHERE rn = 1")
@@ -358,15 +358,14 @@ a AS (SELECT clip_id, frame_idx, valid, x / 1000 AS x0, coalesce(px, 0) / 2000 A
       WHEN pf IS NOT NULL THEN least(1.0::DOUBLE, (frame_idx - st + 1)::DOUBLE / 31) ELSE least(1.0::DOUBLE, (en - frame_idx)::DOUBLE / 31) END AS t, pf, nf FROM g),
     d AS (SELECT *, least(abs(cos(a) * cos(b) + sin(a) * sin(b)), 1.0::DOUBLE) AS d FROM a),
     k AS (SELECT *, CASE WHEN d > 0.9995::DOUBLE THEN 1 - t ELSE sin((1 - t) * acos(d)) / sin(acos(d)) END AS ka, CASE WHEN d > 0.9995::DOUBLE THEN t ELSE sin(t * acos(d)) / sin(acos(d)) END AS kb FROM d)
-    SELECT clip_id, frame_idx, round(CASE WHEN valid THEN x0 WHEN n > 30 OR (pf IS NULL AND nf IS NULL) THEN 0 ELSE 2 * atan2(abs(ka * sin(a) + kb * sin(b)), ka * cos(a) + kb * cos(b)) END, 11) AS filled FROM k WHERE pf IS NOT NULL""",
+    SELECT clip_id, frame_idx, round(CASE WHEN valid THEN x0 WHEN n > 30 OR (pf IS NULL AND nf IS NULL) THEN 0 ELSE 2 * atan2(abs(ka * sin(a) + kb * sin(b)), ka * cos(a) + kb * cos(b)) END, 11) AS filled FROM k""",
 )
 def _(t):
     # Rotations about one axis, so that SQL can follow.
     f = t.v_frames.select("clip_id", "frame_idx", F.col("detected").alias("valid"), F.array(F.col("x") / 1000, F.lit(0.0), F.lit(0.0)).alias("pose"))
     rest = F.array(F.lit(0.0), F.lit(0.0), F.lit(0.0))
     filled = O.fill_gaps(f, "pose", "valid", rest, lambda a, b, u: R.slerp_pose(a, b, u, joints=1))
-    first = F.min(F.when(F.col("valid"), F.col("frame_idx"))).over(Window.partitionBy("clip_id"))
-    return filled.withColumn("_first", first).where("frame_idx >= _first").select("clip_id", "frame_idx", F.round(F.col("filled")[0], 11).alias("filled"))
+    return filled.select("clip_id", "frame_idx", F.round(F.col("filled")[0], 11).alias("filled"))
 
 
 @query("win_velocity", "SELECT clip_id, frame_idx, round(coalesce(list_sum(list_transform(range(1, 64), lambda i: abs(pose[i]::DOUBLE - p[i]::DOUBLE))), 0) * CASE WHEN left_valid THEN 1 ELSE 0 END, 5) AS velocity FROM (SELECT *, lag(pose) OVER (PARTITION BY clip_id ORDER BY frame_idx) AS p FROM v_poses) q")
@@ -381,13 +380,13 @@ def _velocity(t):
 _SCORES = """WITH v AS (SELECT clip_id, frame_idx, abs(x - coalesce(lag(x) OVER (PARTITION BY clip_id ORDER BY frame_idx), x)) AS v FROM v_frames),
   s AS (SELECT clip_id, frame_idx - 9 AS start, avg(v) OVER (PARTITION BY clip_id ORDER BY frame_idx ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS score FROM v),
   k AS (SELECT *, round(score, 9) AS r FROM s WHERE start >= 0)"""
-_BEST = _SCORES + " SELECT clip_id, start, CAST(10 AS BIGINT) AS n, round(score, 6) AS score, round(m, 6) AS mean_score FROM (SELECT *, avg(score) OVER (PARTITION BY clip_id) AS m, row_number() OVER (PARTITION BY clip_id ORDER BY r DESC, start) AS rn FROM k) q WHERE rn = 1"
+_BEST = _SCORES + " SELECT clip_id, start, CAST(10 AS BIGINT) AS n, round(score, 8) AS score, round(m, 8) AS mean_score FROM (SELECT *, avg(score) OVER (PARTITION BY clip_id) AS m, row_number() OVER (PARTITION BY clip_id ORDER BY r DESC, start) AS rn FROM k) q WHERE rn = 1"
 
 
 def _best(t):
     v = M.velocity(t.v_frames.withColumn("a", F.array("x")), F.col("a"), F.lit(True))
     best = M.best_window(M.window_scores(v, F.lit(10).cast("long")))
-    return best.select("clip_id", "start", "n", F.round("score", 6).alias("score"), F.round("mean_score", 6).alias("mean_score"))
+    return best.select("clip_id", "start", "n", F.round("score", 8).alias("score"), F.round("mean_score", 8).alias("mean_score"))
 
 
 query("win_motion_score", _BEST)(_best)
@@ -397,7 +396,7 @@ query("win_last_wins", f"SELECT clip_id, frame_idx, is_right, det_idx FROM ({_LA
 
 @query(
     "win_one_euro",
-    """WITH RECURSIVE f AS (SELECT clip_id, frame_idx, x FROM v_frames WHERE clip_id % 5 = 0),
+    """WITH RECURSIVE f AS (SELECT clip_id, frame_idx, x FROM v_frames),
     r AS (SELECT clip_id, frame_idx, x, x AS y, 0.0::DOUBLE AS dx FROM f WHERE frame_idx = 0 UNION ALL
       SELECT f.clip_id, f.frame_idx, f.x, a * f.x + (1 - a) * r.y, d FROM r JOIN f ON f.clip_id = r.clip_id AND f.frame_idx = r.frame_idx + 1,
       LATERAL (SELECT (f.x - r.x) * 30 / (1 + 30 / (2 * pi())) + (1 - 1 / (1 + 30 / (2 * pi()))) * r.dx AS d) q, LATERAL (SELECT 1 / (1 + 30 / (2 * pi() * (1 + 0.5 * abs(d)))) AS a) p)
@@ -406,7 +405,7 @@ query("win_last_wins", f"SELECT clip_id, frame_idx, is_right, det_idx FROM ({_LA
 def _(t):
     from framelake.operators.smoothing import one_euro
 
-    return one_euro(t.v_frames.where("clip_id % 5 = 0"), "x").select("clip_id", "frame_idx", F.round("smooth", 5).alias("smooth"))
+    return one_euro(t.v_frames, "x").select("clip_id", "frame_idx", F.round("smooth", 5).alias("smooth"))
 
 
 @query("win_second_diff", "SELECT clip_id, round(coalesce(sum((c - 2 * x + p) * (c - 2 * x + p)), 0), 4) AS energy FROM (SELECT clip_id, x, lag(x) OVER w AS p, lead(x) OVER w AS c FROM v_frames WHERE valid WINDOW w AS (PARTITION BY clip_id ORDER BY frame_idx)) q GROUP BY clip_id")
