@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Characters of items that a block holds, but for a last item that goes beyond.
-BLOCK_CHARS = 8_000_000
+#: Characters of items that a block holds, but for a last item that goes beyond; an automaton takes some 60 bytes for each.
+BLOCK_CHARS = 2_000_000
 _WORDS = re.compile(r"\w+").findall
 
 
