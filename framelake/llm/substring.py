@@ -5,8 +5,10 @@
 2. Recurring windows are counted by hash, with the words that follow. Windows that are always followed alike and equally
    often are chained into one passage: each recurring window lies in exactly one passage, and wherever its first window occurs, the
    whole passage does.
-3. Passages are dealt into shards of bounded size. For each shard an automaton over words is compiled, and the documents with
-   anchors that recur are streamed through it; matches are exact, by words and not by hashes.
+3. Passages, cut where their anchor changes, are dealt into shards by anchor, and so are the documents' stretches around anchors that
+   recur. A task compiles its shard's passages into an automaton over words and streams the shard's stretches through
+   it; matches are exact, by words and not by hashes. Shards with many stretches are salted: several tasks compile the same
+   automaton and share the stretches. So each stretch meets one automaton, and work grows with the text.
 
 Equal texts go through all this once, weighted by their number."""
 
@@ -27,7 +29,9 @@ from framelake.llm.common import WORD_RE, gram_hashes, new_folder, word_hashes,
 WINDOW = 35
 ANCHOR = 8
 #: Words of passages that one automaton holds, about; a worker has one at a time.
-SHARD_WORDS = 800_000
+SHARD_WORDS = 400_000
+#: A shard with more stretches than this, and than twice the mean, is shared by several tasks.
+SHARD_STRETCHES = 2_000
 
 _SPANS = "array<struct<a:int,b:int>>"
 
@@ -41,18 +45,16 @@ def _digest(words: list[str]) -> bytes:
 
 
 def anchors_of(words: np.ndarray, window: int = WINDOW, k: int = ANCHOR) -> tuple[np.ndarray, np.ndarray]:
-    """(positions, hashes) of the anchors: in each window, the k-gram of least hash, leftmost of equals."""
+    """For each window the place of its anchor, the k-gram of least hash in it, leftmost of equals; and all k-grams' hashes."""
     grams = gram_hashes(words, k)
     n = len(words) - window + 1
     if n < 1:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
-    wide = window - k + 1
+        return np.empty(0, np.int64), grams
     at = np.empty(n, np.int64)
-    view = np.lib.stride_tricks.sliding_window_view(grams, wide)
+    view = np.lib.stride_tricks.sliding_window_view(grams, window - k + 1)
     for a in range(0, n, 1 << 15):
         at[a : a + (1 << 15)] = view[a : a + (1 << 15)].argmin(axis=1)
-    at = np.unique(at + np.arange(n))
-    return at, grams[at]
+    return at + np.arange(n), grams
 
 
 def _arrow_map(df: DataFrame, rows_of, schema: T.StructType) -> DataFrame:
@@ -83,27 +85,33 @@ def features(docs: DataFrame, key: str, text: str, window: int) -> DataFrame:
     def rows_of(k, t):
         words = words_of(t)
         joined = " ".join(words).encode()
-        at, anchor = anchors_of(word_hashes(joined), window) if len(words) >= window else (np.empty(0, np.int64), np.empty(0, np.uint64))
-        yield k, hashlib.sha256(joined).digest(), len(words), at.tolist(), anchor.view(np.int64).tolist()
+        if len(words) >= window:
+            at, grams = anchors_of(word_hashes(joined), window)
+            at = np.unique(at)
+            yield k, hashlib.sha256(joined).digest(), len(words), at.astype(np.int32), grams[at].view(np.int64)
+        else:
+            yield k, hashlib.sha256(joined).digest(), len(words), [], []
 
     return _arrow_map(docs.select(key, text), rows_of, schema)
 
 
 def involved(docs: DataFrame, each: DataFrame, key: str, text: str) -> DataFrame:
-    """(sid, n, text, at): each different text that has an anchor which recurs in the corpus, how many rows have it, and those anchors' places."""
+    """(rid, sid, n, text, at): each different text that has an anchor which recurs in the corpus, how many rows have it, and those anchors' places."""
     order = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), "at", "anchor")
     once = each.where(F.size("at") > 0).groupBy("sid").agg(F.min(order).alias("r"), F.count("*").alias("n"))
-    once = written(once.select("sid", "n", F.col("r.key").alias("key"), "r.at", "r.anchor"), "repeats-texts")
-    pairs = once.select("sid", "n", "key", F.explode(F.arrays_zip("at", "anchor")).alias("x")).select("sid", "n", "key", F.col("x.at").alias("at"), F.col("x.anchor").alias("anchor"))
+    # Written before it is used again, so the numbers stay.
+    once = written(once.select(F.monotonically_increasing_id().alias("rid"), "sid", "n", F.col("r.key").alias("key"), "r.at", "r.anchor"), "repeats-texts")
+    pairs = once.select("rid", "n", F.explode(F.arrays_zip("at", "anchor")).alias("x")).select("rid", "n", F.col("x.at").alias("at"), F.col("x.anchor").alias("anchor"))
     common = pairs.groupBy("anchor").agg(F.sum("n").alias("total")).where("total > 1").select("anchor")
-    marked = pairs.join(common, "anchor", "left_semi").groupBy("sid").agg(F.first("n").alias("n"), F.first("key").alias("key"), F.collect_list("at").alias("at"))
+    marked = pairs.select("rid", "at", "anchor").join(common, "anchor", "left_semi").groupBy("rid").agg(F.collect_list("at").alias("at"))
+    marked = marked.join(once.select("rid", "sid", "n", "key"), "rid")
     texts = docs.select(F.col(key).alias("_key"), F.col(text).alias("text"))
-    met = texts.join(marked, F.col("_key").eqNullSafe(F.col("key"))).select("sid", "n", "text", "at")
+    met = texts.join(marked, F.col("_key").eqNullSafe(F.col("key"))).select("rid", "sid", "n", "text", "at")
     schema = met.schema
 
-    def rows_of(sid, n, t, at):
+    def rows_of(rid, sid, n, t, at):
         if _digest(words_of(t)) == sid:  # a key may have several texts
-            yield sid, n, t, at
+            yield rid, sid, n, t, at
 
     folder = new_folder(docs.sparkSession, "repeats-involved")
     _arrow_map(met, rows_of, schema).write.option("compression", "zstd").parquet(folder)
@@ -111,16 +119,16 @@ def involved(docs: DataFrame, each: DataFrame, key: str, text: str) -> DataFrame
 
 
 def recurring(texts: DataFrame, window: int) -> DataFrame:
-    """(sid, at, n, alike): for each window hash that occurs twice or more, one place of it, its number, and whether the same word follows everywhere."""
+    """(rid, at, n, alike): for each window hash that occurs twice or more, one place of it, its number, and whether the same word follows everywhere."""
     reach = window - ANCHOR
-    schema = T.StructType().add("hash", "long").add("n", "long").add("sid", "binary").add("at", T.IntegerType()).add("follows", "long")
+    schema = T.StructType().add("hash", "long").add("n", "long").add("rid", "long").add("at", T.IntegerType()).add("follows", "long")
     from pyspark.sql.pandas.types import to_arrow_schema
 
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for sid, n, t, at in zip(*(b.column(c) for c in ("sid", "n", "text", "at")), strict=True):
+            for rid, n, t, at in zip(*(b.column(c) for c in ("rid", "n", "text", "at")), strict=True):
                 words = word_hashes(" ".join(words_of(t.as_py())))
                 hashes = gram_hashes(words, window)
                 edge = np.zeros(len(hashes) + 1, np.int64)
@@ -135,30 +143,57 @@ def recurring(texts: DataFrame, window: int) -> DataFrame:
                     part = slice(a, a + (1 << 16))
                     size = len(here[part])
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(hashes[here[part]].view(np.int64)), pa.array(np.full(size, n.as_py())), pa.array([sid.as_py()] * size, pa.binary()), pa.array(here[part].astype(np.int32)), follows[part]], schema=arrow
+                        [pa.array(hashes[here[part]].view(np.int64)), pa.array(np.full(size, n.as_py())), pa.array(np.full(size, rid.as_py())), pa.array(here[part].astype(np.int32)), follows[part]], schema=arrow
                     )
 
-    each = texts.select("sid", "n", "text", "at").mapInArrow(run, schema)
-    met = each.groupBy("hash").agg(F.sum("n").alias("n"), F.min(F.struct("sid", "at")).alias("r"), F.min("follows").alias("low"), F.max("follows").alias("high"), F.count("follows").alias("followed"), F.count("*").alias("rows"))
-    return met.where("n > 1").select("r.sid", "r.at", "n", F.coalesce(F.expr("low = high AND followed = rows"), F.lit(False)).alias("alike"))
+    each = texts.select("rid", "n", "text", "at").mapInArrow(run, schema)
+    # Of a window's places one is chosen by hash, in fixed-width buffers, so that counts are combined in hash maps before the shuffle.
+    order = F.xxhash64("rid", "at")
+    met = each.groupBy("hash").agg(F.sum("n").alias("n"), F.min_by("rid", order).alias("rid"), F.min_by("at", order).alias("at"), F.min("follows").alias("low"), F.max("follows").alias("high"), F.count("follows").alias("followed"), F.count("*").alias("rows"))
+    return met.where("n > 1").select("rid", "at", "n", F.coalesce(F.expr("low = high AND followed = rows"), F.lit(False)).alias("alike"))
 
 
 def passages(texts: DataFrame, places: DataFrame, window: int) -> DataFrame:
-    """(passage, n_words): the recurring windows' words, chained where they always follow each other."""
-    by_text = places.groupBy("sid").agg(F.collect_list(F.struct("at", "n", "alike")).alias("places"))
-    schema = T.StructType().add("passage", "string").add("n_words", "long")
+    """(anchor, passage, n_words): the recurring windows' words, chained where they always follow each other and have one anchor."""
+    by_text = places.groupBy("rid").agg(F.collect_list(F.struct("at", "n", "alike")).alias("places"))
+    schema = T.StructType().add("anchor", "long").add("passage", "string").add("n_words", "long")
 
-    def rows_of(t, places):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            anchors, found, sizes = [], [], []
+            for t, places in zip(b.column(0), b.column(1), strict=True):
+                words = words_of(t.as_py())
+                anchor_at, grams = anchors_of(word_hashes(" ".join(words)), window)
+                at, n, alike = (places.values.field(k).to_numpy(zero_copy_only=False) for k in range(3))
+                order = np.argsort(at, kind="stable")
+                at, n, alike = at[order], n[order], alike[order].astype(bool)
+                goes_on = alike[:-1] & (at[1:] == at[:-1] + 1) & (n[1:] == n[:-1]) & (anchor_at[at[1:]] == anchor_at[at[:-1]])
+                last = np.append(np.flatnonzero(~goes_on), len(at) - 1)
+                first = np.append(0, last[:-1] + 1)
+                anchors.append(grams[anchor_at[at[first]]].view(np.int64))
+                sizes.append(at[last] - at[first] + window)
+                found += [" ".join(words[x:y]) for x, y in zip(at[first].tolist(), (at[last] + window).tolist(), strict=True)]
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(anchors)), pa.array(found, pa.string()), pa.array(np.concatenate(sizes).astype(np.int64))], ["anchor", "passage", "n_words"])
+
+    return texts.select("rid", "text").join(by_text, "rid").select("text", "places").mapInArrow(run, schema)
+
+
+def stretches(texts: DataFrame, window: int) -> DataFrame:
+    """(anchor, stretch, sid, begin): the words of all windows in a row that share an anchor which recurs, and where they begin."""
+    schema = T.StructType().add("anchor", "long").add("stretch", "string").add("sid", "binary").add("begin", T.IntegerType())
+
+    def rows_of(sid, t, at):
         words = words_of(t)
-        places = sorted((p["at"], p["n"], p["alike"]) for p in places)
-        begin = 0
-        for i, (at, n, alike) in enumerate(places):
-            if i + 1 == len(places) or not (alike and places[i + 1][0] == at + 1 and places[i + 1][1] == n):
-                run = words[places[begin][0] : at + window]
-                yield " ".join(run), len(run)
-                begin = i + 1
+        anchor_at, grams = anchors_of(word_hashes(" ".join(words)), window)
+        begin = np.flatnonzero(np.diff(anchor_at, prepend=-1))
+        end = np.append(begin[1:], len(anchor_at)) + window - 1
+        places = anchor_at[begin]
+        known = np.isin(places, at)
+        for a, b, g in zip(begin[known].tolist(), end[known].tolist(), grams[places[known]].view(np.int64).tolist(), strict=True):
+            yield g, " ".join(words[a:b]), sid, a
 
-    return _arrow_map(texts.join(by_text, "sid").select("text", "places"), rows_of, schema)
+    return _arrow_map(texts.select("sid", "text", "at"), rows_of, schema)
 
 
 class Shard:
@@ -187,39 +222,44 @@ class Shard:
         return out
 
 
-_held: list = [None, None]
-
-
-def _shard(name: str, shared) -> Shard:
-    """The worker's automaton; the last one goes when another shard's turn comes."""
-    if _held[0] != name:
-        _held[:] = [None, None]
-        _held[:] = [name, Shard(shared.value)]
-    return _held[1]
-
-
-def located(texts: DataFrame, found: DataFrame, shard_words: int = SHARD_WORDS) -> DataFrame:
-    """(sid, spans): where passages occur in the texts; shard by shard, so driver and workers hold one shard at a time."""
+def located(texts: DataFrame, found: DataFrame, window: int, shard_words: int = SHARD_WORDS, shard_stretches: int = SHARD_STRETCHES) -> DataFrame:
+    """(sid, spans): where passages occur in the texts."""
     spark = texts.sparkSession
-    schema = T.StructType().add("sid", "binary").add("spans", T.ArrayType(T.StructType().add("a", T.IntegerType()).add("b", T.IntegerType())))
+    span = T.ArrayType(T.StructType().add("a", T.IntegerType()).add("b", T.IntegerType()))
+    schema = T.StructType().add("sid", "binary").add("spans", span)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     total = found.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
-    shards = -(-total // shard_words)
-    out = None
-    for s in range(shards):
-        mine = found.where(F.pmod(F.xxhash64("passage"), F.lit(shards)) == s)
-        shared = spark.sparkContext.broadcast([r[0] for r in mine.select("passage").toLocalIterator()])
-
-        def rows_of(sid, t, shared=shared, name=new_folder(spark, f"shard-{s}")):
-            spans = _shard(name, shared).spans(words_of(t))
-            if spans:
-                yield sid, [{"a": a, "b": b} for a, b in spans]
+    shards = max(parts, -(-total // shard_words))
+    shard = F.pmod(F.xxhash64("anchor"), F.lit(shards)).alias("shard")
+    given = found.groupBy(shard).agg(F.count("*").alias("n")).select("shard")
+    across = written(stretches(texts, window).select(shard, "stretch", "sid", "begin").join(given, "shard", "left_semi"), "repeats-stretches")
+    most = max(shard_stretches, 2 * across.count() // shards)
+    salts = written(across.groupBy("shard").agg(F.ceil(F.count("*") / most).cast("int").alias("salts")), "repeats-salts")
+    mine = found.select(shard, "passage").join(salts, "shard").select("shard", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("kind"), F.col("passage").alias("words"), F.lit(None).cast("binary").alias("sid"), F.lit(0).alias("begin"))
+    theirs = across.join(salts, "shard").select("shard", F.pmod(F.xxhash64("sid", "begin"), F.col("salts")).cast("int").alias("salt"), F.lit(1).alias("kind"), F.col("stretch").alias("words"), "sid", "begin")
+    dealt = mine.unionByName(theirs).repartition(max(parts, shards), "shard", "salt").sortWithinPartitions("shard", "salt", "kind")
 
-        part = written(_arrow_map(texts.select("sid", "text"), rows_of, schema), "repeats-spans")
-        shared.destroy()
-        out = part if out is None else out.unionByName(part)
-    if out is None:
-        return spark.createDataFrame([], schema)
-    return out.groupBy("sid").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, some, automaton, seen = None, [], None, {}
+        for b in batches:
+            sids, spans = [], []
+            for place, salt, kind, text, sid, begin in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if (place, salt) != now:
+                    now, some, automaton, seen = (place, salt), [], None, {}
+                if kind == 0:
+                    some.append(text)
+                    continue
+                if automaton is None:
+                    automaton, some = Shard(some), []
+                got = seen.get(text)  # near copies have the same stretches
+                if got is None:
+                    got = seen[text] = automaton.spans(text.split(" "))
+                if got:
+                    sids.append(sid)
+                    spans.append([{"a": begin + x, "b": begin + y} for x, y in got])
+            yield pa.RecordBatch.from_arrays([pa.array(sids, pa.binary()), pa.array(spans, pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())])))], ["sid", "spans"])
+
+    return dealt.mapInArrow(run, schema).groupBy("sid").agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
 
 def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW, shard_words: int = SHARD_WORDS) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -227,7 +267,7 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", window: in
     each = written(features(docs, key, text, window), "repeats-features")
     texts = involved(docs, each, key, text)
     found = written(passages(texts, recurring(texts, window), window), "repeats-passages")
-    return each.select(key, "sid", "n_words"), texts, written(located(texts, found, shard_words), "repeats-located")
+    return each.select(key, "sid", "n_words"), texts, written(located(texts, found, window, shard_words), "repeats-located")
 
 
 def _covered(n: int, spans) -> np.ndarray:
