@@ -50,8 +50,11 @@ def _record(page_id, url, payload: bytes | None, size: int, digest: str, refers_
 
 def train(pages: DataFrame, html: str = "html", page_id: str = "page_id") -> bytes:
     """A dictionary from the sample; empty where there is too little to learn from."""
-    few = pages.select(F.col(page_id).alias("page_id"), F.col(html).alias("html")).where((F.octet_length("html") > 0) & (F.octet_length("html") <= SAMPLE_BYTES))
-    sample = [r[0].encode() for r in few.orderBy(F.xxhash64("page_id", "html"), "html").limit(SAMPLE_RECORDS).select("html").collect()]
+    few = pages.select(F.xxhash64(page_id).alias("h"), F.col(html).alias("html")).where(F.col(page_id).isNotNull() & (F.octet_length(html) > 0) & (F.octet_length(html) <= SAMPLE_BYTES))
+    # The bound first, so that tasks send hashes to the driver and only the chosen records follow.
+    bound = few.select("h").orderBy("h").limit(SAMPLE_RECORDS).agg(F.max("h")).first()[0]
+    chosen = few.where(F.col("h") <= bound).groupBy("h").agg(F.min("html").alias("html")).orderBy("h") if bound is not None else few.limit(0)
+    sample = [r[0].encode() for r in chosen.select("html").collect()]
     try:
         return zstandard.train_dictionary(DICT_BYTES, sample).as_bytes() if len(sample) >= 8 else b""
     except zstandard.ZstdError:
