@@ -25,7 +25,7 @@ from framelake.llm.bpe import runs
 from framelake.llm.common import local_path, new_folder, written
 
 #: Words whose ids a worker remembers; the library encodes others each time.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 MANIFEST = "part int, path string, documents long, tokens long"
 
 

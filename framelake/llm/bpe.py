@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 _NONE = 1 << 60
 _SLOT_BITS = 20
 #: Words a worker remembers; beyond, new ones are merged again in each run of texts.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -236,7 +236,7 @@ class Codec:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
 
-def runs(texts, size: int = 1 << 21) -> Iterator[list[str]]:
+def runs(texts, size: int = 1 << 20) -> Iterator[list[str]]:
     """The texts, null as empty, in runs of about so many characters."""
     held, n = [], 0
     for t in texts:
