@@ -3,11 +3,12 @@
 Word 5-grams are labelled with their occurrence number. Under each of several hash functions the two least labelled
 5-grams are kept in text order and hashed together (order min hash, Marçais et al. 2019): equal values need common
 5-grams in the same order, so collisions follow edit similarity rather than set overlap. Texts that collide are compared by
-banded alignment of their words."""
+banded alignment of their words, unless their word counts tell already that they are too far apart."""
 
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -23,6 +24,11 @@ from framelake.llm.common import connected, gram_hashes, mix, word_hashes, writt
 SHINGLE = 5
 SIMILARITY = 0.8
 SKETCHES = 24
+#: Bins of a text's word counts, by the first byte of the word's hash.
+BAG = 256
+#: Rounds in which a bucket's texts are compared with one of them, and texts of a bucket that meet in one cell after those.
+CENTERS = 2
+BLOCK = 1000
 _WORDS = re.compile(r"\w+").findall
 
 
@@ -111,23 +117,118 @@ def similar(a: list[str], b: list[str], least: float = SIMILARITY) -> bool:
     return longer > 0 and abs(len(a) - len(b)) <= band and edit_distance(a, b, band) is not None
 
 
+def bag(words: np.ndarray) -> bytes:
+    """How many of a text's words fall into each of BAG bins by their hash, up to 255."""
+    return np.minimum(np.bincount((words >> np.uint64(56)).astype(np.intp), minlength=BAG), 255).astype(np.uint8).tobytes()
+
+
+def may_be_near(n_a: np.ndarray, n_b: np.ndarray, bags_a: np.ndarray, bags_b: np.ndarray, least: float) -> np.ndarray:
+    """False where numbers of words or bags prove that similar() is false: an edit moves the length by at most one, adds
+    at most one word to a bin and takes at most one from a bin."""
+    band = ((1 - least) * np.maximum(n_a, n_b) + 1e-9).astype(np.int64)
+    out = np.abs(n_a - n_b) <= band
+    at = np.flatnonzero(out)
+    for t in range(0, len(at), 4096):
+        part = at[t : t + 4096]
+        d = bags_a[part].astype(np.int16) - bags_b[part]
+        more = np.maximum(d, 0).sum(axis=1)
+        out[part] = np.maximum(more, more - d.sum(axis=1)) <= band[part]
+    return out
+
+
+def _bags(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, BAG)
+
+
 def _features(docs: DataFrame, key: str, text: str, sketches: int) -> DataFrame:
-    schema = docs.select(key).schema.add("text_hash", "binary").add("sketch", T.ArrayType(T.LongType()))
+    schema = docs.select(key).schema.add("text_hash", "binary").add("plain", "string").add("words", "long").add("bag", "binary").add("sketch", T.ArrayType(T.LongType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            digest, marks = [], []
+            digest, texts, number, bags, marks = [], [], [], [], []
             for t in b.column(1):
-                plain = normal(t.as_py()).encode()
-                digest.append(hashlib.blake2b(plain, digest_size=16).digest() if plain else None)
-                marks.append(sketch(word_hashes(plain), sketches) if plain else [])
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(digest, pa.binary()), pa.array(marks, pa.list_(pa.int64()))], [key, "text_hash", "sketch"])
+                plain = normal(t.as_py())
+                raw = plain.encode()
+                words = word_hashes(raw)
+                digest.append(hashlib.blake2b(raw, digest_size=16).digest() if raw else None)
+                texts.append(plain or None)
+                number.append(len(words))
+                bags.append(bag(words) if raw else None)
+                marks.append(sketch(words, sketches) if raw else [])
+            columns = [b.column(0), pa.array(digest, pa.binary()), pa.array(texts, pa.string()), pa.array(number, pa.int64()), pa.array(bags, pa.binary()), pa.array(marks, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, schema.names)
 
     return docs.select(key, text).mapInArrow(run, schema)
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """pairs (id, center) with near, by alignment of the texts (id, plain)."""
+def _possible(pairs: DataFrame, facts: DataFrame, least: float) -> DataFrame:
+    """The pairs (id, center) that may_be_near leaves, given facts (id, words, bag)."""
+    other = facts.select(F.col("id").alias("center"), F.col("words").alias("words_c"), F.col("bag").alias("bag_c"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            near = may_be_near(b["words"].to_numpy(), b["words_c"].to_numpy(), _bags(b["bag"]), _bags(b["bag_c"]), least)
+            yield b.select(["id", "center"]).filter(pa.array(near))
+
+    both = pairs.join(facts.hint("merge"), "id").join(other.hint("merge"), "center")
+    return both.select("id", "center", "words", "bag", "words_c", "bag_c").mapInArrow(run, "id long, center long")
+
+
+def _all_pairs(rows: DataFrame, facts: DataFrame, least: float, block: int) -> DataFrame:
+    """All pairs (id, center) of a bucket's texts that are of different classes and that may_be_near leaves; rows are (value, id, class).
+
+    A bucket of more than block texts is dealt into blocks, and each two blocks meet in a cell of their own, so no
+    task holds a bucket."""
+    sizes = rows.groupBy("value").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    own, other = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    dealt = rows.join(sizes, "value").withColumn("own", own).withColumn("other", other).join(facts.hint("merge"), "id")
+    cells = dealt.select("value", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "class", "words", "bag")
+
+    def pairs(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        own, id_, part, words = (t[c].to_numpy() for c in ("own", "id", "class", "words"))
+        bags = _bags(t["bag"])
+        inside = t["i"][0] == t["j"][0]
+        left, right = [], []
+        step = len(id_) if len(id_) <= 64 else 1
+        for a in range(0, len(id_), step):
+            x, y = np.triu_indices(len(id_), 1) if step > 1 else (np.full(len(id_) - a - 1, a), np.arange(a + 1, len(id_)))
+            meet = (part[x] != part[y]) & (inside | (own[x] != own[y]))
+            x, y = x[meet], y[meet]
+            near = may_be_near(words[x], words[y], bags[x], bags[y], least) if step > 1 else _one(words, bags, x, y)
+            left.append(id_[x[near]])
+            right.append(id_[y[near]])
+        a, b = np.concatenate(left), np.concatenate(right)
+        return np.maximum(a, b), np.minimum(a, b)
+
+    def _one(words: np.ndarray, bags: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        near = np.abs(words[x] - words[y]) <= ((1 - least) * np.maximum(words[x], words[y]) + 1e-9).astype(np.int64)
+        at = np.flatnonzero(near)
+        near[at] = may_be_near(words[x[at]], words[y[at]], bags[x[at]], bags[y[at]], least)
+        return near
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for b in itertools.chain(batches, [None]):
+            if b is not None and not b.num_rows:
+                continue
+            t = held if b is None else pa.Table.from_batches([b] if held is None else [*held.to_batches(), b])
+            if t is None:
+                return
+            keys = [t[c].to_numpy() for c in ("value", "i", "j")]
+            edges = (np.flatnonzero(np.logical_or.reduce([k[1:] != k[:-1] for k in keys])) + 1).tolist()
+            edges = [0, *edges, *([t.num_rows] if b is None else [])]
+            found = [pairs(t.slice(m, n - m)) for m, n in zip(edges, edges[1:], strict=False) if n - m > 1]
+            held = t.slice(edges[-1])
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found, strict=True)], ["id", "center"])
+
+    return cells.repartition("value", "i", "j").sortWithinPartitions("value", "i", "j").mapInArrow(run, "id long, center long").distinct()
+
+
+def _verified(pairs: DataFrame, features: DataFrame, least: float) -> DataFrame:
+    """pairs (id, center) with near, by alignment of the texts of features (id, plain)."""
+    members = pairs.select("id").union(pairs.select("center")).distinct()
+    texts = written(features.select("id", "plain").join(members.hint("merge"), "id", "left_semi"), "near-texts")
     both = pairs.join(texts.select("id", F.col("plain").alias("a")), "id").join(texts.select(F.col("id").alias("center"), F.col("plain").alias("b")), "center")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -140,49 +241,61 @@ def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
                 near.append(similar(a.split(" "), words, least))
             yield pd.DataFrame({"id": p["id"], "center": p["center"], "near": near})
 
-    return both.select("id", "center", "a", "b").mapInPandas(run, pairs.schema.add("near", "boolean"))
+    return written(both.select("id", "center", "a", "b").mapInPandas(run, pairs.schema.add("near", "boolean")), "near-judged")
 
 
-def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", least: float = SIMILARITY, sketches: int = SKETCHES) -> DataFrame:
+def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", least: float = SIMILARITY, sketches: int = SKETCHES, block: int = BLOCK) -> DataFrame:
     """(key, class_id) of every row: the least key of its class of texts that are linked by similarity of at least least.
 
-    Equal texts (after normalising case, punctuation and white space) share a class and go on as their least key. In each bucket of
-    equal order min hashes, all texts are compared with the bucket's least key. Those it doesn't accept (texts that share
-    a common passage, mostly) are dealt into finer buckets by the next hash as well, and so on until each text has been
-    accepted, was least itself, or is alone. So a bucket of n near copies costs n comparisons, one of n unrelated texts
-    falls apart, and none is capped. Links are then closed transitively. Two texts that no bucket of any round brings
-    together with a common least text are missed, as min hashing goes: at half of the 5-grams in common a hash meets with 0.25, one of 24 with 0.999.
+    Equal texts (after normalising case, punctuation and white space) share a class and go on as one. Texts that share an
+    order min hash meet in a bucket. First all texts of a bucket are compared with one of them, twice with different ones; that
+    joins large groups of near copies by as many comparisons as they have members. Then every two texts of a bucket that
+    aren't yet in one class are compared, so each colliding pair is verified or already in one class when this ends: none is
+    capped or sampled. Pairs whose lengths or word counts prove them too far apart are told without an alignment.
+    Links are then closed transitively. Two texts that share no hash are missed, as min hashing goes.
     Null and wordless texts are classes of their own (class_id is the key); a null key takes the class of its text.
     Rows that share a key are one document if their texts are equal; if not, the key has a row for each."""
-    features = written(_features(docs, key, text, sketches), "near-features")
+    features = written(_features(docs, key, text, sketches).withColumn("id", F.monotonically_increasing_id()), "near-features")
     dtype = features.schema[key].dataType
-    ids = features.where("text_hash IS NOT NULL").groupBy("text_hash").agg(F.min(F.struct(F.col(key).alias("id"), "sketch")).alias("r"), F.count("*").alias("n")).select("text_hash", "r.id", "r.sketch")
-    ids = written(ids, "near-ids")
-    rows = written(ids.where("id IS NOT NULL").select("id", F.posexplode("sketch").alias("band", "value")), "near-buckets")
-    texts, links, depth = None, None, 0
-    while True:
-        centers = rows.groupBy("band", "value").agg(F.min("id").alias("center"), F.max("id").alias("other")).where("center < other").drop("other")
-        met = written(rows.join(centers, ["band", "value"]).where("id != center"), "near-met")
-        if met.isEmpty():
+    # A text is named by the number of one of its rows; its key is the least one that isn't null.
+    nodes = written(features.where("text_hash IS NOT NULL").groupBy("text_hash").agg(F.min("id").alias("id"), F.min(key).alias("key")), "near-ids")
+    named = features.join(nodes.select("id").hint("merge"), "id", "left_semi")
+    facts = written(named.select("id", "words", "bag", "sketch"), "near-facts")
+    rows = facts.select("id", F.explode("sketch").alias("value"))
+    facts = facts.select("id", "words", "bag")
+    links, judged, parts = None, None, None
+    for depth in range(CENTERS + 1):
+        if parts is None:
+            rows = rows.withColumn("class", F.col("id"))
+        else:
+            rows = written(rows.join(parts, "id", "left").select("value", "id", F.coalesce("component", "id").alias("class")), "near-classed")
+        first = [F.min("id").alias("center"), F.min("id").alias("center_class"), F.max("id").alias("other")]
+        later = [F.min(F.struct(F.xxhash64("id", F.lit(depth)), F.col("id").alias("center"), F.col("class").alias("center_class"))).alias("c"), F.min("class").alias("low"), F.max("class").alias("high"), F.count("*").alias("n")]
+        if not depth:
+            centers = rows.groupBy("value").agg(*first).where("center < other").drop("other")
+        else:
+            # Of two texts, the first round has compared both.
+            centers = rows.groupBy("value").agg(*later).where("low < high AND n > 2").select("value", "c.center", "c.center_class")
+        rows = written(rows.join(centers, "value"), "near-buckets")
+        if rows.isEmpty():
             break
-        pairs = written(met.select("id", "center").distinct(), "near-pairs")
-        if texts is None:
-            members = pairs.select("id").union(pairs.select("center")).distinct()
-            plain = docs.select(F.col(key).alias("id"), F.col(text).alias("plain")).join(members.hint("merge"), "id", "left_semi").where("plain IS NOT NULL")
-            texts = written(plain.dropDuplicates(["id"]).mapInPandas(lambda batches: (b.assign(plain=b["plain"].map(normal)) for b in batches), plain.schema), "near-texts")
-        judged = written(_verified(pairs, texts, least), "near-judged")
-        found = judged.where("near").select("id", "center")
+        if depth < CENTERS:
+            met = rows.where("class != center_class").select(F.greatest("id", "center").alias("id"), F.least("id", "center").alias("center")).distinct()
+            pairs = _possible(met, facts, least)
+        else:
+            pairs = _all_pairs(rows.select("value", "id", "class"), facts, least, block)
+        rows = rows.select("value", "id")
+        if judged is not None:
+            pairs = pairs.join(judged, ["id", "center"], "left_anti")
+        new = _verified(written(pairs, "near-pairs"), features, least)
+        judged = new.drop("near") if judged is None else judged.unionByName(new.drop("near"))
+        found = new.where("near").select("id", "center")
         links = found if links is None else links.unionByName(found)
-        depth += 1
-        rest = met.join(judged.where("NOT near").select("id", "center"), ["id", "center"], "left_semi").select("id", "band", "value").join(ids.select("id", "sketch"), "id")
-        # After as many rounds as there are hashes the buckets stay as they are, each without its least text.
-        finer = F.xxhash64("value", F.get("sketch", (F.col("band") + depth) % sketches)) if depth < sketches else F.col("value")
-        rows = written(rest.select("id", "band", finer.alias("value")), "near-rest")
-    if links is None:
-        parts = docs.sparkSession.createDataFrame([], ids.select("id", F.col("id").alias("class_id")).schema)
-    else:
-        parts = connected(links, "id", "center", "near-links").select(F.col("node").alias("id"), F.col("component").alias("class_id"))
-    known = ids.join(parts, "id", "left").select("text_hash", F.coalesce("class_id", "id").cast(dtype).alias("class_id"))
+        if parts is None or not found.isEmpty():
+            parts = written(connected(links, "id", "center", "near-links").select(F.col("node").alias("id"), "component"), "near-parts")
+    known = nodes.withColumn("component", F.col("id")) if parts is None else nodes.join(parts, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    least_key = known.groupBy("component").agg(F.min("key").alias("class_id"))
+    known = known.join(least_key, "component").select("text_hash", F.col("class_id").cast(dtype))
     out = features.select(key, "text_hash").join(known, "text_hash", "left")
     return out.select(key, F.coalesce("class_id", F.when(F.col("text_hash").isNull(), F.col(key))).alias("class_id"))
 

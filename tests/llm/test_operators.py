@@ -253,6 +253,47 @@ def test_near_classes_against_brute_force(spark):
     assert got == want
 
 
+def closed(keys, pairs):
+    """The least key of each key's component."""
+    root = {k: k for k in keys}
+    for a, b in pairs:
+        low, high = sorted((root[a], root[b]))
+        root = {k: low if v == high else v for k, v in root.items()}
+    return root
+
+
+def edited(words, r, n):
+    out = list(words)
+    for i in r.sample(range(len(out)), n):
+        out[i] = f"new{r.randrange(10**9)}"
+    return out
+
+
+@pytest.mark.parametrize("block", [1000, 7])
+def test_near_classes_link_every_pair_that_collides(spark, block):
+    """Groups of copies with 12% edits, mostly too far from each other, whose original isn't the least: closed over all colliding pairs."""
+    r = random.Random(12)
+    texts = {}
+    for g in range(3):
+        original = prose(2000 + g, 120).split()
+        texts |= {100 * g + c: " ".join(original if c == 57 else edited(original, r, 14)) for c in range(60)}
+    got = {x.doc_id: x.class_id for x in neardup.classes(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), sketches=24, block=block).collect()}
+    words = {k: neardup.normal(t).split() for k, t in texts.items()}
+    marks = {k: set(neardup.sketch(common.word_hashes(neardup.normal(t)), 24).tolist()) for k, t in texts.items()}
+    want = closed(texts, [(a, b) for a in texts for b in texts if a < b and marks[a] & marks[b] and neardup.similar(words[a], words[b])])
+    assert got == want and sum(want[k] == want[k // 100 * 100 + 57] for k in texts) > 150
+
+
+def test_bags_rule_out_no_similar_pair():
+    r = random.Random(4)
+    for _ in range(300):
+        a = prose(r.random(), r.randint(1, 400)).split()
+        b = edited(a, r, r.randint(0, len(a) // 3))[r.randint(0, 5) :] or a
+        h = [common.word_hashes(" ".join(x)) for x in (a, b)]
+        n, bags = ([np.array([f(x)]) for x in h] for f in (len, lambda x: np.frombuffer(neardup.bag(x), np.uint8)))
+        assert neardup.may_be_near(*n, *bags, 0.8)[0] or not neardup.similar(a, b)
+
+
 def test_near_classes_on_odd_rows(odd, none):
     got = neardup.classes(odd).collect()
     assert len(got) == odd.count() and {r.class_id for r in got if r.doc_id in (8, 9)} == {8} and {r.class_id for r in got if r.doc_id == 1} == {1}
