@@ -23,7 +23,8 @@ from framelake.llm.common import connected, gram_hashes, mix, word_hashes, writt
 
 SHINGLE = 5
 SIMILARITY = 0.8
-SKETCHES = 24
+#: At similarity 0.80 by scattered words, 112 hashes of two grams bring 0.95 of pairs of 100 words together; 24 brought 0.56.
+SKETCHES = 112
 #: Bins of a text's word counts, by the first byte of the word's hash.
 BAG = 256
 #: Rounds in which a bucket's texts are compared with one of them, and texts of a bucket that meet in one cell after those.
@@ -49,10 +50,13 @@ def sketch(words: np.ndarray, sketches: int = SKETCHES, kept: int = 2, k: int =
     kept = min(kept, len(label))
     seeds = mix(np.arange(1, sketches + 1, dtype=np.uint64))
     at = np.empty((sketches, kept), np.int64)
-    step = max(1, (1 << 18) // len(label))
+    step = max(1, (1 << 15) // len(label))
     for t in range(0, sketches, step):
         rank = mix(label ^ seeds[t : t + step, None])
-        at[t : t + step] = np.argpartition(rank, kept - 1, axis=1)[:, :kept]
+        each = np.arange(len(rank))
+        for i in range(kept):
+            at[t : t + step, i] = least = rank.argmin(axis=1)
+            rank[each, least] = np.iinfo(np.uint64).max
     at.sort(axis=1)
     value = seeds.copy()
     for i in range(kept):

@@ -284,6 +284,20 @@ def test_near_classes_link_every_pair_that_collides(spark, block):
     assert got == want and sum(want[k] == want[k // 100 * 100 + 57] for k in texts) > 150
 
 
+@pytest.mark.parametrize(("share", "recall"), [(20, 0.93), (15, 0.98)])
+def test_near_pairs_at_the_threshold_are_found(spark, share, recall):
+    """Pairs of similarity 0.80 and 0.85 by scattered single words, against brute force."""
+    r = random.Random(share)
+    texts, near = {}, []
+    for i in range(300):
+        a = [f"w{r.randrange(3000)}" for _ in range(100)]
+        texts |= {2 * i: " ".join(a), 2 * i + 1: " ".join(edited(a, r, share))}
+        near += [i] if neardup.similar(a, texts[2 * i + 1].split()) else []
+    got = {x.doc_id: x.class_id for x in neardup.classes(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    assert len(near) == 300 and sum(got[2 * i + 1] == 2 * i for i in near) >= recall * 300
+    assert all(v in (k, k - k % 2) for k, v in got.items())
+
+
 def test_bags_rule_out_no_similar_pair():
     r = random.Random(4)
     for _ in range(300):
