@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framelake.llm import bpe, decontam, langid, neardup, substring
-from framelake.llm.common import new_folder, written
+from framelake.llm.common import new_folder
 
 
 def _by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,9 +34,8 @@ def _without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def _without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents in which a benchmark item occurs."""
-    found = decontam.leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id").distinct()
-    return docs.join(written(found, "leaks"), "doc_id", "left_anti").select(docs.columns)
+    """Drops documents in which a benchmark item occurs, with or without an id."""
+    return decontam.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def _tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import ahocorasick
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -155,6 +156,22 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
     return out if out is not None else spark.createDataFrame([], schema)
 
 
+def clean(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", rate: float = 0.1, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """The rows of docs in whose text no item occurs, as leaks finds them. Each row is judged by its own text, so null and repeated keys don't matter."""
+    spark, schema, at = docs.sparkSession, docs.schema, docs.columns.index(text)
+    out = docs
+    for block in _blocks(items, item_id, item_text, block_chars):
+        shared = spark.sparkContext.broadcast(block)
+
+        def keep(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            held = Items(shared.value, rate)
+            for b in batches:
+                yield b.filter(pa.array([not held.find(t.as_py()) for t in b.column(at)], pa.bool_()))
+
+        out = out.mapInArrow(keep, schema)
+    return out
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     docs, items = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark"))
     return leaks(docs, items)

@@ -78,3 +78,15 @@ def test_tokens_and_the_whole_run(tables, spark):
     last = rows(tables[5])
     assert {k: r.decoded_sha256 for k, r in last.items()} == {k: hashlib.sha256((r.text or "").encode()).hexdigest() for k, r in rows(tables[4]).items()}
     assert {tuple(r) for r in corpus_pipeline.run(spark, SF).collect()} == {tuple(r) for r in last.values()}
+
+
+def test_rows_without_an_id_change_no_other_row_and_leak_nothing(spark):
+    text = " ".join(f"word{i}" for i in range(60))
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").where("length(text) > 60").first().text
+    texts = [(None, text), (5, text), (3, text.replace("word7 ", "other ")), (None, text.replace("word9 ", "more ")), (8, "On its own."), (None, f"Before it. {item} After it."), (9, f"Before this. {item} After this, too.")]
+    docs = spark.createDataFrame([(k, t, "en", "s", 1) for k, t in texts], "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted(((r.doc_id or 0, r.class_id) for r in neardup.classes(docs.where("text NOT LIKE 'Before%'")).collect()))
+    assert got == [(0, 3), (0, 3), (3, 3), (5, 3), (8, 8)]
+    kept = corpus_pipeline._one_of_each_class(spark, docs, SF)
+    assert sorted(r.doc_id or 0 for r in kept.collect())[-3:] == [3, 8, 9]
+    assert sorted((r.doc_id or 0, r.text) for r in corpus_pipeline._without_leaks(spark, docs, SF).collect()) == sorted((k or 0, t) for k, t in texts[:5])
