@@ -62,14 +62,14 @@ def train(pages: DataFrame, html: str = "html", page_id: str = "page_id") -> byt
 
 
 def verdicts(pages: DataFrame, least_bytes: int = 1000) -> DataFrame:
-    """(page_id, payload_bytes, payload_digest, refers_to): refers_to is the largest page_id of the equal payloads of at
+    """(page_id, strong, payload_bytes, payload_digest, refers_to), strong being the payload's SHA-256: refers_to is the largest page_id of the equal payloads of at
     least least_bytes, null for that page itself and for smaller payloads. Only digests are shuffled. A null html is an
     empty payload; pages without an id are responses."""
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     each = written(pages.select("page_id", F.octet_length(payload).cast("long").alias("payload_bytes"), F.sha1(payload).alias("payload_digest"), F.sha2(payload, 256).alias("strong")), "warc-digests")
     groups = each.where((F.col("payload_bytes") >= least_bytes) & F.col("page_id").isNotNull()).groupBy("strong").agg(F.max("page_id").alias("keeper"), F.count("*").alias("n")).where("n > 1").drop("n")
     out = each.join(groups, "strong", "left")
-    return out.select("page_id", "payload_bytes", "payload_digest", F.when(F.col("keeper") != F.col("page_id"), F.col("keeper")).alias("refers_to"))
+    return out.select("page_id", "strong", "payload_bytes", "payload_digest", F.when(F.col("keeper") != F.col("page_id"), F.col("keeper")).alias("refers_to"))
 
 
 def write(pages: DataFrame, folder: str, date: str = "2024-01-01T00:00:00Z", least_bytes: int = 1000, level: int = LEVEL) -> DataFrame:
@@ -82,10 +82,10 @@ def write(pages: DataFrame, folder: str, date: str = "2024-01-01T00:00:00Z", lea
     judged = verdicts(rows, least_bytes)
     fs, top = local_path(folder)
     fs.create_dir(top, recursive=True)
-    # A revisit's html isn't stored: it is dropped right after the join by page_id.
-    known = judged.groupBy("page_id").agg(F.max("refers_to").alias("refers_to"))
+    # By id and payload, as an id may repeat with other payloads. Rows without an id or a verdict are responses.
+    known = judged.where("refers_to IS NOT NULL").groupBy("page_id", "strong").agg(F.max("refers_to").alias("refers_to"))
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
-    full = rows.join(known, "page_id", "left").select("page_id", "url", "html", F.octet_length(payload).cast("long").alias("payload_bytes"), F.sha1(payload).alias("payload_digest"), "refers_to")
+    full = rows.withColumn("strong", F.sha2(payload, 256)).join(known, ["page_id", "strong"], "left").select("page_id", "url", "html", F.octet_length(payload).cast("long").alias("payload_bytes"), F.sha1(payload).alias("payload_digest"), "refers_to")
 
     def save(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         at, folder_in = local_path(folder)

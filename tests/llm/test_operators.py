@@ -358,6 +358,15 @@ def test_archives(spark):
     assert warc.read(warc.write(df.where("false"), common.new_folder(spark, "warc"))).count() == 0
 
 
+def test_archives_of_an_id_with_two_payloads(spark):
+    """One of the payloads recurs under a larger id; the other must be archived."""
+    old, new = "<p>" + prose(1, 400), "<p>" + prose(2, 400)
+    df = spark.createDataFrame([(1, "a", old), (1, "a", new), (1, "a", "small"), (2, "b", old)], "page_id long, url string, html string")
+    got = warc.read(warc.write(df, common.new_folder(spark, "warc"))).collect()
+    sha1 = {h: hashlib.sha1(h.encode()).hexdigest() for h in (old, new, "small")}
+    assert sorted((r.page_id, r.payload_digest, r.record_type, r.refers_to or 0) for r in got) == sorted([(1, sha1[old], "revisit", 2), (1, sha1[new], "response", 0), (1, sha1["small"], "response", 0), (2, sha1[old], "response", 0)])
+
+
 def test_archives_lead_with_their_dictionary(spark):
     import struct
 
