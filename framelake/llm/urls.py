@@ -47,13 +47,39 @@ def node_of(url: Column) -> Column:
     return F.when(at > 0, F.concat(F.lower(F.substr(url, F.lit(1), at - 1)), F.lit("://"), host_of(url), F.regexp_extract(rest, "^[^/?#]*([^#]*)", 1)))
 
 
+def _without_dots(path: Column) -> Column:
+    """A path that starts with / without its segments . and .. (RFC 3986, 5.2.4)."""
+    parts = F.split(F.substr(path, F.lit(2)), "/", -1)
+    none = F.array().cast("array<string>")
+    kept = F.aggregate(
+        parts, none, lambda acc, x: F.when(x == "..", F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0)))).when(x == ".", acc).otherwise(F.concat(acc, F.array(x)))
+    )
+    folder = F.element_at(parts, -1).isin(".", "..") & (F.size(kept) > 0)
+    return F.concat(F.lit("/"), F.array_join(kept, "/"), F.when(folder, F.lit("/")).otherwise(F.lit("")))
+
+
+def resolved(to: Column, base: Column, path: Column) -> Column:
+    """The address that a target names on a page of that base (scheme://host) and path; its fragment is dropped. Null for
+    an empty target. Addresses with a scheme or host are taken as they are."""
+    to = F.regexp_replace(to, "#.*$", "")
+    place, query = F.regexp_extract(to, r"^[^?]*", 0), F.regexp_extract(to, r"\?.*$", 0)
+    folder = F.coalesce(F.nullif(F.regexp_extract(path, "^.*/", 0), F.lit("")), F.lit("/"))
+    return (
+        F.when(to == "", F.lit(None).cast("string"))
+        .when(to.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), to)
+        .when(to.startswith("//"), F.concat(F.regexp_extract(base, "^[^:]*:", 0), to))
+        .when(place == "", F.concat(base, path, query))
+        .when(to.startswith("/"), F.concat(base, _without_dots(place), query))
+        .otherwise(F.concat(base, _without_dots(F.concat(folder, place)), query))
+    )
+
+
 def alias_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """(src, dst) from canonical links and meta refreshes. A target starting with / is on the page's host; other relative targets are left out."""
+    """(src, dst) from all canonical links and meta refreshes of a page. Relative targets are resolved against the page's url."""
     base = F.concat(F.regexp_extract(url, "^[^:]*://", 0), host_of(F.col(url)))
-    found = pages.where(F.col(html).rlike("(?i)canonical|http-equiv")).select(
-        node_of(F.col(url)).alias("src"), base.alias("base"), F.explode(F.array(F.regexp_extract(html, _CANONICAL, 1), F.regexp_extract(html, _REFRESH, 1))).alias("to")
-    )
-    to = F.when(F.col("to").startswith("//"), F.concat(F.regexp_extract("base", "^[^:]*:", 0), F.col("to"))).when(F.col("to").startswith("/"), F.concat("base", "to")).otherwise(F.col("to"))
+    targets = F.concat(*(F.regexp_extract_all(html, F.lit(p), F.lit(1)) for p in (_CANONICAL, _REFRESH)))
+    found = pages.where(F.col(html).rlike("(?i)canonical|http-equiv")).select(node_of(F.col(url)).alias("src"), base.alias("base"), path_of(F.col(url)).alias("path"), F.explode(targets).alias("to"))
+    to = resolved(F.col("to"), F.col("base"), F.col("path"))
     return found.select("src", node_of(to).alias("dst")).where("src IS NOT NULL AND dst IS NOT NULL AND src != dst").distinct()
 
 

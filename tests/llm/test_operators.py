@@ -205,6 +205,19 @@ def test_url_rules_and_aliases(spark):
     assert urls.judge(none, urls.alias_edges(none)).count() == 0
 
 
+def test_relative_aliases_and_all_of_a_page(spark):
+    link = '<link rel="canonical" href="{}">'
+    told = [("page2.html", "/d/page2.html"), ("../x", "/x"), ("./../../../y/./z/..", "/y/"), ("?id=2", "/d/e?id=2"), ("/p/../q?r=/../s", "/q?r=/../s"), ("x?u=http://o.org/", "/d/x?u=http://o.org/"), (".", "/d/")]
+    pages = [(i, "http://A.org/d/e?id=1", link.format(to)) for i, (to, _) in enumerate(told)]
+    found = [(r.src, r.dst) for i in range(len(told)) for r in urls.alias_edges(spark.createDataFrame(pages[i : i + 1], "page_id long, url string, html string")).collect()]
+    assert found == [("http://a.org/d/e?id=1", "http://a.org" + path) for _, path in told]
+    refresh = '<meta http-equiv="refresh" content="0; url={}">'
+    both = [(1, "http://a.org", link.format("#top") + link.format("b") + link.format("http://bad.net/") + refresh.format("c") + refresh.format("mailto:d")), (2, "http://a.org/b", None), (3, "http://a.org/c", None)]
+    df = spark.createDataFrame(both, "page_id long, url string, html string")
+    assert {r.dst for r in urls.alias_edges(df).collect()} == {"http://a.org/b", "http://bad.net/", "http://a.org/c"}
+    assert {r.verdict for r in urls.judge(df.select("page_id", "url"), urls.alias_edges(df)).collect()} == {"block"}
+
+
 def distance(a, b):
     p = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
