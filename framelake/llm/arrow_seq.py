@@ -1,6 +1,6 @@
 """Token ids as Arrow files of equal-length sequences.
 
-Documents are range-partitioned by id and sorted; a task writes its ids as one Arrow file whose batches are fixed-size
+Documents are encoded, range-partitioned by id and sorted; a task writes its ids as one Arrow file whose batches are fixed-size
 lists, ids and a mask, so a reader maps the file and reaches any sequence without copying. A second small Arrow file
 tells where each document lies. Files get a name of their own for each attempt and only those in the manifest count, so
 a task that is run again after a lost executor leaves no half-written file behind that is read."""
@@ -11,21 +11,22 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from framelake.llm.bpe import runs
-from framelake.llm.common import local_path, new_folder, written
+from framelake.llm.common import drop, local_path, new_folder, unused, written
 
 #: Words whose ids a worker remembers; the library encodes others each time.
 REMEMBERED = 250_000
+#: Texts of about so many bytes are encoded together.
+RUN_BYTES = 1 << 20
 MANIFEST = "part int, path string, documents long, tokens long"
 
 
@@ -33,35 +34,57 @@ class Encoder:
     """The tokenizers library, asked once for each word a worker meets.
 
     Byte-level pre-tokenisation ends a piece at every single space between words, so a text's ids are those of its
-    words in turn; a text with white space beside a space is encoded whole."""
+    words in turn. A text with white space beside a space, or with a token that the library takes out of the text before it
+    cuts words (such as the end-of-text token), is encoded whole."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.word_ids: dict[str, list[int]] = {}
-
-    def encode_many(self, texts: list[str]) -> list[list[int]]:
-        known, cuts = self.word_ids, []
-        words: set[str] = set()
-        for t in texts:
-            cut = t.split(" ")
-            new = set(cut[1:]).difference(known)
-            if cut[0] and not cut[0][-1].isspace() and all(w and not w[0].isspace() and not w[-1].isspace() for w in new):
-                words |= new
-                cuts.append(cut)
-            else:
-                cuts.append(None)
-        ask = [" " + w for w in words] + [t if cut is None else cut[0] for t, cut in zip(texts, cuts, strict=True)]
-        got = [e.ids for e in self.tokenizer.encode_batch_fast(ask, add_special_tokens=False)]
-        known.update(zip(words, got, strict=False))
-        word = known.__getitem__
-        out = [ids if cut is None else ids + list(chain.from_iterable(map(word, cut[1:]))) for ids, cut in zip(got[len(words) :], cuts, strict=True)]
-        if len(known) > REMEMBERED:
-            for w in words:
-                del known[w]
-        return out
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
+        self.word_ids: dict[str, np.ndarray] = {}
+
+    def _ask(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, self.kind) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts (null as empty) in a row, and how many each has.
+
+        Arrow cuts the texts and finds their different words, the library encodes those, and numpy lays out the ids."""
+        texts = pc.fill_null(texts, "")
+        cut = pc.split_pattern(texts, " ")
+        words = cut.flatten().dictionary_encode()
+        starts = cut.offsets.to_numpy()[:-1] - cut.offsets.to_numpy()[0]
+        count = np.diff(cut.offsets.to_numpy())
+        index, named = words.indices.to_numpy(), words.dictionary.to_pylist()
+        odd = np.fromiter((not w or w[0].isspace() or w[-1].isspace() for w in named), bool, len(named))
+        whole = np.logical_or.reduceat(odd[index], starts) if len(starts) else np.empty(0, bool)
+        for token in self.added:
+            whole |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
+        # An entry for each different word behind a space, then one for each text: its first word, or the whole text.
+        new = [w for w in named if w not in self.word_ids]
+        text = pc.if_else(pa.array(whole), texts, pc.list_element(cut, 0) if len(starts) else texts)
+        got = self._ask([" " + w for w in new] + text.to_pylist())
+        self.word_ids.update(zip(new, got, strict=False))
+        entries = list(map(self.word_ids.__getitem__, named)) + got[len(new) :]
+        if len(self.word_ids) > REMEMBERED:
+            for w in new:
+                del self.word_ids[w]
+        index = index.astype(np.int64)
+        index[starts] = len(named) + np.arange(len(starts))
+        keep = ~np.repeat(whole, count)
+        keep[starts] = True
+        index = index[keep]
+        size = np.fromiter(map(len, entries), np.int64, len(entries))
+        begin = np.cumsum(size) - size
+        each = size[index]
+        ends = np.cumsum(each)
+        flat = np.concatenate(entries) if entries else np.empty(0, self.kind)
+        # Each position's place in flat: where its entry begins there, less where the entry begins in the result.
+        ids = flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin[index] - (ends - each), each)]
+        owner = np.repeat(np.arange(len(starts)), np.where(whole, 1, count))
+        return ids, np.bincount(owner, weights=each, minlength=len(starts)).astype(np.int64)
 
 
 @lru_cache(maxsize=1)
@@ -72,13 +95,42 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+def encoded(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", end_id: int = 0) -> DataFrame:
+    """(key, ids, n_tokens) of every row: ids are little-endian unsigned integers of 16 bits, or 32 for larger vocabularies, end_id last."""
+    schema = docs.select(key).schema.add("ids", "binary").add("n_tokens", "long")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = encoder(tokenizer)
+        kind = np.uint16 if max(enc.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else np.uint32
+        for b in batches:
+            bytes_of = np.cumsum(pc.fill_null(pc.binary_length(b.column(1)), 0).to_numpy())
+            a = 0
+            while a < b.num_rows:
+                z = max(a + 1, int(np.searchsorted(bytes_of, (bytes_of[a - 1] if a else 0) + RUN_BYTES)))
+                some = b.slice(a, z - a)
+                ids, n = enc.encode(some.column(1))
+                n += 1
+                ends = np.cumsum(n)
+                out = np.full(len(ids) + len(n), end_id, kind)
+                inside = np.ones(len(out), bool)
+                inside[ends - 1] = False
+                out[inside] = ids
+                offsets = np.concatenate([[0], ends]).astype(np.int32) * out.itemsize
+                rows = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(out.astype(out.dtype.newbyteorder("<")))])
+                yield pa.RecordBatch.from_arrays([some.column(0), rows, pa.array(n)], schema.names)
+                a = z
+
+    return docs.select(key, text).mapInArrow(run, schema)
+
+
 def write(docs: DataFrame, folder: str, tokenizer: str, key: str = "doc_id", text: str = "text", end_id: int = 0, length: int = 2048, rows: int = 256) -> DataFrame:
     """Writes docs in ascending key order under folder and returns the manifest (part, path, documents, tokens), itself a table there.
 
     path.seq.arrow: batches of up to rows sequences, ids fixed_size_list<uint16 or uint32>[length] and mask
     fixed_size_list<bool>[length], false in the padding of a file's last sequence. path.doc.arrow: key, start (in the
     file) and n_tokens of each document. A null text is empty, so end_id alone; null keys come first; equal keys are
-    ordered by their text's hash. An empty table gives a manifest without files."""
+    ordered by their ids' hash and then by a number, by which they are also dealt to several files. An empty table gives a manifest
+    without files. Texts are encoded first, so that ids and not texts are shuffled; columns other than key and text are left out."""
     spark = docs.sparkSession
     key_type = docs.schema[key].dataType
     arrow_key = pa.int64() if isinstance(key_type, T.LongType) else pa.int32() if isinstance(key_type, T.IntegerType) else pa.string()
@@ -108,11 +160,8 @@ def write(docs: DataFrame, folder: str, tokenizer: str, key: str = "doc_id", tex
             mask = pa.array(np.arange(full * length) < len(flat))
             for a in range(0, full, rows):
                 b = min(full, a + rows)
-                seq.write_batch(
-                    pa.RecordBatch.from_arrays(
-                        [pa.FixedSizeListArray.from_arrays(pa.array(padded[a * length : b * length]), length), pa.FixedSizeListArray.from_arrays(mask[a * length : b * length], length)], schema=schema
-                    )
-                )
+                lists = [pa.FixedSizeListArray.from_arrays(x[a * length : b * length], length) for x in (pa.array(padded), mask)]
+                seq.write_batch(pa.RecordBatch.from_arrays(lists, schema=schema))
             held = [flat[full * length :]] if not last else []
             held_n = len(held[0]) if held else 0
 
@@ -123,27 +172,33 @@ def write(docs: DataFrame, folder: str, tokenizer: str, key: str = "doc_id", tex
             if seq is None:
                 sink = [fs.open_output_stream(f"{top}/{name}.{x}.arrow") for x in ("seq", "doc")]
                 seq, doc = pa.ipc.new_file(sink[0], schema), pa.ipc.new_file(sink[1], doc_schema)
-            sizes = []
-            for some in runs((t.as_py() for t in batch.column(1)), 1 << 20):
-                for ids in enc.encode_many(some):
-                    ids.append(end_id)
-                    held.append(np.array(ids, kind))
-                    sizes.append(len(ids))
-                    held_n += len(ids)
-                    if held_n >= length * rows:
-                        flush(False)
-            start = done + np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
-            doc.write_batch(pa.RecordBatch.from_arrays([batch.column(0).cast(arrow_key), pa.array(start), pa.array(sizes, pa.int64())], schema=doc_schema))
-            done += sum(sizes)
-            count += len(sizes)
+            for a in range(0, batch.num_rows, 1000):
+                some = batch.slice(a, 1000)
+                n = some["n_tokens"].to_numpy()
+                # The batch's ids lie in a row in one buffer.
+                bounds = np.frombuffer(some["ids"].buffers()[1], np.int32)[some["ids"].offset :]
+                flat = np.frombuffer(some["ids"].buffers()[2], np.uint8)[bounds[0] : bounds[len(some)]].view(np.dtype(kind).newbyteorder("<"))
+                held.append(flat.astype(kind))
+                held_n += len(flat)
+                if held_n >= length * rows:
+                    flush(False)
+                doc.write_batch(pa.RecordBatch.from_arrays([some.column(0).cast(arrow_key), pa.array(done + np.cumsum(n) - n), pa.array(n)], schema=doc_schema))
+                done += int(n.sum())
+                count += len(n)
         if seq is not None:
             flush(True)
             for x in (seq, doc, *sink):
                 x.close()
             yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([f"{folder}/{name}"]), pa.array([count], pa.int64()), pa.array([done], pa.int64())], ["part", "path", "documents", "tokens"])
 
-    ordered = docs.select(key, text).repartitionByRange(parts, F.col(key).asc_nulls_first()).sortWithinPartitions(F.col(key).asc_nulls_first(), F.xxhash64(text))
-    return written(ordered.mapInArrow(save, MANIFEST), "sequences-manifest")
+    tie, row = unused("tie", [key]), unused("row", [key])
+    ids = encoded(docs, tokenizer, key, text, end_id).withColumns({tie: F.xxhash64("ids"), row: F.monotonically_increasing_id()})
+    ids = written(ids, "sequences-ids")
+    order = [F.col(key).asc_nulls_first(), F.col(tie), F.col(row)]
+    ordered = ids.repartitionByRange(parts, *order).sortWithinPartitions(*order).select(key, "ids", "n_tokens")
+    manifest = written(ordered.mapInArrow(save, MANIFEST), "sequences-manifest")
+    drop(ids)
+    return manifest
 
 
 def read(manifest: DataFrame, key_type: str = "bigint", key: str = "doc_id", base: str = "base") -> DataFrame:

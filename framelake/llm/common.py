@@ -26,7 +26,7 @@ def shared_folder(spark: SparkSession) -> str:
     global _own_folder
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         if _own_folder is None:
             _own_folder = "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
@@ -38,12 +38,40 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """name, with as many underscores behind it as tell it from all columns (case aside, as Spark resolves names)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a Parquet table in the shared folder: cuts the lineage, and outlives a lost executor."""
+    """df as a Parquet table in the shared folder: cuts the lineage, and outlives a lost executor.
+
+    The shuffle files behind it go once it is written, as nothing else reads them."""
     spark = df.sparkSession
     path = new_folder(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def drop(*tables: DataFrame) -> None:
+    """Deletes tables that written() made, after all that reads them is written itself."""
+    for t in tables:
+        context = t.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(t.written_to)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -77,14 +105,20 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[size]
 
 
+def word_places(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of a UTF-8 text begin and end, in bytes."""
+    inside = ~_WHITE_BYTE[np.frombuffer(raw, np.uint8)]
+    edge = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+    return edge[::2], edge[1::2]
+
+
 def word_hashes(text: str | bytes) -> np.ndarray:
     """64-bit hashes of a text's words, in order, from prefix sums of a polynomial over its UTF-8 bytes."""
-    raw = np.frombuffer(text.encode() if isinstance(text, str) else text, np.uint8)
+    text = text.encode() if isinstance(text, str) else text
+    raw = np.frombuffer(text, np.uint8)
     if not len(raw):
         return np.empty(0, np.uint64)
-    inside = ~_WHITE_BYTE[raw]
-    edge = np.flatnonzero(np.diff(inside, prepend=False, append=False))
-    begin, end = edge[::2], edge[1::2]
+    begin, end = word_places(text)
     up, down = _power_tables(len(raw) + 1)
     sums = np.zeros(len(raw) + 1, np.uint64)
     np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[: len(raw)], out=sums[1:])
@@ -106,7 +140,8 @@ def connected(edges: DataFrame, a: str, b: str, name: str) -> DataFrame:
     """Connected components of undirected edges: (node, component), component being the least node.
 
     Alternates the large-star and small-star steps of Kiveris et al. (2014), which need O(log^2 n) rounds and never
-    gather a node's neighbours: each step is a minimum by key and a join. Nodes without an edge don't occur. Null
+    gather a node's neighbours: each step is a minimum by key, combined before the shuffle, and a join with the written minima, whose
+    sides are plain shuffles, so that Spark splits the partition of a node with very many links. Nodes without an edge don't occur. Null
     ends and loops are dropped."""
     e = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u != v")
     e = written(e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), name)
@@ -117,12 +152,14 @@ def connected(edges: DataFrame, a: str, b: str, name: str) -> DataFrame:
     before = checksum(e)
     while before[0]:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), name)
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
         large = written(large, name)
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        drop(e, least)
+        least = written(large.groupBy("u").agg(F.min("v").alias("m")), name)
         small = large.join(least, "u").where("v != m").select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v"))
         e = written(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), name)
+        drop(large, least)
         after = checksum(e)
         if after == before:
             break

@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from framelake.llm.common import unused
+
 BITS = 16
 #: Languages a model may hold; a labelled table with more distinct values is refused, so what the driver gets is bounded.
 MAX_LANGUAGES = 200
@@ -169,9 +171,11 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                 out += rows
             yield pd.DataFrame(out, columns=["lang_pred", "score", "languages"])
 
-    infer_udf = F.pandas_udf(infer, "lang_pred string, score double, languages array<struct<lang:string,share:double>>")
-    out = docs.withColumn("_lang", infer_udf(F.col(text)))
-    return out.withColumns({k: F.col(f"_lang.{k}") for k in ("lang_pred", "score", "languages")}).drop("_lang")
+    # Marked so that a filter on its fields is not pushed below it, which would infer twice.
+    infer_udf = F.pandas_udf(infer, "lang_pred string, score double, languages array<struct<lang:string,share:double>>").asNondeterministic()
+    found = unused("found", docs.columns)
+    out = docs.withColumn(found, infer_udf(F.col(text)))
+    return out.withColumns({k: F.col(f"{found}.{k}") for k in ("lang_pred", "score", "languages")}).drop(found)
 
 
 def held_out(doc_id: Column) -> Column:

@@ -11,15 +11,15 @@ import hashlib
 import itertools
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from framelake.llm.common import connected, gram_hashes, mix, word_hashes, written
+from framelake.llm.common import connected, drop, gram_hashes, mix, word_hashes, written
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -30,6 +30,8 @@ BAG = 256
 #: Rounds in which a bucket's texts are compared with one of them, and texts of a bucket that meet in one cell after those.
 CENTERS = 2
 BLOCK = 1000
+#: Texts that a task compares with one center.
+COMPARED = 500
 _WORDS = re.compile(r"\w+").findall
 
 
@@ -38,27 +40,47 @@ def normal(text: str | None) -> str:
     return " ".join(_WORDS(text.lower())) if text else ""
 
 
+_scratch = np.empty(2 << 15, np.uint32)
+
+
+@lru_cache
+def _seeds(sketches: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of each hash function a 64-bit seed and an odd number."""
+    seeds = mix(np.arange(1, sketches + 1, dtype=np.uint64))
+    return seeds, (seeds >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+
+
 def sketch(words: np.ndarray, sketches: int = SKETCHES, kept: int = 2, k: int = SHINGLE) -> np.ndarray:
     """The order min hashes of a text, given its words' hashes; a text of fewer than k words is one gram."""
     grams = gram_hashes(words, min(k, len(words)))
+    n = len(grams)
     order = np.argsort(grams, kind="stable")
     same = grams[order]
     first = np.flatnonzero(np.concatenate([[True], same[1:] != same[:-1]]))
-    number = np.empty(len(grams), np.uint64)
-    number[order] = np.arange(len(grams)) - np.repeat(first, np.diff(first, append=len(grams)))
-    label = mix(grams + number * np.uint64(0xD1342543DE82EF95))
-    kept = min(kept, len(label))
-    seeds = mix(np.arange(1, sketches + 1, dtype=np.uint64))
+    label = grams
+    if len(first) < n:
+        number = np.empty(n, np.uint64)
+        number[order] = np.arange(n) - np.repeat(first, np.diff(first, append=n))
+        label = grams + number * np.uint64(0xD1342543DE82EF95)
+    # A gram's rank under a hash function is 32 bits of its label, multiplied and folded by an odd number of the function's own.
+    low = mix(label).astype(np.uint32)
+    kept = min(kept, n)
+    value, odd = _seeds(sketches)
     at = np.empty((sketches, kept), np.int64)
-    step = max(1, (1 << 15) // len(label))
+    step = max(1, (1 << 15) // n)
     for t in range(0, sketches, step):
-        rank = mix(label ^ seeds[t : t + step, None])
-        each = np.arange(len(rank))
+        some = odd[t : t + step, None]
+        size = len(some) * n
+        rank, fold = (np.empty((2, len(some), n), np.uint32) if 2 * size > len(_scratch) else _scratch[: 2 * size].reshape(2, len(some), n))
+        np.multiply(low, some, out=rank)
+        np.right_shift(rank, np.uint32(15), out=fold)
+        np.bitwise_xor(rank, fold, out=rank)
+        np.multiply(rank, np.uint32(0x2C1B3C6D), out=rank)
+        each = np.arange(len(some))
         for i in range(kept):
             at[t : t + step, i] = least = rank.argmin(axis=1)
-            rank[each, least] = np.iinfo(np.uint64).max
+            rank[each, least] = np.iinfo(np.uint32).max
     at.sort(axis=1)
-    value = seeds.copy()
     for i in range(kept):
         value = mix(value * np.uint64(31) + grams[at[:, i]])
     return value.view(np.int64)
@@ -144,13 +166,15 @@ def _bags(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, BAG)
 
 
-def _features(docs: DataFrame, key: str, text: str, sketches: int) -> DataFrame:
-    schema = docs.select(key).schema.add("text_hash", "binary").add("plain", "string").add("words", "long").add("bag", "binary").add("sketch", T.ArrayType(T.LongType()))
+def _features(docs: DataFrame, carried: list[str], text: str, sketches: int) -> DataFrame:
+    """(row, text_hash, plain, words, bag, sketch) of every row, row holding the carried columns."""
+    rows = docs.select(F.struct(*carried).alias("row"), F.col(text).alias("text"))
+    schema = rows.select("row").schema.add("text_hash", "binary").add("plain", "string").add("words", "long").add("bag", "binary").add("sketch", T.ArrayType(T.LongType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             digest, texts, number, bags, marks = [], [], [], [], []
-            for t in b.column(1):
+            for t in b["text"]:
                 plain = normal(t.as_py())
                 raw = plain.encode()
                 words = word_hashes(raw)
@@ -159,10 +183,10 @@ def _features(docs: DataFrame, key: str, text: str, sketches: int) -> DataFrame:
                 number.append(len(words))
                 bags.append(bag(words) if raw else None)
                 marks.append(sketch(words, sketches) if raw else [])
-            columns = [b.column(0), pa.array(digest, pa.binary()), pa.array(texts, pa.string()), pa.array(number, pa.int64()), pa.array(bags, pa.binary()), pa.array(marks, pa.list_(pa.int64()))]
+            columns = [b["row"], pa.array(digest, pa.binary()), pa.array(texts, pa.string()), pa.array(number, pa.int64()), pa.array(bags, pa.binary()), pa.array(marks, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(columns, schema.names)
 
-    return docs.select(key, text).mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
 def _possible(pairs: DataFrame, facts: DataFrame, least: float) -> DataFrame:
@@ -230,49 +254,54 @@ def _all_pairs(rows: DataFrame, facts: DataFrame, least: float, block: int) -> D
 
 
 def _verified(pairs: DataFrame, features: DataFrame, least: float) -> DataFrame:
-    """pairs (id, center) with near, by alignment of the texts of features (id, plain)."""
+    """pairs (id, center) with near, by alignment of the texts of features (id, plain).
+
+    A center's text goes once to each task that has texts to compare with it; the texts of a center of many are dealt to several."""
     members = pairs.select("id").union(pairs.select("center")).distinct()
     texts = written(features.select("id", "plain").join(members.hint("merge"), "id", "left_semi"), "near-texts")
-    both = pairs.join(texts.select("id", F.col("plain").alias("a")), "id").join(texts.select(F.col("id").alias("center"), F.col("plain").alias("b")), "center")
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last, words = None, []
-        for p in batches:
-            near = []
-            for a, b in zip(p["a"], p["b"], strict=True):
-                if b != last:
-                    last, words = b, b.split(" ")
-                near.append(similar(a.split(" "), words, least))
-            yield pd.DataFrame({"id": p["id"], "center": p["center"], "near": near})
-
-    return written(both.select("id", "center", "a", "b").mapInPandas(run, pairs.schema.add("near", "boolean")), "near-judged")
+    salts = written(pairs.groupBy("center").agg(F.ceil(F.count("*") / COMPARED).cast("int").alias("salts")), "near-salts")
+    mine = salts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).join(texts.withColumnRenamed("id", "center").hint("merge"), "center")
+    theirs = pairs.join(salts, "center").withColumn("salt", F.pmod(F.xxhash64("id"), "salts").cast("int")).join(texts.hint("merge"), "id")
+    dealt = mine.select("center", "salt", F.lit(None).cast("long").alias("id"), "plain").unionByName(theirs.select("center", "salt", "id", "plain"))
+    dealt = dealt.repartition("center", "salt").sortWithinPartitions("center", "salt", F.col("id").asc_nulls_first())
 
-
-def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", least: float = SIMILARITY, sketches: int = SKETCHES, block: int = BLOCK) -> DataFrame:
-    """(key, class_id) of every row: the least key of its class of texts that are linked by similarity of at least least.
-
-    Equal texts (after normalising case, punctuation and white space) share a class and go on as one. Texts that share an
-    order min hash meet in a bucket. First all texts of a bucket are compared with one of them, twice with different ones; that
-    joins large groups of near copies by as many comparisons as they have members. Then every two texts of a bucket that
-    aren't yet in one class are compared, so each colliding pair is verified or already in one class when this ends: none is
-    capped or sampled. Pairs whose lengths or word counts prove them too far apart are told without an alignment.
-    Links are then closed transitively. Two texts that share no hash are missed, as min hashing goes.
-    Null and wordless texts are classes of their own (class_id is the key); a null key takes the class of its text.
-    Rows that share a key are one document if their texts are equal; if not, the key has a row for each."""
-    features = written(_features(docs, key, text, sketches).withColumn("id", F.monotonically_increasing_id()), "near-features")
-    dtype = features.schema[key].dataType
-    # A text is named by the number of one of its rows; its key is the least one that isn't null.
-    nodes = written(features.where("text_hash IS NOT NULL").groupBy("text_hash").agg(F.min("id").alias("id"), F.min(key).alias("key")), "near-ids")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words: list[str] = []
+        for b in batches:
+            ids, centers, near = [], [], []
+            for center, id_, plain in zip(b["center"].to_pylist(), b["id"].to_pylist(), b["plain"], strict=True):
+                if id_ is None:
+                    words = plain.as_py().split(" ")
+                else:
+                    ids.append(id_)
+                    centers.append(center)
+                    near.append(similar(plain.as_py().split(" "), words, least))
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(centers, pa.int64()), pa.array(near, pa.bool_())], ["id", "center", "near"])
+
+    judged = written(dealt.mapInArrow(run, "id long, center long, near boolean"), "near-judged")
+    drop(texts, salts)
+    return judged
+
+
+def _linked(features: DataFrame, key: str, least: float, block: int) -> DataFrame:
+    """(text_hash, id, none, key, component), written, of each different text of features: the component of texts that links close, by the number
+    of one of its texts; id is the row that has the least key, if one isn't null, and none tells that all are."""
+    first = F.min(F.struct(F.col(f"row.{key}").isNull().alias("none"), F.col(f"row.{key}").alias("key"), "id")).alias("first")
+    nodes = features.where("text_hash IS NOT NULL").groupBy("text_hash").agg(first).select("text_hash", "first.*")
+    nodes = written(nodes, "near-ids")
     named = features.join(nodes.select("id").hint("merge"), "id", "left_semi")
-    facts = written(named.select("id", "words", "bag", "sketch"), "near-facts")
-    rows = facts.select("id", F.explode("sketch").alias("value"))
-    facts = facts.select("id", "words", "bag")
+    all_facts = written(named.select("id", "words", "bag", "sketch"), "near-facts")
+    rows = all_facts.select("id", F.explode("sketch").alias("value"))
+    facts = all_facts.select("id", "words", "bag")
     links, judged, parts = None, None, None
     for depth in range(CENTERS + 1):
         if parts is None:
+            classed = None
             rows = rows.withColumn("class", F.col("id"))
         else:
-            rows = written(rows.join(parts, "id", "left").select("value", "id", F.coalesce("component", "id").alias("class")), "near-classed")
+            classed = written(rows.join(parts, "id", "left").select("value", "id", F.coalesce("component", "id").alias("class")), "near-classed")
+            drop(buckets)
+            rows = classed
         first = [F.min("id").alias("center"), F.min("id").alias("center_class"), F.max("id").alias("other")]
         later = [F.min(F.struct(F.xxhash64("id", F.lit(depth)), F.col("id").alias("center"), F.col("class").alias("center_class"))).alias("c"), F.min("class").alias("low"), F.max("class").alias("high"), F.count("*").alias("n")]
         if not depth:
@@ -280,28 +309,69 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", least: flo
         else:
             # Of two texts, the first round has compared both.
             centers = rows.groupBy("value").agg(*later).where("low < high AND n > 2").select("value", "c.center", "c.center_class")
-        rows = written(rows.join(centers, "value"), "near-buckets")
-        if rows.isEmpty():
+        buckets = written(rows.join(centers, "value"), "near-buckets")
+        if classed is not None:
+            drop(classed)
+        if buckets.isEmpty():
             break
         if depth < CENTERS:
-            met = rows.where("class != center_class").select(F.greatest("id", "center").alias("id"), F.least("id", "center").alias("center")).distinct()
+            met = buckets.where("class != center_class").select(F.greatest("id", "center").alias("id"), F.least("id", "center").alias("center")).distinct()
             pairs = _possible(met, facts, least)
         else:
-            pairs = _all_pairs(rows.select("value", "id", "class"), facts, least, block)
-        rows = rows.select("value", "id")
+            pairs = _all_pairs(buckets.select("value", "id", "class"), facts, least, block)
+        rows = buckets.select("value", "id")
         if judged is not None:
             pairs = pairs.join(judged, ["id", "center"], "left_anti")
-        new = _verified(written(pairs, "near-pairs"), features, least)
+        pairs = written(pairs, "near-pairs")
+        new = _verified(pairs, features, least)
+        drop(pairs)
         judged = new.drop("near") if judged is None else judged.unionByName(new.drop("near"))
         found = new.where("near").select("id", "center")
         links = found if links is None else links.unionByName(found)
         if parts is None or not found.isEmpty():
-            parts = written(connected(links, "id", "center", "near-links").select(F.col("node").alias("id"), "component"), "near-parts")
+            linked = connected(links, "id", "center", "near-links")
+            parts = written(linked.select(F.col("node").alias("id"), "component"), "near-parts")
+    drop(buckets)
     known = nodes.withColumn("component", F.col("id")) if parts is None else nodes.join(parts, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    known = written(known, "near-known")
+    drop(nodes, all_facts)
+    return known
+
+
+def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", least: float = SIMILARITY, sketches: int = SKETCHES, block: int = BLOCK) -> DataFrame:
+    """(key, class_id) of every row: the least key of its class of texts that are linked by similarity of at least least.
+
+    Equal texts (after normalising case, punctuation and white space) share a class and go on as one. Texts that share an
+    order min hash meet in a bucket. First all texts of a bucket are compared with one of them, twice with different ones; that
+    joins large groups of near copies by as many comparisons as they have members. Then every two texts of a bucket that
+    aren't yet in one class are compared, so each colliding pair is verified or already in one class when this ends: none is
+    capped or sampled. Pairs whose lengths or word counts prove them too far apart are told without an alignment.
+    Links are then closed transitively. Two texts that share no hash are missed, as min hashing goes.
+    Null and wordless texts are classes of their own (class_id is the key); a null key takes the class of its text.
+    Rows that share a key have a row each, by their own texts."""
+    features = written(_features(docs, [key], text, sketches).withColumn("id", F.monotonically_increasing_id()), "near-features")
+    known = _linked(features, key, least, block)
     least_key = known.groupBy("component").agg(F.min("key").alias("class_id"))
-    known = known.join(least_key, "component").select("text_hash", F.col("class_id").cast(dtype))
-    out = features.select(key, "text_hash").join(known, "text_hash", "left")
-    return out.select(key, F.coalesce("class_id", F.when(F.col("text_hash").isNull(), F.col(key))).alias("class_id"))
+    known_key = known.join(least_key, "component").select("text_hash", "class_id")
+    own = F.col(f"row.{key}")
+    found = features.select("row", "text_hash").join(known_key, "text_hash", "left").select(own, F.when(F.col("text_hash").isNull(), own).otherwise(F.col("class_id")).alias("class_id"))
+    found = written(found, "near-classes")
+    drop(features, known)
+    return found
+
+
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", least: float = SIMILARITY, sketches: int = SKETCHES, block: int = BLOCK) -> DataFrame:
+    """The rows of docs that stay when one of each class, as above, does: the one of least key, a null key only where the class has no other, and one of equal rows.
+
+    Rows are told apart by themselves and not by their key, so different texts of one key or without one don't replace each other.
+    Null and wordless texts are no copies, and stay. All columns stay, whatever they are called."""
+    features = written(_features(docs, docs.columns, text, sketches).withColumn("id", F.monotonically_increasing_id()), "near-features")
+    known = _linked(features, key, least, block)
+    chosen = written(known.groupBy("component").agg(F.min(F.struct("none", "key", "id")).alias("first")).select("first.id"), "near-chosen")
+    texts = features.where("text_hash IS NOT NULL").join(chosen, "id", "left_semi").unionByName(features.where("text_hash IS NULL"))
+    kept = written(texts.select("row.*"), "near-kept")
+    drop(features, known, chosen)
+    return kept
 
 
 def query(spark, sf_dir: str) -> DataFrame:

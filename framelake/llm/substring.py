@@ -2,15 +2,18 @@
 
 1. Anchors. Every run of window words holds an anchor, a short gram chosen by its hash alone, so equal windows have equal
    anchors. Anchors that occur once in the corpus rule out the windows around them.
-2. Recurring windows are counted by hash, with the words that follow. Windows that are always followed alike and equally
-   often are chained into one passage: each recurring window lies in exactly one passage, and wherever its first window occurs, the
-   whole passage does.
-3. Passages, cut where their anchor changes, are dealt into shards by anchor, and so are the documents' stretches around anchors that
-   recur. A task compiles its shard's passages into an automaton over words and streams the shard's stretches through
-   it; matches are exact, by words and not by hashes. Shards with many stretches are salted: several tasks compile the same
-   automaton and share the stretches. So each stretch meets one automaton, and work grows with the text.
-
-Equal texts go through all this once, weighted by their number."""
+2. Stretches. The windows in a row that share an anchor are one stretch of text. Equal stretches, by a 128-bit digest of their words, are
+   brought together first, and only one of each goes on, with its number: near copies have most of theirs in common.
+3. Recurring windows are confirmed by counting the 128-bit digests of their words over these stretches. Windows that are always
+   followed alike and equally often are chained into one passage: each recurring window lies in exactly one passage, and
+   wherever its first window occurs, the whole passage does.
+4. Passages are dealt into shards by anchor, and so are the stretches. A task compiles its shard's passages into an automaton over
+   words and streams the shard's stretches through it. Shards with many stretches are salted: several tasks compile the same
+   automaton and share the stretches. Every document's stretches around recurring anchors are so searched, and what is found holds for
+   all places of a stretch.
+
+Equal texts go through all this once, weighted by their number. Texts are named by the SHA-256 of their characters, never by
+their key, so null and repeated keys cost nothing. Tables are deleted once their last reader is written."""
 
 from __future__ import annotations
 
@@ -20,11 +23,11 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from framelake.llm.common import WORD_RE, gram_hashes, new_folder, word_hashes, written
+from framelake.llm.common import WORD_RE, drop, gram_hashes, unused, word_hashes, word_places, written
 
 WINDOW = 35
 ANCHOR = 8
@@ -32,16 +35,30 @@ ANCHOR = 8
 SHARD_WORDS = 400_000
 #: A shard with more stretches than this, and than twice the mean, is shared by several tasks.
 SHARD_STRETCHES = 2_000
-
-_SPANS = "array<struct<a:int,b:int>>"
+#: Up to so many involved texts (32 bytes each) their names are broadcast, to leave the others out before texts are shuffled.
+BROADCAST_TEXTS = 200_000
 
 
 def words_of(text: str | None) -> list[str]:
     return WORD_RE.findall(text) if text else []
 
 
-def _digest(words: list[str]) -> bytes:
-    return hashlib.sha256(" ".join(words).encode()).digest()
+def _plain(text: str | None) -> bytes:
+    return " ".join(words_of(text)).encode()
+
+
+def _sid(text: str) -> Column:
+    return F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")), 256))
+
+
+def _digest(raw: bytes) -> bytes:
+    return hashlib.blake2b(raw, digest_size=16).digest()
+
+
+def _halves(digests: list[bytes]) -> list[pa.Array]:
+    """Digests of 16 bytes as two columns of fixed width, so that Spark counts them in hash maps."""
+    both = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+    return [pa.array(np.ascontiguousarray(both[:, k])) for k in range(2)]
 
 
 def anchors_of(words: np.ndarray, window: int = WINDOW, k: int = ANCHOR) -> tuple[np.ndarray, np.ndarray]:
@@ -57,143 +74,152 @@ def anchors_of(words: np.ndarray, window: int = WINDOW, k: int = ANCHOR) -> tupl
     return at + np.arange(n), grams
 
 
-def _arrow_map(df: DataFrame, rows_of, schema: T.StructType) -> DataFrame:
-    """df through rows_of(tuple) -> iterable of tuples, written out in Arrow batches of bounded size."""
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    arrow = to_arrow_schema(schema)
+def _arrow_map(df: DataFrame, columns_of, schema: str, rows: int = 256) -> DataFrame:
+    """df through columns_of(batch) -> list of Arrow arrays or None, in slices of so many rows."""
+    names = T._parse_datatype_string(schema).names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
         for b in batches:
-            columns = [c for c in b.columns]
-            for i in range(b.num_rows):
-                held.extend(rows_of(*(c[i].as_py() for c in columns)))
-                if len(held) >= 2000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held, strict=True), arrow.types, strict=True)], schema=arrow)
-                    held = []
-        if held:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held, strict=True), arrow.types, strict=True)], schema=arrow)
+            for a in range(0, b.num_rows, rows):
+                columns = columns_of(b.slice(a, rows))
+                if columns is not None:
+                    yield pa.RecordBatch.from_arrays(columns, names)
 
     return df.mapInArrow(run, schema)
 
 
 def features(docs: DataFrame, key: str, text: str, window: int) -> DataFrame:
-    """(key, sid, n_words, at, anchor) of every row; sid, the SHA-256 of its words, stands for the text."""
-    schema = docs.select(key).schema.add("sid", "binary").add("n_words", "long").add("at", T.ArrayType(T.IntegerType())).add("anchor", T.ArrayType(T.LongType()))
-
-    def rows_of(k, t):
-        words = words_of(t)
-        joined = " ".join(words).encode()
-        if len(words) >= window:
-            at, grams = anchors_of(word_hashes(joined), window)
-            at = np.unique(at)
-            yield k, hashlib.sha256(joined).digest(), len(words), at.astype(np.int32), grams[at].view(np.int64)
-        else:
-            yield k, hashlib.sha256(joined).digest(), len(words), [], []
-
-    return _arrow_map(docs.select(key, text), rows_of, schema)
-
-
-def involved(docs: DataFrame, each: DataFrame, key: str, text: str) -> DataFrame:
-    """(rid, sid, n, text, at): each different text that has an anchor which recurs in the corpus, how many rows have it, and those anchors' places."""
-    order = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), "at", "anchor")
-    once = each.where(F.size("at") > 0).groupBy("sid").agg(F.min(order).alias("r"), F.count("*").alias("n"))
+    """(row, sid, n_words, plain, at, anchor) of every row: row holds the key, sid names the text, plain is the SHA-256 of its words,
+    at and anchor are the places and hashes of its anchors."""
+    rows = docs.select(F.struct(F.col(key)).alias("row"), _sid(text).alias("sid"), F.col(text).alias("text"))
+
+    def columns_of(b):
+        number, plain, at, anchor = [], [], [], []
+        for t in b["text"]:
+            raw = _plain(t.as_py())
+            words = word_hashes(raw)
+            places, grams = anchors_of(words, window)
+            places = np.unique(places)
+            number.append(len(words))
+            plain.append(hashlib.sha256(raw).digest())
+            at.append(places.astype(np.int32))
+            anchor.append(grams[places].view(np.int64))
+        return [b["row"], b["sid"], pa.array(number, pa.int64()), pa.array(plain, pa.binary()), pa.array(at, pa.list_(pa.int32())), pa.array(anchor, pa.list_(pa.int64()))]
+
+    row = rows.schema["row"].dataType.simpleString()
+    return _arrow_map(rows, columns_of, f"row {row}, sid binary, n_words long, plain binary, at array<int>, anchor array<long>")
+
+
+def involved(docs: DataFrame, each: DataFrame, text: str) -> DataFrame:
+    """(rid, sid, n, text, at), written: each different text that has an anchor which recurs in the corpus, how many rows have it, and those anchors' places."""
+    once = each.where(F.size("at") > 0).groupBy("sid").agg(F.first("at").alias("at"), F.first("anchor").alias("anchor"), F.count("*").alias("n"))
     # Written before it is used again, so the numbers stay.
-    once = written(once.select(F.monotonically_increasing_id().alias("rid"), "sid", "n", F.col("r.key").alias("key"), "r.at", "r.anchor"), "repeats-texts")
+    once = written(once.withColumn("rid", F.monotonically_increasing_id()), "repeats-texts")
     pairs = once.select("rid", "n", F.explode(F.arrays_zip("at", "anchor")).alias("x")).select("rid", "n", F.col("x.at").alias("at"), F.col("x.anchor").alias("anchor"))
     common = pairs.groupBy("anchor").agg(F.sum("n").alias("total")).where("total > 1").select("anchor")
     marked = pairs.select("rid", "at", "anchor").join(common, "anchor", "left_semi").groupBy("rid").agg(F.collect_list("at").alias("at"))
-    marked = marked.join(once.select("rid", "sid", "n", "key"), "rid")
-    texts = docs.select(F.col(key).alias("_key"), F.col(text).alias("text"))
-    met = texts.join(marked, F.col("_key").eqNullSafe(F.col("key"))).select("rid", "sid", "n", "text", "at")
-    schema = met.schema
-
-    def rows_of(rid, sid, n, t, at):
-        if _digest(words_of(t)) == sid:  # a key may have several texts
-            yield rid, sid, n, t, at
-
-    folder = new_folder(docs.sparkSession, "repeats-involved")
-    _arrow_map(met, rows_of, schema).write.option("compression", "zstd").parquet(folder)
-    return docs.sparkSession.read.schema(schema).parquet(folder)
-
-
-def recurring(texts: DataFrame, window: int) -> DataFrame:
-    """(rid, at, n, alike): for each window hash that occurs twice or more, one place of it, its number, and whether the same word follows everywhere."""
-    reach = window - ANCHOR
-    schema = T.StructType().add("hash", "long").add("n", "long").add("rid", "long").add("at", T.IntegerType()).add("follows", "long")
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    arrow = to_arrow_schema(schema)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for rid, n, t, at in zip(*(b.column(c) for c in ("rid", "n", "text", "at")), strict=True):
-                words = word_hashes(" ".join(words_of(t.as_py())))
-                hashes = gram_hashes(words, window)
-                edge = np.zeros(len(hashes) + 1, np.int64)
-                places = at.values.to_numpy()
-                np.add.at(edge, np.maximum(places - reach, 0), 1)
-                np.add.at(edge, np.minimum(places + 1, len(hashes)), -1)
-                here = np.flatnonzero(np.cumsum(edge[:-1]) > 0)
-                after = here + window
-                ends = after >= len(words)
-                follows = pa.array(words[np.minimum(after, len(words) - 1)].view(np.int64), mask=ends)
-                for a in range(0, len(here), 1 << 16):
-                    part = slice(a, a + (1 << 16))
-                    size = len(here[part])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(hashes[here[part]].view(np.int64)), pa.array(np.full(size, n.as_py())), pa.array(np.full(size, rid.as_py())), pa.array(here[part].astype(np.int32)), follows[part]], schema=arrow
-                    )
-
-    each = texts.select("rid", "n", "text", "at").mapInArrow(run, schema)
-    # Of a window's places one is chosen by hash, in fixed-width buffers, so that counts are combined in hash maps before the shuffle.
-    order = F.xxhash64("rid", "at")
-    met = each.groupBy("hash").agg(F.sum("n").alias("n"), F.min_by("rid", order).alias("rid"), F.min_by("at", order).alias("at"), F.min("follows").alias("low"), F.max("follows").alias("high"), F.count("follows").alias("followed"), F.count("*").alias("rows"))
-    return met.where("n > 1").select("rid", "at", "n", F.coalesce(F.expr("low = high AND followed = rows"), F.lit(False)).alias("alike"))
-
-
-def passages(texts: DataFrame, places: DataFrame, window: int) -> DataFrame:
-    """(anchor, passage, n_words): the recurring windows' words, chained where they always follow each other and have one anchor."""
-    by_text = places.groupBy("rid").agg(F.collect_list(F.struct("at", "n", "alike")).alias("places"))
-    schema = T.StructType().add("anchor", "long").add("passage", "string").add("n_words", "long")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            anchors, found, sizes = [], [], []
-            for t, places in zip(b.column(0), b.column(1), strict=True):
-                words = words_of(t.as_py())
-                anchor_at, grams = anchors_of(word_hashes(" ".join(words)), window)
-                at, n, alike = (places.values.field(k).to_numpy(zero_copy_only=False) for k in range(3))
-                order = np.argsort(at, kind="stable")
-                at, n, alike = at[order], n[order], alike[order].astype(bool)
-                goes_on = alike[:-1] & (at[1:] == at[:-1] + 1) & (n[1:] == n[:-1]) & (anchor_at[at[1:]] == anchor_at[at[:-1]])
-                last = np.append(np.flatnonzero(~goes_on), len(at) - 1)
-                first = np.append(0, last[:-1] + 1)
-                anchors.append(grams[anchor_at[at[first]]].view(np.int64))
-                sizes.append(at[last] - at[first] + window)
-                found += [" ".join(words[x:y]) for x, y in zip(at[first].tolist(), (at[last] + window).tolist(), strict=True)]
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(anchors)), pa.array(found, pa.string()), pa.array(np.concatenate(sizes).astype(np.int64))], ["anchor", "passage", "n_words"])
-
-    return texts.select("rid", "text").join(by_text, "rid").select("text", "places").mapInArrow(run, schema)
+    marked = written(marked.join(once.select("rid", "sid", "n"), "rid"), "repeats-marked")
+    drop(once)
+    texts = docs.select(_sid(text).alias("sid"), F.col(text).alias("text"))
+    if marked.count() <= BROADCAST_TEXTS:
+        texts = texts.join(F.broadcast(marked.select("sid")), "sid", "left_semi")
+    # One row of each text, chosen before the shuffle, so a text that very many rows have is not gathered.
+    met = texts.groupBy("sid").agg(F.first("text").alias("text")).join(marked, "sid").select("rid", "sid", "n", "text", "at")
+    met = written(met, "repeats-involved")
+    drop(marked)
+    return met
 
 
 def stretches(texts: DataFrame, window: int) -> DataFrame:
-    """(anchor, stretch, sid, begin): the words of all windows in a row that share an anchor which recurs, and where they begin."""
-    schema = T.StructType().add("anchor", "long").add("stretch", "string").add("sid", "binary").add("begin", T.IntegerType())
-
-    def rows_of(sid, t, at):
-        words = words_of(t)
-        anchor_at, grams = anchors_of(word_hashes(" ".join(words)), window)
-        begin = np.flatnonzero(np.diff(anchor_at, prepend=-1))
-        end = np.append(begin[1:], len(anchor_at)) + window - 1
-        places = anchor_at[begin]
-        known = np.isin(places, at)
-        for a, b, g in zip(begin[known].tolist(), end[known].tolist(), grams[places[known]].view(np.int64).tolist(), strict=True):
-            yield g, " ".join(words[a:b]), sid, a
-
-    return _arrow_map(texts.select("sid", "text", "at"), rows_of, schema)
+    """(hi, lo, anchor, rid, begin, size, n): the windows in a row that share an anchor which recurs: digest of their words, and where they are."""
+
+    def columns_of(b):
+        digests, anchors, begins, sizes, counts = [], [], [], [], []
+        for t, at in zip(b["text"], b["at"], strict=True):
+            raw = _plain(t.as_py())
+            places, grams = anchors_of(word_hashes(raw), window)
+            begin = np.flatnonzero(np.diff(places, prepend=-1))
+            end = np.append(begin[1:], len(places)) + window - 1
+            known = np.isin(places[begin], at.values.to_numpy())
+            begin, end = begin[known], end[known]
+            first, last = word_places(raw)
+            digests += [_digest(raw[x:y]) for x, y in zip(first[begin].tolist(), last[end - 1].tolist(), strict=True)]
+            anchors.append(grams[places[begin]].view(np.int64))
+            begins.append(begin)
+            sizes.append(end - begin)
+            counts.append(len(begin))
+        if not digests:
+            return None
+        wide = [np.repeat(b[c].to_numpy(), counts) for c in ("rid", "n")]
+        return [*_halves(digests), pa.array(np.concatenate(anchors)), pa.array(wide[0]), pa.array(np.concatenate(begins).astype(np.int32)), pa.array(np.concatenate(sizes).astype(np.int32)), pa.array(wide[1])]
+
+    return _arrow_map(texts.select("rid", "n", "text", "at"), columns_of, "hi long, lo long, anchor long, rid long, begin int, size int, n long")
+
+
+def different(texts: DataFrame, places: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Two written tables: of each different stretch one place, n and stid; and (stid, anchor, n, words): its words, and how often it occurs."""
+    least = [F.min("rid").alias("rid"), F.min_by("begin", "rid").alias("begin"), F.min("size").alias("size"), F.min("anchor").alias("anchor"), F.sum("n").alias("n")]
+    names = written(places.groupBy("hi", "lo").agg(*least).withColumn("stid", F.monotonically_increasing_id()), "repeats-names")
+    by_text = names.groupBy("rid").agg(F.collect_list(F.struct("stid", "begin", "size", "anchor", "n")).alias("places"))
+
+    def columns_of(b):
+        found = []
+        for t, places in zip(b["text"], b["places"], strict=True):
+            words = words_of(t.as_py())
+            of = [places.values.field(k).to_pylist() for k in range(5)]
+            found += [(stid, anchor, n, " ".join(words[begin : begin + size])) for stid, begin, size, anchor, n in zip(*of, strict=True)]
+        return [pa.array(c, t) for c, t in zip(zip(*found, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.string()), strict=True)]
+
+    words = _arrow_map(texts.select("rid", "text").join(by_text, "rid").select("text", "places"), columns_of, "stid long, anchor long, n long, words string")
+    return names, written(words, "repeats-stretches")
+
+
+def recurring(words: DataFrame, window: int) -> DataFrame:
+    """(stid, at, n, alike): for each window that occurs twice or more, one place of it, its number, and whether the same window follows everywhere."""
+
+    def columns_of(b):
+        digests, follows, last, sizes = [], [], [], []
+        for t in b["words"]:
+            raw = t.as_py().encode()
+            first, end = word_places(raw)
+            here = [_digest(raw[x:y]) for x, y in zip(first[: len(first) - window + 1].tolist(), end[window - 1 :].tolist(), strict=True)]
+            digests += here
+            follows += [*here[1:], here[0]]
+            last += [False] * (len(here) - 1) + [True]
+            sizes.append(len(here))
+        if not digests:
+            return None
+        stid, n = (np.repeat(b[c].to_numpy(), sizes) for c in ("stid", "n"))
+        at = np.concatenate([np.arange(k, dtype=np.int32) for k in sizes])
+        after = _halves(follows)[0].to_numpy()
+        return [*_halves(digests), pa.array(stid), pa.array(at), pa.array(n), pa.array(after, mask=np.array(last))]
+
+    each = _arrow_map(words.select("stid", "n", "words"), columns_of, "hi long, lo long, stid long, at int, n long, follows long")
+    # Windows of one chain have the same stretches, and so the same least one.
+    met = each.groupBy("hi", "lo").agg(F.sum("n").alias("n"), F.min("stid").alias("stid"), F.min_by("at", "stid").alias("at"), F.min("follows").alias("low"), F.max("follows").alias("high"), F.count("follows").alias("followed"), F.count("*").alias("rows"))
+    return met.where("n > 1").select("stid", "at", "n", F.coalesce(F.expr("low = high AND followed = rows"), F.lit(False)).alias("alike"))
+
+
+def passages(words: DataFrame, places: DataFrame, window: int) -> DataFrame:
+    """(anchor, passage, n_words): the recurring windows' words, chained where they always follow each other."""
+    by_stretch = places.groupBy("stid").agg(F.collect_list(F.struct("at", "n", "alike")).alias("places"))
+
+    def columns_of(b):
+        found, sizes, counts = [], [], []
+        for t, places in zip(b["words"], b["places"], strict=True):
+            words = t.as_py().split(" ")
+            at, n, alike = (places.values.field(k).to_numpy(zero_copy_only=False) for k in range(3))
+            order = np.argsort(at, kind="stable")
+            at, n, alike = at[order], n[order], alike[order].astype(bool)
+            goes_on = alike[:-1] & (at[1:] == at[:-1] + 1) & (n[1:] == n[:-1])
+            last = np.append(np.flatnonzero(~goes_on), len(at) - 1)
+            first = np.append(0, last[:-1] + 1)
+            sizes.append(at[last] - at[first] + window)
+            counts.append(len(first))
+            found += [" ".join(words[x:y]) for x, y in zip(at[first].tolist(), (at[last] + window).tolist(), strict=True)]
+        return [pa.array(np.repeat(b["anchor"].to_numpy(), counts)), pa.array(found, pa.string()), pa.array(np.concatenate(sizes).astype(np.int64))]
+
+    return _arrow_map(words.select("stid", "anchor", "words").join(by_stretch, "stid").select("anchor", "words", "places"), columns_of, "anchor long, passage string, n_words long")
 
 
 class Shard:
@@ -222,52 +248,65 @@ class Shard:
         return out
 
 
-def located(texts: DataFrame, found: DataFrame, window: int, shard_words: int = SHARD_WORDS, shard_stretches: int = SHARD_STRETCHES) -> DataFrame:
-    """(sid, spans): where passages occur in the texts."""
-    spark = texts.sparkSession
-    span = T.ArrayType(T.StructType().add("a", T.IntegerType()).add("b", T.IntegerType()))
-    schema = T.StructType().add("sid", "binary").add("spans", span)
+_SPANS = "array<struct<a:int,b:int>>"
+
+
+def located(words: DataFrame, found: DataFrame, shard_words: int = SHARD_WORDS, shard_stretches: int = SHARD_STRETCHES) -> DataFrame:
+    """(stid, spans): where passages occur in the stretches."""
+    spark = words.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     total = found.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
     shards = max(parts, -(-total // shard_words))
     shard = F.pmod(F.xxhash64("anchor"), F.lit(shards)).alias("shard")
-    given = found.groupBy(shard).agg(F.count("*").alias("n")).select("shard")
-    across = written(stretches(texts, window).select(shard, "stretch", "sid", "begin").join(given, "shard", "left_semi"), "repeats-stretches")
-    most = max(shard_stretches, 2 * across.count() // shards)
-    salts = written(across.groupBy("shard").agg(F.ceil(F.count("*") / most).cast("int").alias("salts")), "repeats-salts")
-    mine = found.select(shard, "passage").join(salts, "shard").select("shard", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("kind"), F.col("passage").alias("words"), F.lit(None).cast("binary").alias("sid"), F.lit(0).alias("begin"))
-    theirs = across.join(salts, "shard").select("shard", F.pmod(F.xxhash64("sid", "begin"), F.col("salts")).cast("int").alias("salt"), F.lit(1).alias("kind"), F.col("stretch").alias("words"), "sid", "begin")
-    dealt = mine.unionByName(theirs).repartition(max(parts, shards), "shard", "salt").sortWithinPartitions("shard", "salt", "kind")
+    sizes = words.groupBy(shard).agg(F.count("*").alias("n"))
+    most = max(shard_stretches, 2 * sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] // shards)
+    # A row a shard, whose number the words of passages bound.
+    salts = written(found.select(shard).distinct().join(sizes, "shard").select("shard", F.ceil(F.col("n") / most).cast("int").alias("salts")), "repeats-salts")
+    mine = found.select(shard, "passage").join(salts, "shard").select("shard", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(None).cast("long").alias("stid"), F.col("passage").alias("words"))
+    theirs = words.select(shard, "stid", "words").join(salts, "shard").select("shard", F.pmod(F.xxhash64("stid"), F.col("salts")).cast("int").alias("salt"), "stid", "words")
+    dealt = mine.unionByName(theirs).repartition(max(parts, shards), "shard", "salt").sortWithinPartitions("shard", "salt", F.col("stid").asc_nulls_first())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, some, automaton, seen = None, [], None, {}
+        now, some, automaton = None, [], None
         for b in batches:
-            sids, spans = [], []
-            for place, salt, kind, text, sid, begin in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            ids, spans = [], []
+            for place, salt, stid, text in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if (place, salt) != now:
-                    now, some, automaton, seen = (place, salt), [], None, {}
-                if kind == 0:
+                    now, some, automaton = (place, salt), [], None
+                if stid is None:
                     some.append(text)
                     continue
                 if automaton is None:
                     automaton, some = Shard(some), []
-                got = seen.get(text)  # near copies have the same stretches
-                if got is None:
-                    got = seen[text] = automaton.spans(text.split(" "))
+                got = automaton.spans(text.split(" "))
                 if got:
-                    sids.append(sid)
-                    spans.append([{"a": begin + x, "b": begin + y} for x, y in got])
-            yield pa.RecordBatch.from_arrays([pa.array(sids, pa.binary()), pa.array(spans, pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())])))], ["sid", "spans"])
+                    ids.append(stid)
+                    spans.append([{"a": x, "b": y} for x, y in got])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(spans, pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())])))], ["stid", "spans"])
 
-    return dealt.mapInArrow(run, schema).groupBy("sid").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    out = written(dealt.mapInArrow(run, f"stid long, spans {_SPANS}"), "repeats-spans")
+    drop(salts)
+    return out
 
 
 def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW, shard_words: int = SHARD_WORDS) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """What the results are made of: each row's (key, sid, n_words), the involved texts, and the spans of their repeated words."""
+    """What the results are made of, written: each row's (row, sid, n_words, plain), the involved texts, and the spans of their repeated words by rid."""
+    if window < ANCHOR:
+        raise ValueError(f"a window has at least {ANCHOR} words")
     each = written(features(docs, key, text, window), "repeats-features")
-    texts = involved(docs, each, key, text)
-    found = written(passages(texts, recurring(texts, window), window), "repeats-passages")
-    return each.select(key, "sid", "n_words"), texts, written(located(texts, found, window, shard_words), "repeats-located")
+    texts = involved(docs, each, text)
+    places = written(stretches(texts, window), "repeats-places")
+    names, words = different(texts, places)
+    found = written(passages(words, recurring(words, window), window), "repeats-passages")
+    spans = located(words, found, shard_words)
+    drop(words, found)
+    by_name = written(names.select("hi", "lo", "stid").join(spans, "stid").select("hi", "lo", "spans"), "repeats-known")
+    drop(names, spans)
+    shifted = F.transform("spans", lambda s: F.struct((s["a"] + F.col("begin")).alias("a"), (s["b"] + F.col("begin")).alias("b")))
+    of_texts = places.select("hi", "lo", "rid", "begin").join(by_name, ["hi", "lo"]).groupBy("rid").agg(F.flatten(F.collect_list(shifted)).alias("spans"))
+    of_texts = written(of_texts, "repeats-located")
+    drop(places, by_name)
+    return each, texts, of_texts
 
 
 def _covered(n: int, spans) -> np.ndarray:
@@ -282,48 +321,55 @@ def digests(docs: DataFrame, key: str = "doc_id", text: str = "text", window: in
     """(key, n_words, n_removed, kept_sha256) of every row.
 
     A word goes if a run of window words that covers it occurs anywhere else, in the same row or another, equal rows
-    included; all of its occurrences go. Null, empty and shorter texts lose nothing. Rows that share a key are judged
-    each by its own text; a null key is a key like others."""
+    included; all of its occurrences go. Null, empty and shorter texts lose nothing. Each row is judged by its own text, so null and
+    repeated keys don't matter; other columns are left out."""
     each, texts, spans = repeats(docs, key, text, window, shard_words)
-    schema = T.StructType().add("sid", "binary").add("n_removed", "long").add("kept", "binary")
 
-    def rows_of(sid, t, spans):
-        words = words_of(t)
-        gone = _covered(len(words), spans).tolist()
-        yield sid, sum(gone), _digest([w for w, g in zip(words, gone, strict=True) if not g])
-
-    changed = _arrow_map(texts.join(spans, "sid").select("sid", "text", "spans"), rows_of, schema).dropDuplicates(["sid"])
-    out = each.join(changed, "sid", "left")
-    return out.select(key, "n_words", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"), F.lower(F.hex(F.coalesce("kept", "sid"))).alias("kept_sha256"))
+    def columns_of(b):
+        removed, kept = [], []
+        for t, some in zip(b["text"], b["spans"], strict=True):
+            words = words_of(t.as_py())
+            gone = _covered(len(words), some.as_py()).tolist()
+            removed.append(sum(gone))
+            kept.append(hashlib.sha256(" ".join([w for w, g in zip(words, gone, strict=True) if not g]).encode()).digest())
+        return [b["sid"], pa.array(removed, pa.int64()), pa.array(kept, pa.binary())]
+
+    changed = written(_arrow_map(texts.join(spans, "rid").select("sid", "text", "spans"), columns_of, "sid binary, n_removed long, kept binary"), "repeats-changed")
+    drop(texts, spans)
+    out = each.select("row", "sid", "n_words", "plain").join(changed, "sid", "left")
+    return out.select(f"row.{key}", "n_words", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"), F.lower(F.hex(F.coalesce("kept", "plain"))).alias("kept_sha256"))
+
+
+def _cut(text: str, spans) -> str:
+    words = list(WORD_RE.finditer(text))
+    gone = _covered(len(words), spans)
+    edge = np.flatnonzero(np.diff(gone.astype(np.int8), prepend=0, append=0))
+    kept, last = [], 0
+    for a, b in zip(edge[::2], edge[1::2], strict=True):
+        kept.append(text[last : words[a].start()].rstrip() if a else "")
+        last = words[b].start() if b < len(words) else len(text)
+    kept.append(text[last:])
+    return "\n".join(k for k in kept if k)
 
 
 def remove(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW, shard_words: int = SHARD_WORDS) -> DataFrame:
-    """docs with the repeated words, as above, cut from the text; what stays keeps its white space, but for what stood around a cut."""
-    each, _, spans = repeats(docs, key, text, window, shard_words)
-    cuts = each.join(spans, "sid").select(F.col(key).alias("_key"), F.col("sid").alias("_sid"), F.col("spans").alias("_spans")).dropDuplicates(["_key", "_sid"])
-    grouped = cuts.groupBy("_key").agg(F.collect_list(F.struct(F.col("_sid").alias("sid"), F.col("_spans").alias("spans"))).alias("_cuts"))
-    schema = docs.schema
-    at = schema.names.index(text)
-
-    def rows_of(cuts, *row):
-        if cuts:
-            t = row[at]
-            words = list(WORD_RE.finditer(t or ""))
-            sid = _digest([m[0] for m in words])
-            for c in cuts:
-                if c["sid"] == sid:
-                    gone = _covered(len(words), c["spans"])
-                    edge = np.flatnonzero(np.diff(gone.astype(np.int8), prepend=0, append=0))
-                    kept, last = [], 0
-                    for a, b in zip(edge[::2], edge[1::2], strict=True):
-                        kept.append(t[last : words[a].start()].rstrip() if a else "")
-                        last = words[b].start() if b < len(words) else len(t)
-                    kept.append(t[last:])
-                    row = (*row[:at], "\n".join(k for k in kept if k), *row[at + 1 :])
-        yield row
-
-    joined = docs.join(grouped, F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
-    return _arrow_map(joined.select("_cuts", *docs.columns), rows_of, schema)
+    """docs with the repeated words, as above, cut from the text; what stays keeps its white space, but for what stood around a cut.
+    All rows and columns stay, whatever they are called."""
+    each, texts, spans = repeats(docs, key, text, window, shard_words)
+    sid, cut = unused("sid", docs.columns), unused("spans", docs.columns)
+    cuts = written(texts.select("rid", "sid").join(spans, "rid").select(F.col("sid").alias(sid), F.col("spans").alias(cut)), "repeats-cuts")
+    drop(each, texts, spans)
+    names, at = docs.columns, docs.columns.index(text)
+    joined = docs.withColumn(sid, _sid(text)).join(cuts, sid, "left").select(cut, *docs.columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            new = [t.as_py() if not s.is_valid else _cut(t.as_py(), s.as_py()) for s, t in zip(b.column(0), b.column(at + 1), strict=True)]
+            columns = b.columns[1:]
+            columns[at] = pa.array(new, pa.string())
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    return joined.mapInArrow(run, docs.schema)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

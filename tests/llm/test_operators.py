@@ -331,8 +331,9 @@ def test_sequences_round_trip(odd, none, spark):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    for df in (odd, spark.read.parquet(f"{SF}/documents.parquet"), none):
+    special = spark.createDataFrame([(1, "hello <|endoftext|> world"), (2, "<|endoftext|>"), (3, "a<|endoftext|>b c"), (4, "plain words, twice"), (5, "plain  words"), (5, "x"), (None, "x"), (None, "x"), (6, " lead"), (7, "trail ")], "doc_id long, text string")
+    assert 50256 in t.encode("a <|endoftext|> b", add_special_tokens=False).ids
+    for df in (odd, spark.read.parquet(f"{SF}/documents.parquet"), none, special):
         manifest = arrow_seq.write(df, common.new_folder(spark, "seq"), P.path("byte_bpe_50k.json"), length=64, rows=4)
         got = arrow_seq.read(manifest).orderBy("start").collect()
         want = [(r.doc_id, [*t.encode(r.text or "", add_special_tokens=False).ids, 0]) for r in df.select("doc_id", "text").collect()]
