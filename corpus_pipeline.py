@@ -21,11 +21,8 @@ def _by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def _one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of least id of each near-duplicate class; of rows that repeat an id, one. Rows without an id can't be told apart by it, and stay."""
-    classes = neardup.classes(docs)
-    chosen = classes.where("doc_id = class_id").select("doc_id").distinct()
-    kept = docs.join(chosen, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id IS NULL")).select(docs.columns)
+    """Keeps one document of each near-duplicate class: that of least id, one without an id only where no other is. Texts without a word stay."""
+    return neardup.one_of_each(docs)
 
 
 def _without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
