@@ -7,8 +7,10 @@ a task that is run again after a lost executor leaves no half-written file behin
 
 from __future__ import annotations
 
+import json
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -23,68 +25,113 @@ from pyspark.sql import types as T
 
 from framelake.llm.common import drop, local_path, new_folder, unused, written
 
-#: Words whose ids a worker remembers; the library encodes others each time.
-REMEMBERED = 250_000
+#: Pieces whose ids a worker remembers; the library encodes others each time.
+REMEMBERED = 600_000
 #: Texts of about so many bytes are encoded together.
-RUN_BYTES = 1 << 20
+RUN_BYTES = 2 << 20
 MANIFEST = "part int, path string, documents long, tokens long"
 
 
+# Classes of bytes: letters (ASCII, and both bytes of U+00C0 to U+027F), digits, signs, space, other white space, and all others.
+_LETTER, _DIGIT, _SIGN, _SPACE, _WHITE, _OTHER = range(6)
+_CLASS = np.full(256, _OTHER, np.uint8)
+_CLASS[0x21:0x7F] = _SIGN
+_CLASS[[*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0xC0), *range(0xC3, 0xCA)]] = _LETTER
+_CLASS[0x30:0x3A] = _DIGIT
+_CLASS[0x20] = _SPACE
+_CLASS[0x09:0x0E] = _WHITE
+
+
+def piece_starts(raw: np.ndarray, begin: np.ndarray, whole: np.ndarray) -> np.ndarray:
+    """Where a piece begins among the bytes of texts that lie in a row from begin on, none of them empty.
+
+    Pieces are those of the usual byte-level pattern: contractions, then letters, digits or signs with at most one space before them, then white
+    space, whose last character is left to what follows. A text flagged whole, or with a byte of no simple class, is one piece."""
+    kind = _CLASS[raw]
+    n = len(raw)
+    first = np.zeros(n + 1, bool)
+    first[begin] = first[n] = True
+    # × and ÷ are signs; C2 and what lies beyond U+027F are of class other.
+    kind[1:][(raw[:-1] == 0xC3) & ((raw[1:] == 0x97) | (raw[1:] == 0xB7))] = _OTHER
+    owner = np.repeat(np.arange(len(begin)), np.diff(begin, append=n))
+    whole = whole.copy()
+    whole[owner[kind == _OTHER]] = True
+    white = kind >= _SPACE
+    kind[white] = _SPACE
+    starts = first[:-1].copy()
+    starts[1:] |= (kind[1:] != kind[:-1]) & (white[1:] | (raw[:-1] != 0x20))
+    starts[:-1] |= white[:-1] & ~white[1:] & ~first[1:-1]
+    quote = np.flatnonzero((raw[:-2] == 0x27) & starts[:-2] & (kind[1:-1] == _LETTER) & ~first[1:-2]) if n > 2 else np.empty(0, np.int64)
+    if n > 1 and raw[-2] == 0x27 and starts[-2] and not first[n - 1] and raw[-1] in b"stmd":
+        starts[-1] = False
+    x, y = raw[quote + 1], raw[quote + 2]
+    two = ~first[quote + 2] & (((x == 0x72) | (x == 0x76)) & (y == 0x65) | (x == 0x6C) & (y == 0x6C))
+    one = (x == 0x73) | (x == 0x74) | (x == 0x6D) | (x == 0x64)
+    starts[quote[one | two] + 1] = False
+    after = np.concatenate([quote[one] + 2, quote[two] + 3])
+    after = after[after < n]
+    starts[after[~first[after] & (kind[after] == _LETTER)]] = True
+    starts[whole[owner]] = False
+    starts[begin] = True
+    return starts
+
+
 class Encoder:
-    """The tokenizers library, asked once for each word a worker meets.
+    """The tokenizers library, asked once for each piece of text a worker meets.
 
-    Byte-level pre-tokenisation ends a piece at every single space between words, so a text's ids are those of its
-    words in turn. A text with white space beside a space, or with a token that the library takes out of the text before it
-    cuts words (such as the end-of-text token), is encoded whole."""
+    Merges never cross the pieces of the byte-level pattern, so a text's ids are those of its pieces in turn. A text with unusual characters, or
+    with a token that the library takes out before it cuts pieces (such as the end-of-text token), is encoded whole, and so is every text if
+    the tokenizer isn't of this kind."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        with open(path, encoding="utf-8") as f:
+            parts = json.load(f)
+        cut = parts["pre_tokenizer"] or {}
+        self.by_piece = parts["normalizer"] is None and cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space", True)
         self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
-        self.word_ids: dict[str, np.ndarray] = {}
+        self.known: dict[str, bytes] = {}
 
-    def _ask(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, self.kind) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _ask(self, texts: list[str]) -> list[bytes]:
+        code = "H" if self.kind is np.uint16 else "I"
+        return [array(code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts (null as empty) in a row, and how many each has.
-
-        Arrow cuts the texts and finds their different words, the library encodes those, and numpy lays out the ids."""
-        texts = pc.fill_null(texts, "")
-        cut = pc.split_pattern(texts, " ")
-        words = cut.flatten().dictionary_encode()
-        starts = cut.offsets.to_numpy()[:-1] - cut.offsets.to_numpy()[0]
-        count = np.diff(cut.offsets.to_numpy())
-        index, named = words.indices.to_numpy(), words.dictionary.to_pylist()
-        odd = np.fromiter((not w or w[0].isspace() or w[-1].isspace() for w in named), bool, len(named))
-        whole = np.logical_or.reduceat(odd[index], starts) if len(starts) else np.empty(0, bool)
+        """The ids of all texts (null as empty) in a row, and how many each has."""
+        texts = pa.concat_arrays([pc.fill_null(texts, "")])
+        bounds = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
+        full = np.flatnonzero(np.diff(bounds))
+        number = np.zeros(len(texts), np.int64)
+        if not len(full):
+            return np.empty(0, self.kind), number
+        raw = np.frombuffer(texts.buffers()[2], np.uint8)[bounds[0] : bounds[-1]]
+        begin = bounds[full] - bounds[0]
+        whole = np.full(len(full), not self.by_piece)
         for token in self.added:
-            whole |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
-        # An entry for each different word behind a space, then one for each text: its first word, or the whole text.
-        new = [w for w in named if w not in self.word_ids]
-        text = pc.if_else(pa.array(whole), texts, pc.list_element(cut, 0) if len(starts) else texts)
-        got = self._ask([" " + w for w in new] + text.to_pylist())
-        self.word_ids.update(zip(new, got, strict=False))
-        entries = list(map(self.word_ids.__getitem__, named)) + got[len(new) :]
-        if len(self.word_ids) > REMEMBERED:
-            for w in new:
-                del self.word_ids[w]
-        index = index.astype(np.int64)
-        index[starts] = len(named) + np.arange(len(starts))
-        keep = ~np.repeat(whole, count)
-        keep[starts] = True
-        index = index[keep]
-        size = np.fromiter(map(len, entries), np.int64, len(entries))
-        begin = np.cumsum(size) - size
+            whole |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)[full]
+        at = np.append(np.flatnonzero(piece_starts(raw, begin, whole)), len(raw)).astype(np.int32)
+        pieces = pa.StringArray.from_buffers(len(at) - 1, pa.py_buffer(at), pa.py_buffer(raw)).dictionary_encode()
+        named = pieces.dictionary.to_pylist()
+        new = [w for w in named if w not in self.known]
+        self.known.update(zip(new, self._ask(new), strict=True))
+        entries = list(map(self.known.__getitem__, named))
+        room = REMEMBERED - len(self.known) + len(new)
+        for k, w in enumerate(new):
+            if k >= room or len(w) > 64:
+                del self.known[w]
+        flat = np.frombuffer(b"".join(entries), self.kind)
+        size = np.fromiter(map(len, entries), np.int64, len(entries)) // flat.itemsize
+        index = pieces.indices.to_numpy()
         each = size[index]
         ends = np.cumsum(each)
-        flat = np.concatenate(entries) if entries else np.empty(0, self.kind)
-        # Each position's place in flat: where its entry begins there, less where the entry begins in the result.
-        ids = flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin[index] - (ends - each), each)]
-        owner = np.repeat(np.arange(len(starts)), np.where(whole, 1, count))
-        return ids, np.bincount(owner, weights=each, minlength=len(starts)).astype(np.int64)
+        # Each id's place in flat: where its piece begins there, less where the piece begins in the result.
+        shift = (np.cumsum(size) - size)[index] - (ends - each)
+        ids = flat[np.arange(ends[-1]) + np.repeat(shift, each)]
+        number[full] = np.add.reduceat(each, np.searchsorted(at, begin))
+        return ids, number
 
 
 @lru_cache(maxsize=1)

@@ -125,15 +125,18 @@ def word_hashes(text: str | bytes) -> np.ndarray:
     return mix((sums[end] - sums[begin]) * down[begin] + (end - begin).astype(np.uint64))
 
 
-def gram_hashes(words: np.ndarray, k: int) -> np.ndarray:
-    """Hashes of all runs of k words, from their hashes, by prefix sums as above."""
-    n = len(words) - k + 1
-    if n < 1:
-        return np.empty(0, np.uint64)
+def run_hashes(words: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of the runs of words from begin to end, from the words' hashes, by prefix sums as above."""
     up, down = _power_tables(len(words) + 1)
     sums = np.zeros(len(words) + 1, np.uint64)
     np.cumsum(words * up[: len(words)], out=sums[1:])
-    return mix((sums[k:] - sums[:-k]) * down[:n])
+    return mix((sums[end] - sums[begin]) * down[begin])
+
+
+def gram_hashes(words: np.ndarray, k: int) -> np.ndarray:
+    """Hashes of all runs of k words."""
+    n = max(0, len(words) - k + 1)
+    return run_hashes(words, np.arange(n), np.arange(n) + k)
 
 
 def connected(edges: DataFrame, a: str, b: str, name: str) -> DataFrame:

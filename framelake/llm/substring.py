@@ -4,30 +4,33 @@
    anchors. Anchors that occur once in the corpus rule out the windows around them.
 2. Stretches. The windows in a row that share an anchor are one stretch of text. Equal stretches, by a 128-bit digest of their words, are
    brought together first, and only one of each goes on, with its number: near copies have most of theirs in common.
-3. Recurring windows are confirmed by counting the 128-bit digests of their words over these stretches. Windows that are always
+3. Recurring windows are found by counting the 128-bit digests of their words over these stretches. Windows that are always
    followed alike and equally often are chained into one passage: each recurring window lies in exactly one passage, and
    wherever its first window occurs, the whole passage does.
 4. Passages are dealt into shards by anchor, and so are the stretches. A task compiles its shard's passages into an automaton over
    words and streams the shard's stretches through it. Shards with many stretches are salted: several tasks compile the same
    automaton and share the stretches. Every document's stretches around recurring anchors are so searched, and what is found holds for
-   all places of a stretch.
+   all places of a stretch. A passage is confirmed by two occurrences of its very words.
 
 Equal texts go through all this once, weighted by their number. Texts are named by the SHA-256 of their characters, never by
 their key, so null and repeated keys cost nothing. Tables are deleted once their last reader is written."""
 
 from __future__ import annotations
 
+import collections
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from framelake.llm.common import WORD_RE, drop, gram_hashes, unused, word_hashes, word_places, written
+from framelake.llm.common import WORD_RE, drop, gram_hashes, mix, run_hashes, unused, word_hashes, written
 
 WINDOW = 35
 ANCHOR = 8
@@ -37,74 +40,99 @@ SHARD_WORDS = 400_000
 SHARD_STRETCHES = 2_000
 #: Up to so many involved texts (32 bytes each) their names are broadcast, to leave the others out before texts are shuffled.
 BROADCAST_TEXTS = 200_000
+#: Bytes of text that a task works on at once.
+RUN_BYTES = 1 << 19
 
 
 def words_of(text: str | None) -> list[str]:
     return WORD_RE.findall(text) if text else []
 
 
-def _plain(text: str | None) -> bytes:
-    return " ".join(words_of(text)).encode()
+def _plains(texts: pa.Array) -> list[bytes]:
+    """Each text's words, one space between; the white space of bytes.split is that of the contract."""
+    return [b" ".join(t.split()) if t else b"" for t in texts.cast(pa.binary()).to_pylist()]
+
+
+def _joined(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of the words of several plain texts in a row, and how many each text has."""
+    return word_hashes(b" ".join(raws)), np.array([r.count(b" ") + 1 if r else 0 for r in raws], np.int64)
+
+
+def _inside(count: np.ndarray, window: int) -> np.ndarray:
+    """The beginnings of windows that lie inside one text, of texts of so many words in a row."""
+    return np.flatnonzero(np.arange(count.sum()) + window <= np.repeat(np.cumsum(count), count))
 
 
 def _sid(text: str) -> Column:
     return F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")), 256))
 
 
-def _digest(raw: bytes) -> bytes:
-    return hashlib.blake2b(raw, digest_size=16).digest()
+_OTHER_WORDS = np.uint64(0xA0761D6478BD642F)
 
 
-def _halves(digests: list[bytes]) -> list[pa.Array]:
-    """Digests of 16 bytes as two columns of fixed width, so that Spark counts them in hash maps."""
-    both = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
-    return [pa.array(np.ascontiguousarray(both[:, k])) for k in range(2)]
+def _digests(words: np.ndarray, begin: np.ndarray, end: np.ndarray) -> list[np.ndarray]:
+    """128 bits of each run of words, as two columns of fixed width, so that Spark counts them in hash maps."""
+    return [run_hashes(w, begin, end).view(np.int64) for w in (words, mix(words ^ _OTHER_WORDS))]
+
+
+_PLACE = (1 << 20) - 1
 
 
 def anchors_of(words: np.ndarray, window: int = WINDOW, k: int = ANCHOR) -> tuple[np.ndarray, np.ndarray]:
-    """For each window the place of its anchor, the k-gram of least hash in it, leftmost of equals; and all k-grams' hashes."""
+    """For each window the place of its anchor, the k-gram of least hash in it (44 bits of it), leftmost of equals; and all k-grams' hashes."""
     grams = gram_hashes(words, k)
-    n = len(words) - window + 1
-    if n < 1:
-        return np.empty(0, np.int64), grams
-    at = np.empty(n, np.int64)
-    view = np.lib.stride_tricks.sliding_window_view(grams, window - k + 1)
-    for a in range(0, n, 1 << 15):
-        at[a : a + (1 << 15)] = view[a : a + (1 << 15)].argmin(axis=1)
-    return at + np.arange(n), grams
-
-
-def _arrow_map(df: DataFrame, columns_of, schema: str, rows: int = 256) -> DataFrame:
-    """df through columns_of(batch) -> list of Arrow arrays or None, in slices of so many rows."""
+    n, span = len(words) - window + 1, window - k + 1
+    at = np.empty(max(n, 0), np.int64)
+    step = _PLACE - span
+    for a in range(0, n, step):
+        part = grams[a : a + step + span - 1]
+        x = part & np.uint64(~_PLACE & 0xFFFFFFFFFFFFFFFF) | np.arange(len(part), dtype=np.uint64)
+        wide = 1
+        while 2 * wide <= span:
+            x = np.minimum(x[:-wide], x[wide:])
+            wide *= 2
+        x = np.minimum(x[: len(part) - span + 1], x[span - wide :])
+        at[a : a + step] = (x & np.uint64(_PLACE)).astype(np.int64) + a
+    return at, grams
+
+
+def _arrow_map(df: DataFrame, columns_of, schema: str, text: str = "text") -> DataFrame:
+    """df through columns_of(batch) -> list of Arrow arrays or None, in slices of about RUN_BYTES of text."""
     names = T._parse_datatype_string(schema).names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for a in range(0, b.num_rows, rows):
-                columns = columns_of(b.slice(a, rows))
+            size = np.cumsum(pc.fill_null(pc.binary_length(b[text]), 0).to_numpy().astype(np.int64) + 64)
+            a = 0
+            while a < b.num_rows:
+                z = max(a + 1, int(np.searchsorted(size, (size[a - 1] if a else 0) + RUN_BYTES)))
+                columns = columns_of(b.slice(a, z - a))
+                a = z
                 if columns is not None:
-                    yield pa.RecordBatch.from_arrays(columns, names)
+                    yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names)
 
     return df.mapInArrow(run, schema)
 
 
+def _lists(values: np.ndarray, count: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(count)]).astype(np.int32), pa.array(values))
+
+
 def features(docs: DataFrame, key: str, text: str, window: int) -> DataFrame:
     """(row, sid, n_words, plain, at, anchor) of every row: row holds the key, sid names the text, plain is the SHA-256 of its words,
     at and anchor are the places and hashes of its anchors."""
     rows = docs.select(F.struct(F.col(key)).alias("row"), _sid(text).alias("sid"), F.col(text).alias("text"))
 
     def columns_of(b):
-        number, plain, at, anchor = [], [], [], []
-        for t in b["text"]:
-            raw = _plain(t.as_py())
-            words = word_hashes(raw)
-            places, grams = anchors_of(words, window)
-            places = np.unique(places)
-            number.append(len(words))
-            plain.append(hashlib.sha256(raw).digest())
-            at.append(places.astype(np.int32))
-            anchor.append(grams[places].view(np.int64))
-        return [b["row"], b["sid"], pa.array(number, pa.int64()), pa.array(plain, pa.binary()), pa.array(at, pa.list_(pa.int32())), pa.array(anchor, pa.list_(pa.int64()))]
+        raws = _plains(b["text"])
+        words, count = _joined(raws)
+        places, grams = anchors_of(words, window)
+        places = np.unique(places[_inside(count, window)])
+        ends = np.cumsum(count)
+        of = np.searchsorted(ends, places, side="right")
+        here = np.bincount(of, minlength=len(raws))
+        at = (places - (ends - count)[of]).astype(np.int32)
+        return [b["row"], b["sid"], count, pa.array([hashlib.sha256(r).digest() for r in raws], pa.binary()), _lists(at, here), _lists(grams[places].view(np.int64), here)]
 
     row = rows.schema["row"].dataType.simpleString()
     return _arrow_map(rows, columns_of, f"row {row}, sid binary, n_words long, plain binary, at array<int>, anchor array<long>")
@@ -134,24 +162,21 @@ def stretches(texts: DataFrame, window: int) -> DataFrame:
     """(hi, lo, anchor, rid, begin, size, n): the windows in a row that share an anchor which recurs: digest of their words, and where they are."""
 
     def columns_of(b):
-        digests, anchors, begins, sizes, counts = [], [], [], [], []
-        for t, at in zip(b["text"], b["at"], strict=True):
-            raw = _plain(t.as_py())
-            places, grams = anchors_of(word_hashes(raw), window)
-            begin = np.flatnonzero(np.diff(places, prepend=-1))
-            end = np.append(begin[1:], len(places)) + window - 1
-            known = np.isin(places[begin], at.values.to_numpy())
-            begin, end = begin[known], end[known]
-            first, last = word_places(raw)
-            digests += [_digest(raw[x:y]) for x, y in zip(first[begin].tolist(), last[end - 1].tolist(), strict=True)]
-            anchors.append(grams[places[begin]].view(np.int64))
-            begins.append(begin)
-            sizes.append(end - begin)
-            counts.append(len(begin))
-        if not digests:
-            return None
-        wide = [np.repeat(b[c].to_numpy(), counts) for c in ("rid", "n")]
-        return [*_halves(digests), pa.array(np.concatenate(anchors)), pa.array(wide[0]), pa.array(np.concatenate(begins).astype(np.int32)), pa.array(np.concatenate(sizes).astype(np.int32)), pa.array(wide[1])]
+        words, count = _joined(_plains(b["text"]))
+        places, grams = anchors_of(words, window)
+        first = np.cumsum(count) - count
+        known = np.zeros(len(words), bool)
+        known[pc.list_flatten(b["at"]).to_numpy() + np.repeat(first, pc.list_value_length(b["at"]).to_numpy())] = True
+        inside = _inside(count, window)
+        places = places[inside]
+        # Anchors of two texts never have one place, so a stretch ends with its text.
+        cut = np.flatnonzero(np.diff(places, prepend=-1))
+        begin, end = inside[cut], inside[np.append(cut[1:], len(inside)) - 1] + window
+        of_known = known[places[cut]]
+        begin, end, places = begin[of_known], end[of_known], places[cut][of_known]
+        of = np.searchsorted(np.cumsum(count), begin, side="right")
+        rid, n = (b[c].to_numpy()[of] for c in ("rid", "n"))
+        return [*_digests(words, begin, end), grams[places].view(np.int64), rid, (begin - first[of]).astype(np.int32), (end - begin).astype(np.int32), n]
 
     return _arrow_map(texts.select("rid", "n", "text", "at"), columns_of, "hi long, lo long, anchor long, rid long, begin int, size int, n long")
 
@@ -178,23 +203,16 @@ def recurring(words: DataFrame, window: int) -> DataFrame:
     """(stid, at, n, alike): for each window that occurs twice or more, one place of it, its number, and whether the same window follows everywhere."""
 
     def columns_of(b):
-        digests, follows, last, sizes = [], [], [], []
-        for t in b["words"]:
-            raw = t.as_py().encode()
-            first, end = word_places(raw)
-            here = [_digest(raw[x:y]) for x, y in zip(first[: len(first) - window + 1].tolist(), end[window - 1 :].tolist(), strict=True)]
-            digests += here
-            follows += [*here[1:], here[0]]
-            last += [False] * (len(here) - 1) + [True]
-            sizes.append(len(here))
-        if not digests:
-            return None
-        stid, n = (np.repeat(b[c].to_numpy(), sizes) for c in ("stid", "n"))
-        at = np.concatenate([np.arange(k, dtype=np.int32) for k in sizes])
-        after = _halves(follows)[0].to_numpy()
-        return [*_halves(digests), pa.array(stid), pa.array(at), pa.array(n), pa.array(after, mask=np.array(last))]
-
-    each = _arrow_map(words.select("stid", "n", "words"), columns_of, "hi long, lo long, stid long, at int, n long, follows long")
+        hashes, count = _joined(b["words"].cast(pa.binary()).to_pylist())
+        at = _inside(count, window)
+        of = np.searchsorted(np.cumsum(count), at, side="right")
+        hi, lo = _digests(hashes, at, at + window)
+        goes_on = np.append(at[1:] == at[:-1] + 1, False)
+        stid, n = (b[c].to_numpy()[of] for c in ("stid", "n"))
+        begin = (np.cumsum(count) - count)[of]
+        return [hi, lo, stid, (at - begin).astype(np.int32), n, pa.array(np.roll(hi, -1), mask=~goes_on)]
+
+    each = _arrow_map(words.select("stid", "n", "words"), columns_of, "hi long, lo long, stid long, at int, n long, follows long", "words")
     # Windows of one chain have the same stretches, and so the same least one.
     met = each.groupBy("hi", "lo").agg(F.sum("n").alias("n"), F.min("stid").alias("stid"), F.min_by("at", "stid").alias("at"), F.min("follows").alias("low"), F.max("follows").alias("high"), F.count("follows").alias("followed"), F.count("*").alias("rows"))
     return met.where("n > 1").select("stid", "at", "n", F.coalesce(F.expr("low = high AND followed = rows"), F.lit(False)).alias("alike"))
@@ -205,54 +223,59 @@ def passages(words: DataFrame, places: DataFrame, window: int) -> DataFrame:
     by_stretch = places.groupBy("stid").agg(F.collect_list(F.struct("at", "n", "alike")).alias("places"))
 
     def columns_of(b):
-        found, sizes, counts = [], [], []
-        for t, places in zip(b["words"], b["places"], strict=True):
-            words = t.as_py().split(" ")
-            at, n, alike = (places.values.field(k).to_numpy(zero_copy_only=False) for k in range(3))
-            order = np.argsort(at, kind="stable")
-            at, n, alike = at[order], n[order], alike[order].astype(bool)
-            goes_on = alike[:-1] & (at[1:] == at[:-1] + 1) & (n[1:] == n[:-1])
-            last = np.append(np.flatnonzero(~goes_on), len(at) - 1)
-            first = np.append(0, last[:-1] + 1)
-            sizes.append(at[last] - at[first] + window)
-            counts.append(len(first))
-            found += [" ".join(words[x:y]) for x, y in zip(at[first].tolist(), (at[last] + window).tolist(), strict=True)]
-        return [pa.array(np.repeat(b["anchor"].to_numpy(), counts)), pa.array(found, pa.string()), pa.array(np.concatenate(sizes).astype(np.int64))]
-
-    return _arrow_map(words.select("stid", "anchor", "words").join(by_stretch, "stid").select("anchor", "words", "places"), columns_of, "anchor long, passage string, n_words long")
+        values = pc.list_flatten(b["places"])
+        of = np.repeat(np.arange(b.num_rows), pc.list_value_length(b["places"]).to_numpy())
+        at, n, alike = (values.field(k).to_numpy(zero_copy_only=False) for k in range(3))
+        order = np.lexsort((at, of))
+        of, at, n, alike = of[order], at[order], n[order], alike[order].astype(bool)
+        goes_on = alike[:-1] & (of[1:] == of[:-1]) & (at[1:] == at[:-1] + 1) & (n[1:] == n[:-1])
+        last = np.append(np.flatnonzero(~goes_on), len(at) - 1)
+        first = np.append(0, last[:-1] + 1)
+        split = [t.as_py().split(" ") for t in b["words"]]
+        found = [" ".join(split[i][x:y]) for i, x, y in zip(of[first].tolist(), at[first].tolist(), (at[last] + window).tolist(), strict=True)]
+        return [b["anchor"].to_numpy()[of[first]], pa.array(found, pa.string()), (at[last] - at[first] + window).astype(np.int64)]
+
+    chosen = words.select("stid", "anchor", "words").join(by_stretch, "stid").select("anchor", "words", "places")
+    return _arrow_map(chosen, columns_of, "anchor long, passage string, n_words long", "words")
 
 
 class Shard:
-    """An automaton over the words of some passages."""
-
-    def __init__(self, some: list[str]):
-        self.number: dict[str, int] = {}
-        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH, ahocorasick.KEY_SEQUENCE)
-        for p in some:
-            self.automaton.add_word(tuple([self.number.setdefault(w, len(self.number) + 1) for w in p.split(" ")]))
+    """An automaton over the words of some passages, (number, text)."""
+
+    def __init__(self, some: list[tuple[int, str]]):
+        self.number: dict[str, int] = collections.defaultdict(itertools.count(1).__next__)
+        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+        for k, p in some:
+            words = tuple(map(self.number.__getitem__, p.split(" ")))
+            self.automaton.add_word(words, (k, len(words)))
         if len(self.automaton):
             self.automaton.make_automaton()
 
-    def spans(self, words: list[str]) -> list[tuple[int, int]]:
-        """The places [a, b) of all passages, overlapping ones joined."""
-        out: list[tuple[int, int]] = []
+    def hits(self, words: list[str]) -> list[tuple[int, int, int]]:
+        """(number, a, b) of each occurrence of a passage, as words a to b."""
         if not len(self.automaton):
-            return out
-        number = self.number.get
-        for end, size in self.automaton.iter(tuple([number(w, 0) for w in words])):
-            a, b = end + 1 - size, end + 1
-            while out and a <= out[-1][1]:
-                a, b = min(a, out[-1][0]), max(b, out[-1][1])
-                out.pop()
+            return []
+        return [(k, end + 1 - size, end + 1) for end, (k, size) in self.automaton.iter(tuple(map(self.number.get, words, itertools.repeat(0))))]
+
+
+def _merged(spans: list[tuple[int, int]]) -> list[dict[str, int]]:
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
             out.append((a, b))
-        return out
+    return [{"a": a, "b": b} for a, b in out]
 
 
 _SPANS = "array<struct<a:int,b:int>>"
 
 
 def located(words: DataFrame, found: DataFrame, shard_words: int = SHARD_WORDS, shard_stretches: int = SHARD_STRETCHES) -> DataFrame:
-    """(stid, spans): where passages occur in the stretches."""
+    """(stid, spans): where passages (pid, anchor, passage, n_words) occur in the stretches.
+
+    An occurrence counts if its passage has another one, word by word: each task counts its own, and what it has seen once is counted
+    over the tasks that share the shard. So two windows whose digests are equal by chance remove nothing."""
     spark = words.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     total = found.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
@@ -262,30 +285,51 @@ def located(words: DataFrame, found: DataFrame, shard_words: int = SHARD_WORDS,
     most = max(shard_stretches, 2 * sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] // shards)
     # A row a shard, whose number the words of passages bound.
     salts = written(found.select(shard).distinct().join(sizes, "shard").select("shard", F.ceil(F.col("n") / most).cast("int").alias("salts")), "repeats-salts")
-    mine = found.select(shard, "passage").join(salts, "shard").select("shard", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(None).cast("long").alias("stid"), F.col("passage").alias("words"))
-    theirs = words.select(shard, "stid", "words").join(salts, "shard").select("shard", F.pmod(F.xxhash64("stid"), F.col("salts")).cast("int").alias("salt"), "stid", "words")
+    shared = (F.col("salts") > 1).alias("shared")
+    salt = F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")
+    mine = found.select(shard, "pid", "passage").join(salts, "shard").select("shard", salt, shared, "pid", F.lit(None).cast("long").alias("stid"), F.lit(0).cast("long").alias("n"), F.col("passage").alias("words"))
+    salt = F.pmod(F.xxhash64("stid"), F.col("salts")).cast("int").alias("salt")
+    theirs = words.select(shard, "stid", "n", "words").join(salts, "shard").select("shard", salt, shared, F.lit(None).cast("long").alias("pid"), "stid", "n", "words")
     dealt = mine.unionByName(theirs).repartition(max(parts, shards), "shard", "salt").sortWithinPartitions("shard", "salt", F.col("stid").asc_nulls_first())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, some, automaton = None, [], None
-        for b in batches:
-            ids, spans = [], []
-            for place, salt, stid, text in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if (place, salt) != now:
-                    now, some, automaton = (place, salt), [], None
-                if stid is None:
-                    some.append(text)
-                    continue
-                if automaton is None:
-                    automaton, some = Shard(some), []
-                got = automaton.spans(text.split(" "))
-                if got:
-                    ids.append(stid)
-                    spans.append([{"a": x, "b": y} for x, y in got])
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(spans, pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())])))], ["stid", "spans"])
-
-    out = written(dealt.mapInArrow(run, f"stid long, spans {_SPANS}"), "repeats-spans")
-    drop(salts)
+        def done(held: list[tuple[int, int, list]], shared: bool) -> list[tuple]:
+            counts: collections.Counter = collections.Counter()
+            for _, n, hits in held:
+                for k, _, _ in hits:
+                    counts[k] += n
+            out = []
+            for stid, n, hits in held:
+                if spans := [(a, b) for k, a, b in hits if counts[k] > 1]:
+                    out.append((stid, None, 0, _merged(spans)))
+                out += [(stid, k, n, [{"a": a, "b": b}]) for k, a, b in hits if counts[k] == 1]
+            return out + [(None, k, n, None) for k, n in counts.items() if shared and n > 1]
+
+        now, some, automaton, held, rows = None, [], None, [], []
+        for b in itertools.chain(batches, [None]):
+            for place, salt, shared, pid, stid, n, text in zip(*(c.to_pylist() for c in b.columns), strict=True) if b is not None else [(None,) * 7]:
+                if (place, salt, shared) != now:
+                    if held:
+                        rows += done(held, now[2])
+                    now, some, automaton, held = (place, salt, shared), [], None, []
+                if pid is not None:
+                    some.append((pid, text))
+                elif stid is not None:
+                    if automaton is None:
+                        automaton, some = Shard(some), []
+                    if hits := automaton.hits(text.split(" ")):
+                        held.append((stid, n, hits))
+            if rows:
+                types = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], ["stid", "pid", "n", "spans"])
+                rows = []
+
+    hits = written(dealt.mapInArrow(run, f"stid long, pid long, n long, spans {_SPANS}"), "repeats-hits")
+    once = hits.where("pid IS NOT NULL")
+    again = once.groupBy("pid").agg(F.sum("n").alias("total")).where("total > 1").select("pid")
+    spans = hits.where("pid IS NULL").select("stid", "spans").unionByName(once.where("stid IS NOT NULL").join(again, "pid", "left_semi").select("stid", "spans"))
+    out = written(spans, "repeats-spans")
+    drop(salts, hits)
     return out
 
 
@@ -297,7 +341,7 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", window: in
     texts = involved(docs, each, text)
     places = written(stretches(texts, window), "repeats-places")
     names, words = different(texts, places)
-    found = written(passages(words, recurring(words, window), window), "repeats-passages")
+    found = written(passages(words, recurring(words, window), window).withColumn("pid", F.monotonically_increasing_id()), "repeats-passages")
     spans = located(words, found, shard_words)
     drop(words, found)
     by_name = written(names.select("hi", "lo", "stid").join(spans, "stid").select("hi", "lo", "spans"), "repeats-known")
@@ -309,11 +353,13 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", window: in
     return each, texts, of_texts
 
 
-def _covered(n: int, spans) -> np.ndarray:
-    edge = np.zeros(n + 1, np.int64)
-    for s in spans:
-        edge[s["a"]] += 1
-        edge[s["b"]] -= 1
+def _covered(count: np.ndarray, spans: pa.Array) -> np.ndarray:
+    """Which words of texts in a row, of so many words each, lie in the texts' spans."""
+    first = np.repeat(np.cumsum(count) - count, pc.list_value_length(spans).to_numpy())
+    values = pc.list_flatten(spans)
+    edge = np.zeros(count.sum() + 1, np.int64)
+    np.add.at(edge, values.field(0).to_numpy() + first, 1)
+    np.add.at(edge, values.field(1).to_numpy() + first, -1)
     return np.cumsum(edge[:-1]) > 0
 
 
@@ -326,13 +372,13 @@ def digests(docs: DataFrame, key: str = "doc_id", text: str = "text", window: in
     each, texts, spans = repeats(docs, key, text, window, shard_words)
 
     def columns_of(b):
-        removed, kept = [], []
-        for t, some in zip(b["text"], b["spans"], strict=True):
-            words = words_of(t.as_py())
-            gone = _covered(len(words), some.as_py()).tolist()
-            removed.append(sum(gone))
-            kept.append(hashlib.sha256(" ".join([w for w, g in zip(words, gone, strict=True) if not g]).encode()).digest())
-        return [b["sid"], pa.array(removed, pa.int64()), pa.array(kept, pa.binary())]
+        texts = [t.split(b" ") for t in _plains(b["text"])]
+        count = np.array([len(t) for t in texts], np.int64)
+        gone = _covered(count, b["spans"])
+        ends = np.cumsum(count)
+        stays = [(~gone[z - n : z]).tolist() for n, z in zip(count.tolist(), ends.tolist(), strict=True)]
+        kept = [hashlib.sha256(b" ".join(itertools.compress(t, s))).digest() for t, s in zip(texts, stays, strict=True)]
+        return [b["sid"], np.add.reduceat(gone.astype(np.int64), ends - count), pa.array(kept, pa.binary())]
 
     changed = written(_arrow_map(texts.join(spans, "rid").select("sid", "text", "spans"), columns_of, "sid binary, n_removed long, kept binary"), "repeats-changed")
     drop(texts, spans)
@@ -340,9 +386,9 @@ def digests(docs: DataFrame, key: str = "doc_id", text: str = "text", window: in
     return out.select(f"row.{key}", "n_words", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"), F.lower(F.hex(F.coalesce("kept", "plain"))).alias("kept_sha256"))
 
 
-def _cut(text: str, spans) -> str:
+def _cut(text: str, spans: pa.Array) -> str:
     words = list(WORD_RE.finditer(text))
-    gone = _covered(len(words), spans)
+    gone = _covered(np.array([len(words)], np.int64), spans)
     edge = np.flatnonzero(np.diff(gone.astype(np.int8), prepend=0, append=0))
     kept, last = [], 0
     for a, b in zip(edge[::2], edge[1::2], strict=True):
@@ -364,7 +410,7 @@ def remove(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            new = [t.as_py() if not s.is_valid else _cut(t.as_py(), s.as_py()) for s, t in zip(b.column(0), b.column(at + 1), strict=True)]
+            new = [t.as_py() if not s.is_valid else _cut(t.as_py(), b.column(0).slice(k, 1)) for k, (s, t) in enumerate(zip(b.column(0), b.column(at + 1), strict=True))]
             columns = b.columns[1:]
             columns[at] = pa.array(new, pa.string())
             yield pa.RecordBatch.from_arrays(columns, names)
