@@ -1,6 +1,6 @@
 """Token ids as Arrow files of equal-length sequences.
 
-Documents are encoded, range-partitioned by id and sorted; a task writes its ids as one Arrow file whose batches are fixed-size
+Documents are range-partitioned by id and sorted; a task encodes them and writes the ids as one Arrow file whose batches are fixed-size
 lists, ids and a mask, so a reader maps the file and reaches any sequence without copying. A second small Arrow file
 tells where each document lies. Files get a name of their own for each attempt and only those in the manifest count, so
 a task that is run again after a lost executor leaves no half-written file behind that is read."""
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from framelake.llm.common import drop, local_path, new_folder, unused, written
+from framelake.llm.common import local_path, new_folder, unused, written
 
 #: Pieces whose ids a worker remembers; the library encodes others each time.
 REMEMBERED = 600_000
@@ -142,32 +142,20 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def encoded(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", end_id: int = 0) -> DataFrame:
-    """(key, ids, n_tokens) of every row: ids are little-endian unsigned integers of 16 bits, or 32 for larger vocabularies, end_id last."""
-    schema = docs.select(key).schema.add("ids", "binary").add("n_tokens", "long")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer)
-        kind = np.uint16 if max(enc.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else np.uint32
-        for b in batches:
-            bytes_of = np.cumsum(pc.fill_null(pc.binary_length(b.column(1)), 0).to_numpy())
-            a = 0
-            while a < b.num_rows:
-                z = max(a + 1, int(np.searchsorted(bytes_of, (bytes_of[a - 1] if a else 0) + RUN_BYTES)))
-                some = b.slice(a, z - a)
-                ids, n = enc.encode(some.column(1))
-                n += 1
-                ends = np.cumsum(n)
-                out = np.full(len(ids) + len(n), end_id, kind)
-                inside = np.ones(len(out), bool)
-                inside[ends - 1] = False
-                out[inside] = ids
-                offsets = np.concatenate([[0], ends]).astype(np.int32) * out.itemsize
-                rows = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(out.astype(out.dtype.newbyteorder("<")))])
-                yield pa.RecordBatch.from_arrays([some.column(0), rows, pa.array(n)], schema.names)
-                a = z
-
-    return docs.select(key, text).mapInArrow(run, schema)
+def ended(enc: Encoder, texts: pa.Array, end_id: int, kind: type) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Ids of runs of texts of about RUN_BYTES, end_id behind those of each text, and how many each has."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy().astype(np.int64))
+    a = 0
+    while a < len(texts):
+        z = max(a + 1, int(np.searchsorted(size, (size[a - 1] if a else 0) + RUN_BYTES)))
+        ids, n = enc.encode(texts.slice(a, z - a))
+        n = n + 1
+        out = np.full(n.sum(), end_id, kind)
+        inside = np.ones(len(out), bool)
+        inside[np.cumsum(n) - 1] = False
+        out[inside] = ids
+        yield out, n
+        a = z
 
 
 def write(docs: DataFrame, folder: str, tokenizer: str, key: str = "doc_id", text: str = "text", end_id: int = 0, length: int = 2048, rows: int = 256) -> DataFrame:
@@ -176,8 +164,8 @@ def write(docs: DataFrame, folder: str, tokenizer: str, key: str = "doc_id", tex
     path.seq.arrow: batches of up to rows sequences, ids fixed_size_list<uint16 or uint32>[length] and mask
     fixed_size_list<bool>[length], false in the padding of a file's last sequence. path.doc.arrow: key, start (in the
     file) and n_tokens of each document. A null text is empty, so end_id alone; null keys come first; equal keys are
-    ordered by their ids' hash and then by a number, by which they are also dealt to several files. An empty table gives a manifest
-    without files. Texts are encoded first, so that ids and not texts are shuffled; columns other than key and text are left out."""
+    ordered by their text's hash and then by a number, by which they are also dealt to several files. An empty table gives a manifest
+    without files. Columns other than key and text are left out."""
     spark = docs.sparkSession
     key_type = docs.schema[key].dataType
     arrow_key = pa.int64() if isinstance(key_type, T.LongType) else pa.int32() if isinstance(key_type, T.IntegerType) else pa.string()
@@ -219,33 +207,28 @@ def write(docs: DataFrame, folder: str, tokenizer: str, key: str = "doc_id", tex
             if seq is None:
                 sink = [fs.open_output_stream(f"{top}/{name}.{x}.arrow") for x in ("seq", "doc")]
                 seq, doc = pa.ipc.new_file(sink[0], schema), pa.ipc.new_file(sink[1], doc_schema)
-            for a in range(0, batch.num_rows, 1000):
-                some = batch.slice(a, 1000)
-                n = some["n_tokens"].to_numpy()
-                # The batch's ids lie in a row in one buffer.
-                bounds = np.frombuffer(some["ids"].buffers()[1], np.int32)[some["ids"].offset :]
-                flat = np.frombuffer(some["ids"].buffers()[2], np.uint8)[bounds[0] : bounds[len(some)]].view(np.dtype(kind).newbyteorder("<"))
-                held.append(flat.astype(kind))
+            a = 0
+            for flat, n in ended(enc, batch.column(1), end_id, kind):
+                held.append(flat)
                 held_n += len(flat)
                 if held_n >= length * rows:
                     flush(False)
-                doc.write_batch(pa.RecordBatch.from_arrays([some.column(0).cast(arrow_key), pa.array(done + np.cumsum(n) - n), pa.array(n)], schema=doc_schema))
+                keys = batch.column(0).slice(a, len(n)).cast(arrow_key)
+                doc.write_batch(pa.RecordBatch.from_arrays([keys, pa.array(done + np.cumsum(n) - n), pa.array(n)], schema=doc_schema))
                 done += int(n.sum())
                 count += len(n)
+                a += len(n)
         if seq is not None:
             flush(True)
             for x in (seq, doc, *sink):
                 x.close()
             yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([f"{folder}/{name}"]), pa.array([count], pa.int64()), pa.array([done], pa.int64())], ["part", "path", "documents", "tokens"])
 
-    tie, row = unused("tie", [key]), unused("row", [key])
-    ids = encoded(docs, tokenizer, key, text, end_id).withColumns({tie: F.xxhash64("ids"), row: F.monotonically_increasing_id()})
-    ids = written(ids, "sequences-ids")
+    tie, row = unused("tie", [key, text]), unused("row", [key, text])
     order = [F.col(key).asc_nulls_first(), F.col(tie), F.col(row)]
-    ordered = ids.repartitionByRange(parts, *order).sortWithinPartitions(*order).select(key, "ids", "n_tokens")
-    manifest = written(ordered.mapInArrow(save, MANIFEST), "sequences-manifest")
-    drop(ids)
-    return manifest
+    told = docs.select(key, text).withColumns({tie: F.xxhash64(text), row: F.monotonically_increasing_id()})
+    ordered = told.repartitionByRange(parts, *order).sortWithinPartitions(*order).select(key, text)
+    return written(ordered.mapInArrow(save, MANIFEST), "sequences-manifest")
 
 
 def read(manifest: DataFrame, key_type: str = "bigint", key: str = "doc_id", base: str = "base") -> DataFrame:
