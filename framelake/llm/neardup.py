@@ -27,9 +27,10 @@ SIMILARITY = 0.8
 SKETCHES = 112
 #: Bins of a text's word counts, by the first byte of the word's hash.
 BAG = 256
-#: Rounds in which a bucket's texts are compared with one of them, and texts of a bucket that meet in one cell after those.
+#: Rounds in which a bucket's texts are compared with one of them, before all of them are.
 CENTERS = 2
-BLOCK = 1000
+#: Texts of a bucket that meet in one task when all of them are compared: some 6 MB of word counts.
+BLOCK = 20_000
 #: Texts that a task compares with one center.
 COMPARED = 500
 _WORDS = re.compile(r"\w+").findall
@@ -213,27 +214,28 @@ def _all_pairs(rows: DataFrame, facts: DataFrame, least: float, block: int) -> D
     cells = dealt.select("value", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "class", "words", "bag")
 
     def pairs(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        own, id_, part, words = (t[c].to_numpy() for c in ("own", "id", "class", "words"))
-        bags = _bags(t["bag"])
         inside = t["i"][0] == t["j"][0]
+        order = np.argsort(t["words"].to_numpy(), kind="stable")
+        own, id_, part, words = (t[c].to_numpy()[order] for c in ("own", "id", "class", "words"))
+        bags = _bags(t["bag"])[order]
+        # Of texts in order of length, those that are not too long to be near one are a run behind it.
+        band = ((1 - least) * words + 1e-9).astype(np.int64)
+        last = np.searchsorted(words - band, words, side="right")
         left, right = [], []
-        step = len(id_) if len(id_) <= 64 else 1
-        for a in range(0, len(id_), step):
-            x, y = np.triu_indices(len(id_), 1) if step > 1 else (np.full(len(id_) - a - 1, a), np.arange(a + 1, len(id_)))
-            meet = (part[x] != part[y]) & (inside | (own[x] != own[y]))
-            x, y = x[meet], y[meet]
-            near = may_be_near(words[x], words[y], bags[x], bags[y], least) if step > 1 else _one(words, bags, x, y)
-            left.append(id_[x[near]])
-            right.append(id_[y[near]])
+        for a in range(len(id_) - 1):
+            z = last[a]
+            meet = part[a + 1 : z] != part[a]
+            if not inside:
+                meet &= own[a + 1 : z] != own[a]
+            b = a + 1 + np.flatnonzero(meet)
+            more = np.maximum(bags[b], bags[a]) - bags[a]
+            less = np.maximum(bags[b], bags[a]) - bags[b]
+            near = b[np.maximum(more.sum(axis=1, dtype=np.int64), less.sum(axis=1, dtype=np.int64)) <= band[b]]
+            left.append(np.full(len(near), id_[a]))
+            right.append(id_[near])
         a, b = np.concatenate(left), np.concatenate(right)
         return np.maximum(a, b), np.minimum(a, b)
 
-    def _one(words: np.ndarray, bags: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        near = np.abs(words[x] - words[y]) <= ((1 - least) * np.maximum(words[x], words[y]) + 1e-9).astype(np.int64)
-        at = np.flatnonzero(near)
-        near[at] = may_be_near(words[x[at]], words[y[at]], bags[x[at]], bags[y[at]], least)
-        return near
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for b in itertools.chain(batches, [None]):
