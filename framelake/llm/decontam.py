@@ -69,6 +69,19 @@ def best_match(pattern: list[str], text: list[str], k: int) -> tuple[int, int, i
     return edits, end - length, end
 
 
+def all_matches(pattern: list[str], text: list[str], k: int) -> list[tuple[int, int, int]]:
+    """The places (edits, begin, end) of pattern in text that don't overlap: the best one, then the best of what lies before it and behind it, and so on."""
+    out, parts = [], [(0, len(text))]
+    while parts:
+        low, high = parts.pop()
+        found = best_match(pattern, text[low:high], k) if high - low >= len(pattern) - k else None
+        if found:
+            edits, begin, end = found
+            out.append((edits, low + begin, low + end))
+            parts += [(low, low + begin), (low + end, high)]
+    return sorted(out, key=lambda m: m[1])
+
+
 class Items:
     """One block of items, with an automaton over their pieces."""
 
@@ -88,7 +101,7 @@ class Items:
         self.automaton.make_automaton()
 
     def find(self, text: str | None) -> list[tuple[int, int, int, int]]:
-        """(item_id, edits, begin, end) in words, the best place of each cluster of piece hits."""
+        """(item_id, edits, begin, end) in words, of places that don't overlap."""
         words = normal_words(text)
         if not words or not len(self.automaton):
             return []
@@ -109,10 +122,9 @@ class Items:
             group: list[int] = []
             for s in [*sorted(starts), None]:
                 if group and (s is None or s - group[-1] > len(pattern) + 2 * k):
+                    # Whatever a place that a hit names can reach.
                     low = max(0, group[0] - k)
-                    found = best_match(pattern, words[low : group[-1] + len(pattern) + k], k)
-                    if found:
-                        out.append((item_id, found[0], low + found[1], low + found[2]))
+                    out += [(item_id, edits, low + a, low + b) for edits, a, b in all_matches(pattern, words[low : group[-1] + len(pattern) + k], k)]
                     group = []
                 if s is not None:
                     group.append(s)
@@ -137,8 +149,8 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
     """One row (key, item_id, edits, begin_word, end_word) for each place where an item occurs in a document with at most error_budget edited words.
 
     Words are runs of letters, digits and _, lower-cased. A null or wordless text or item matches nothing; items under
-    five words must occur exactly. Rows that repeat are matched each by themselves. Overlapping places of one item in a
-    document count once, at the least distance."""
+    five words must occur exactly. Rows that repeat are matched each by themselves. Of overlapping places of one item in a
+    document the one of least distance counts (the earliest end of equals), and places beside it count each."""
     spark = docs.sparkSession
     schema = T.StructType([T.StructField(key, docs.schema[key].dataType), T.StructField("item_id", items.schema[item_id].dataType)]).add("edits", "long").add("begin_word", "long").add("end_word", "long")
     out = None

@@ -48,13 +48,14 @@ def _record(page_id, url, payload: bytes | None, size: int, digest: str, refers_
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
-def train(pages: DataFrame, html: str = "html", page_id: str = "page_id") -> bytes:
-    """A dictionary from the sample; empty where there is too little to learn from."""
-    few = pages.select(F.xxhash64(page_id).alias("h"), F.col(html).alias("html")).where(F.col(page_id).isNotNull() & (F.octet_length(html) > 0) & (F.octet_length(html) <= SAMPLE_BYTES))
+def train(pages: DataFrame, date: str) -> bytes:
+    """A dictionary from the sample, of records as they are archived; empty, so that frames are compressed without one, where there are fewer than
+    eight records or the library finds too little in common to learn from."""
+    few = pages.select(F.xxhash64("page_id").alias("h"), "page_id", "url", "html").where(F.col("page_id").isNotNull() & (F.octet_length("html") > 0) & (F.octet_length("html") <= SAMPLE_BYTES))
     # The bound first, so that tasks send hashes to the driver and only the chosen records follow.
     bound = few.select("h").orderBy("h").limit(SAMPLE_RECORDS).agg(F.max("h")).first()[0]
-    chosen = few.where(F.col("h") <= bound).groupBy("h").agg(F.min("html").alias("html")).orderBy("h") if bound is not None else few.limit(0)
-    sample = [r[0].encode() for r in chosen.select("html").collect()]
+    chosen = few.where(F.col("h") <= bound).groupBy("h").agg(F.min(F.struct("page_id", "html", "url")).alias("r")).orderBy("h").select("r.*") if bound is not None else few.limit(0)
+    sample = [_record(r.page_id, r.url, r.html.encode(), len(r.html.encode()), hashlib.sha1(r.html.encode()).hexdigest(), None, date) for r in chosen.collect()]
     try:
         return zstandard.train_dictionary(DICT_BYTES, sample).as_bytes() if len(sample) >= 8 else b""
     except zstandard.ZstdError:
@@ -75,10 +76,11 @@ def verdicts(pages: DataFrame, least_bytes: int = 1000) -> DataFrame:
 def write(pages: DataFrame, folder: str, date: str = "2024-01-01T00:00:00Z", least_bytes: int = 1000, level: int = LEVEL) -> DataFrame:
     """Archives pages (page_id, url, html) as .warc.zst files under folder and returns their manifest (path, records).
 
-    Rows that repeat a page_id are archived each; of equal rows one is the response. Null urls get a placeholder target."""
+    Rows that repeat a page_id are archived each; if the payload is that of the largest id, each of them is a response, as nothing but its
+    id tells which one a revisit would refer to. Null urls get a placeholder target."""
     spark = pages.sparkSession
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
-    dictionary = spark.sparkContext.broadcast(train(rows))
+    dictionary = spark.sparkContext.broadcast(train(rows, date))
     judged = verdicts(rows, least_bytes)
     fs, top = local_path(folder)
     fs.create_dir(top, recursive=True)

@@ -2,7 +2,9 @@
 
 import collections
 import hashlib
+import itertools
 import json
+import math
 import random
 import re
 import zlib
@@ -140,6 +142,46 @@ def test_mixture_likelihood_never_falls_below_the_best_single_language():
         assert np.log((np.exp(part) * s).sum(axis=1)).sum() >= part.sum(axis=0).max() - 1e-3
 
 
+def mixture_by_hand(scores, penalty=3.0, rounds=12):
+    """One document's mixture, word by word and language by language in plain Python."""
+    langs, n = range(len(scores[0])), len(scores)
+
+    def fitted(some):
+        p = {j: 1 / len(some) for j in some}
+        for _ in range(rounds):
+            owed = dict.fromkeys(some, 0.0)
+            for w in scores:
+                total = sum(p[j] * math.exp(w[j]) for j in some)
+                for j in some:
+                    owed[j] += p[j] * math.exp(w[j]) / total
+            p = {j: owed[j] / n for j in some}
+        return p, sum(math.log(sum(p[j] * math.exp(w[j]) for j in some)) for w in scores)
+
+    first = max(langs, key=lambda j: sum(w[j] for w in scores))
+    share, best = {first: 1.0}, sum(w[first] for w in scores)
+    while len(share) < len(langs):
+        gain = {j: sum(max(w[j] - max(w[i] for i in share), 0) for w in scores) for j in langs if j not in share}
+        p, found = fitted([*share, max(gain, key=gain.get)])
+        if found - best <= penalty * math.log(n + 1):
+            break
+        share, best = p, found
+    return share
+
+
+def test_mixtures_against_plain_em():
+    r = np.random.default_rng(5)
+    sizes = [1, 3, 30, 80, 200, 60, 500]
+    scores = r.normal(-8, 0.7, (sum(sizes), 4)).astype(np.float32)
+    begin = np.cumsum([0, *sizes[:-1]])
+    for a, n, k in zip(begin, sizes, (1, 1, 2, 3, 4, 1, 2), strict=True):
+        scores[np.arange(a, a + n), r.integers(0, k, n)] += 4
+    share = langid.mixtures(scores, begin)
+    found = [mixture_by_hand(scores[a : a + n].astype(float).tolist()) for a, n in zip(begin, sizes, strict=True)]
+    for got, want in zip(share, found, strict=True):
+        assert np.allclose(got, [want.get(j, 0) for j in range(4)], atol=1e-4)
+    assert {len(x) for x in found} >= {1, 2, 3, 4}
+
+
 @pytest.fixture(scope="module")
 def tik():
     import tiktoken
@@ -436,7 +478,8 @@ def test_leaks_against_brute_force(spark, docs):
 
     texts = [prose(50, 30) + " " + edited(items[1], n) + ". " + prose(51, 30) for n in range(8)] + [items[2].upper(), edited(items[2], 1), edited(items[2], 2), "x three, WORDS here y", "three word here", "", None, prose(52, 500), items[6] + " " + items[6]]
     got = decontam.leaks(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), spark.createDataFrame(list(items.items()), "item_id long, text string"), block_chars=100)
-    found = {(x.doc_id, x.item_id): x.edits for x in got.collect()}
+    rows = [tuple(x) for x in got.collect()]
+    found = {(d, i): min(e for dd, ii, e, _, _ in rows if (dd, ii) == (d, i)) for d, i, *_ in rows}
     want = {}
     for d, t in enumerate(texts):
         words = decontam.normal_words(t)
@@ -447,6 +490,12 @@ def test_leaks_against_brute_force(spark, docs):
                 if m:
                     want[d, i] = m[0]
     assert found == want and (0, 1) in want and (7, 1) not in want
+    # Each place has its distance by the full matrix, and the places of a pair lie apart.
+    for d, i, edits, begin, end in rows:
+        assert distance(decontam.normal_words(items[i]), decontam.normal_words(texts[d])[begin:end]) == edits
+    for (d, i, _, _, end), (dd, ii, _, begin, _) in itertools.pairwise(sorted(rows, key=lambda r: (r[0], r[1], r[3]))):
+        assert (d, i) != (dd, ii) or end <= begin
+    assert [r[3:] for r in rows if r[:2] == (len(texts) - 1, 6)] == [(0, 25), (25, 50)]
     assert decontam.leaks(docs, spark.createDataFrame([], "item_id long, text string")).count() == 0
 
 
