@@ -15,6 +15,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,7 +28,7 @@ SIMILARITY = 0.8
 SKETCHES = 112
 #: Bins of a text's word counts, by the first byte of the word's hash.
 BAG = 256
-#: Rounds in which a bucket's texts are compared with one of them, before all of them are.
+#: Rounds in which texts are compared with one center each, before all texts of a bucket are compared.
 CENTERS = 2
 #: Texts of a bucket that meet in one task when all of them are compared: some 6 MB of word counts.
 BLOCK = 20_000
@@ -168,23 +169,22 @@ def _bags(column: pa.Array) -> np.ndarray:
 
 
 def _features(docs: DataFrame, carried: list[str], text: str, sketches: int) -> DataFrame:
-    """(row, text_hash, plain, words, bag, sketch) of every row, row holding the carried columns."""
-    rows = docs.select(F.struct(*carried).alias("row"), F.col(text).alias("text"))
-    schema = rows.select("row").schema.add("text_hash", "binary").add("plain", "string").add("words", "long").add("bag", "binary").add("sketch", T.ArrayType(T.LongType()))
+    """(row, text_hash, words, bag, sketch) of every row, row holding the carried columns, text among them."""
+    rows, at = docs.select(F.struct(*carried).alias("row")), carried.index(text)
+    schema = rows.select("row").schema.add("text_hash", "binary").add("words", "long").add("bag", "binary").add("sketch", T.ArrayType(T.LongType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            digest, texts, number, bags, marks = [], [], [], [], []
-            for t in b["text"]:
+            digest, number, bags, marks = [], [], [], []
+            for t in pc.struct_field(b["row"], [at]):
                 plain = normal(t.as_py())
                 raw = plain.encode()
                 words = word_hashes(raw)
                 digest.append(hashlib.blake2b(raw, digest_size=16).digest() if raw else None)
-                texts.append(plain or None)
                 number.append(len(words))
                 bags.append(bag(words) if raw else None)
                 marks.append(sketch(words, sketches) if raw else [])
-            columns = [b["row"], pa.array(digest, pa.binary()), pa.array(texts, pa.string()), pa.array(number, pa.int64()), pa.array(bags, pa.binary()), pa.array(marks, pa.list_(pa.int64()))]
+            columns = [b["row"], pa.array(digest, pa.binary()), pa.array(number, pa.int64()), pa.array(bags, pa.binary()), pa.array(marks, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(columns, schema.names)
 
     return rows.mapInArrow(run, schema)
@@ -255,29 +255,30 @@ def _all_pairs(rows: DataFrame, facts: DataFrame, least: float, block: int) -> D
     return cells.repartition("value", "i", "j").sortWithinPartitions("value", "i", "j").mapInArrow(run, "id long, center long").distinct()
 
 
-def _verified(pairs: DataFrame, features: DataFrame, least: float) -> DataFrame:
-    """pairs (id, center) with near, by alignment of the texts of features (id, plain).
+def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """pairs (id, center) with near, by alignment of the texts (id, text).
 
     A center's text goes once to each task that has texts to compare with it; the texts of a center of many are dealt to several."""
     members = pairs.select("id").union(pairs.select("center")).distinct()
-    texts = written(features.select("id", "plain").join(members.hint("merge"), "id", "left_semi"), "near-texts")
+    texts = written(texts.join(members.hint("merge"), "id", "left_semi"), "near-texts")
     salts = written(pairs.groupBy("center").agg(F.ceil(F.count("*") / COMPARED).cast("int").alias("salts")), "near-salts")
     mine = salts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).join(texts.withColumnRenamed("id", "center").hint("merge"), "center")
     theirs = pairs.join(salts, "center").withColumn("salt", F.pmod(F.xxhash64("id"), "salts").cast("int")).join(texts.hint("merge"), "id")
-    dealt = mine.select("center", "salt", F.lit(None).cast("long").alias("id"), "plain").unionByName(theirs.select("center", "salt", "id", "plain"))
+    dealt = mine.select("center", "salt", F.lit(None).cast("long").alias("id"), "text").unionByName(theirs.select("center", "salt", "id", "text"))
     dealt = dealt.repartition("center", "salt").sortWithinPartitions("center", "salt", F.col("id").asc_nulls_first())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: list[str] = []
         for b in batches:
             ids, centers, near = [], [], []
-            for center, id_, plain in zip(b["center"].to_pylist(), b["id"].to_pylist(), b["plain"], strict=True):
+            for center, id_, t in zip(b["center"].to_pylist(), b["id"].to_pylist(), b["text"], strict=True):
+                here = normal(t.as_py()).split(" ")
                 if id_ is None:
-                    words = plain.as_py().split(" ")
+                    words = here
                 else:
                     ids.append(id_)
                     centers.append(center)
-                    near.append(similar(plain.as_py().split(" "), words, least))
+                    near.append(similar(here, words, least))
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(centers, pa.int64()), pa.array(near, pa.bool_())], ["id", "center", "near"])
 
     judged = written(dealt.mapInArrow(run, "id long, center long, near boolean"), "near-judged")
@@ -285,7 +286,7 @@ def _verified(pairs: DataFrame, features: DataFrame, least: float) -> DataFrame:
     return judged
 
 
-def _linked(features: DataFrame, key: str, least: float, block: int) -> DataFrame:
+def _linked(features: DataFrame, key: str, text: str, least: float, block: int) -> DataFrame:
     """(text_hash, id, none, key, component), written, of each different text of features: the component of texts that links close, by the number
     of one of its texts; id is the row that has the least key, if one isn't null, and none tells that all are."""
     first = F.min(F.struct(F.col(f"row.{key}").isNull().alias("none"), F.col(f"row.{key}").alias("key"), "id")).alias("first")
@@ -317,15 +318,16 @@ def _linked(features: DataFrame, key: str, least: float, block: int) -> DataFram
         if buckets.isEmpty():
             break
         if depth < CENTERS:
-            met = buckets.where("class != center_class").select(F.greatest("id", "center").alias("id"), F.least("id", "center").alias("center")).distinct()
-            pairs = _possible(met, facts, least)
+            # Of the centers of a text's buckets, the one it meets most often: at most one comparison a text, and the most likely one.
+            met = buckets.where("class != center_class").groupBy("id", "center").agg(F.count("*").alias("n")).groupBy("id").agg(F.max_by("center", "n").alias("center"))
+            pairs = _possible(met.select(F.greatest("id", "center").alias("id"), F.least("id", "center").alias("center")).distinct(), facts, least)
         else:
             pairs = _all_pairs(buckets.select("value", "id", "class"), facts, least, block)
         rows = buckets.select("value", "id")
         if judged is not None:
             pairs = pairs.join(judged, ["id", "center"], "left_anti")
         pairs = written(pairs, "near-pairs")
-        new = _verified(pairs, features, least)
+        new = _verified(pairs, features.select("id", F.col(f"row.{text}").alias("text")), least)
         drop(pairs)
         judged = new.drop("near") if judged is None else judged.unionByName(new.drop("near"))
         found = new.where("near").select("id", "center")
@@ -344,19 +346,19 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", least: flo
     """(key, class_id) of every row: the least key of its class of texts that are linked by similarity of at least least.
 
     Equal texts (after normalising case, punctuation and white space) share a class and go on as one. Texts that share an
-    order min hash meet in a bucket. First all texts of a bucket are compared with one of them, twice with different ones; that
-    joins large groups of near copies by as many comparisons as they have members. Then every two texts of a bucket that
+    order min hash meet in a bucket. First one text of a bucket is its center, and each text is compared with the center that it meets most
+    often, twice with different ones; that joins large groups of near copies by as many comparisons as they have members. Then every two texts of a bucket that
     aren't yet in one class are compared, so each colliding pair is verified or already in one class when this ends: none is
     capped or sampled. Pairs whose lengths or word counts prove them too far apart are told without an alignment.
     Links are then closed transitively. Two texts that share no hash are missed, as min hashing goes.
     Null and wordless texts are classes of their own (class_id is the key); a null key takes the class of its text.
     Rows that share a key have a row each, by their own texts."""
-    features = written(_features(docs, [key], text, sketches).withColumn("id", F.monotonically_increasing_id()), "near-features")
-    known = _linked(features, key, least, block)
+    features = written(_features(docs, [key, text], text, sketches).withColumn("id", F.monotonically_increasing_id()), "near-features")
+    known = _linked(features, key, text, least, block)
     least_key = known.groupBy("component").agg(F.min("key").alias("class_id"))
     known_key = known.join(least_key, "component").select("text_hash", "class_id")
     own = F.col(f"row.{key}")
-    found = features.select("row", "text_hash").join(known_key, "text_hash", "left").select(own, F.when(F.col("text_hash").isNull(), own).otherwise(F.col("class_id")).alias("class_id"))
+    found = features.select(F.struct(f"row.{key}").alias("row"), "text_hash").join(known_key, "text_hash", "left").select(own, F.when(F.col("text_hash").isNull(), own).otherwise(F.col("class_id")).alias("class_id"))
     found = written(found, "near-classes")
     drop(features, known)
     return found
@@ -368,7 +370,7 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", least:
     Rows are told apart by themselves and not by their key, so different texts of one key or without one don't replace each other.
     Null and wordless texts are no copies, and stay. All columns stay, whatever they are called."""
     features = written(_features(docs, docs.columns, text, sketches).withColumn("id", F.monotonically_increasing_id()), "near-features")
-    known = _linked(features, key, least, block)
+    known = _linked(features, key, text, least, block)
     chosen = written(known.groupBy("component").agg(F.min(F.struct("none", "key", "id")).alias("first")).select("first.id"), "near-chosen")
     texts = features.where("text_hash IS NOT NULL").join(chosen, "id", "left_semi").unionByName(features.where("text_hash IS NULL"))
     kept = written(texts.select("row.*"), "near-kept")
