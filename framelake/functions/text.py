@@ -10,15 +10,27 @@ from framelake import constants as K
 #: What a failed stage's output says, in order of precedence, and our names for it.
 ERRORS = (
     ("gpu memory", r"CUDA out of memory|OutOfMemoryError|CUBLAS_STATUS_ALLOC_FAILED"),
-    ("no person", r"No person was detected anywhere in|IndexError: list index out of range[\s\S]*?(tracker\.py|get_one_track)|(tracker\.py|get_one_track)[\s\S]*?IndexError: list index out of range"),
+    ("no person", r"No person was detected anywhere in|IndexError: list index out of range[\s\S]*?(?:tracker\.py|get_one_track)|(?:tracker\.py|get_one_track)[\s\S]*?IndexError: list index out of range"),
     ("broken video", r"InvalidDataError|Invalid data found|NAL unit|moov atom not found|error while decoding|Invalid NAL unit size"),
     ("file size limit", r"SIGXFSZ|File size limit exceeded"),
     ("disk full", r"No space left on device|ENOSPC"),
     ("killed", r"SIGKILL|Killed|Out of memory: Killed process"),
 )
 OWN_ERROR = r"(?m)^(RuntimeError|ValueError|FileNotFoundError): (.+)$"
-#: Some of the lines that libraries print on every run.
-NOISE = r"overwriting variable|pkg_resources is deprecated|apex is not installed|deprecated pixel format|UserWarning: torch|FutureWarning|\d+%\|"
+#: Lines that libraries print on every run.
+NOISE = (
+    r"overwriting variable|pkg_resources is deprecated|apex is not installed|"
+    r"Fail to import.*MultiScale|not available in reconstructed resnet|copy resnet state dict|"
+    r"deprecated pixel format|Processing MICA image|UserWarning: To copy construct|"
+    r"UserWarning: You are using a MANO|UserWarning: torch\.(meshgrid|cross|utils\._pytree)|"
+    r"Lipreading model not found|No module named .spectre.|Plan failed with a cudnnException|"
+    r"state keys that would end up colliding|Lightning automatically upgraded|"
+    r"Found keys that are not in the model state|Importing from timm|"
+    r"UserWarning: The parameter .pretrained.|Arguments other than a weight enum|"
+    r"WARN:.*loadsave.*Unsupported depth|unexpected key in source state_dict|"
+    r"do not match exactly|Use load_from_local|UserWarning: torch.cuda.amp|"
+    r"sourceTensor.clone|l2cs.*FutureWarning|MediaPipe.*WARNING"
+)
 STAGE_BANNER = r"==== Step ([0-9.]+)\S*:? *([A-Za-z+ ]+?) *[(=]"
 CLIP_NAME = r"^P[0-9]+_(S[0-9]+)_(BP|CS|TP|FT1|FT2)$"
 

@@ -23,6 +23,15 @@ def nonfinite_frames(df: DataFrame, columns: dict[str, str | None]) -> DataFrame
     return df.where(any_bad).select("clip_id", "frame_idx").distinct()
 
 
+def union_bad_frames(*tables: tuple[DataFrame, dict[str, str | None]]) -> DataFrame:
+    """(clip_id, frame_idx) of frames that are bad, as above, in any of several tables with their columns and weights."""
+    bad = [nonfinite_frames(df, columns) for df, columns in tables]
+    out = bad[0]
+    for more in bad[1:]:
+        out = out.unionByName(more)
+    return out.distinct()
+
+
 def nonfinite_report(df: DataFrame, columns: dict[str, str | None], first: int = 10) -> DataFrame:
     """(clip_id, n, frames): how many frames aren't finite, and the first of them. Each clip keeps its least frames only."""
     from pyspark.sql import Window

@@ -75,6 +75,22 @@ def _(t):
     return nonfinite_frames(t.v_body.withColumn("v", F.array(F.expr(_BAD))), {"v": "body_valid"})
 
 
+_SIDE = "SELECT clip_id, frame_idx FROM (SELECT *, CASE WHEN (frame_idx + clip_id) % {m} = 0 THEN CAST('{bad}' AS DOUBLE) ELSE cam_x END AS v FROM v_detections WHERE {side}) q WHERE kp_count > 10 AND (isnan(v) OR abs(v) = CAST('Infinity' AS DOUBLE))"
+
+
+@query("set_union_bad_frames", f"""{_SIDE.format(m=37, bad="NaN", side="NOT is_right")} UNION {_SIDE.format(m=41, bad="-Infinity", side="is_right")}
+    UNION SELECT clip_id, frame_idx FROM (SELECT *, {_BAD} AS v FROM v_body) q WHERE isnan(v) OR abs(v) = CAST('Infinity' AS DOUBLE)""")
+def _(t):
+    from framelake.operators.quality import union_bad_frames
+
+    def side(right: bool, m: int, bad: str):
+        v = F.when((F.col("frame_idx") + F.col("clip_id")) % m == 0, F.lit(float(bad))).otherwise(F.col("cam_x"))
+        return t.v_detections.where(F.col("is_right") == right).select("clip_id", "frame_idx", F.array(v).alias("v"), (F.col("kp_count") - 10).alias("w"))
+
+    targets = {"v": "w"}
+    return union_bad_frames((side(False, 37, "nan"), targets), (side(True, 41, "-inf"), targets), (t.v_body.withColumn("v", F.array(F.expr(_BAD))), {"v": None}))
+
+
 @query("exclude_exact_zero_blink", "SELECT clip_id, count(blink) AS n, count(nullif(blink, CAST(0 AS DOUBLE))) AS used, round(avg(nullif(blink, CAST(0 AS DOUBLE))), 6) AS mean FROM v_face GROUP BY clip_id")
 def _(t):
     used = F.nullif(F.col("blink"), F.lit(0.0))
@@ -124,19 +140,26 @@ def _(t):
     )
 
 
+def _twice(face, channel: str):
+    """The face rows, and of every fifth frame a later row, smaller and stale where the first isn't."""
+    first = face.select("clip_id", "timestep_id", F.lit(0).alias("row_idx"), "stale", channel)
+    again = face.where("timestep_id % 5 = 0").select("clip_id", "timestep_id", F.lit(1).alias("row_idx"), (~F.col("stale")).alias("stale"), (F.col(channel) - 100).alias(channel))
+    return again.unionByName(first)
+
+
 def _overlay_sql(channel: str) -> str:
-    return f"""SELECT b.clip_id, b.frame_idx, coalesce(g.{channel}, CAST(0 AS DOUBLE)) AS {channel}, coalesce(NOT g.stale, false) AS face_valid
+    return f"""SELECT b.clip_id, b.frame_idx, coalesce(CASE WHEN b.frame_idx % 5 = 0 THEN g.{channel} - 100 ELSE g.{channel} END, CAST(0 AS DOUBLE)) AS {channel}, coalesce(g.stale = (b.frame_idx % 5 = 0), false) AS face_valid
     FROM v_body b LEFT JOIN v_face g ON b.clip_id = g.clip_id AND b.frame_idx = g.timestep_id"""
 
 
 @query("join_face_overlay", _overlay_sql("jaw"))
 def _(t):
-    return O.fuse(t.v_body.select("clip_id", "frame_idx"), face=t.v_face.select("clip_id", "timestep_id", "stale", "jaw"))
+    return O.fuse(t.v_body.select("clip_id", "frame_idx"), face=_twice(t.v_face, "jaw"))
 
 
 @query("join_gaze_overlay", _overlay_sql("blink"))
 def _(t):
-    return O.fuse(t.v_body.select("clip_id", "frame_idx"), face=t.v_face.select("clip_id", "timestep_id", "stale", "blink"))
+    return O.fuse(t.v_body.select("clip_id", "frame_idx"), face=_twice(t.v_face, "blink"))
 
 
 _DEPTH = """SELECT d.clip_id, d.frame_idx, d.det_idx, d.is_right, d.kp_count, d.kp_conf, d.cam_x, d.cam_y, CASE WHEN d.det_idx % 29 = 0 THEN CAST(0 AS DOUBLE) ELSE d.cam_z END AS cam_z, b.transl_z AS wrist_z,
@@ -429,5 +452,6 @@ def _(t):
 
 @query("win_task_number", "SELECT p_name, p_brand, row_number() OVER (ORDER BY p_name, p_brand) - 1 AS task FROM (SELECT DISTINCT p_name, p_brand FROM part) q")
 def _(t):
-    # A list of paths, of which there are few; one task numbers it.
-    return t.part.select("p_name", "p_brand").distinct().select("p_name", "p_brand", (F.row_number().over(Window.orderBy("p_name", "p_brand")) - 1).cast("long").alias("task"))
+    from framelake.plans.io_queries import folder
+
+    return O.numbered(t.part.select("p_name", "p_brand").distinct(), ["p_name", "p_brand"], folder(t.spark, "tasks"))

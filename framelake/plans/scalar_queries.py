@@ -81,7 +81,14 @@ def _angle(t, f):
 
 query("fn_rotmat_to_axis_angle", _ANGLE)(lambda t: _angle(t, R.rotmat_to_axis_angle))
 query("fn_matrix_to_axis_angle", _ANGLE)(lambda t: _angle(t, R.matrix_to_axis_angle))
-query("fn_rot6d_to_axis_angle", _ANGLE)(lambda t: _angle(t, R.rotmat_to_axis_angle))
+# The axis lies in the skew part of the matrix, whose size is twice the sine of the angle.
+_AXIS = f"""SELECT vec_id, round(k * (c2 - b3), 3) AS x, round(k * (a3 - c1), 3) AS y, round(k * (b1 - a2), 3) AS z FROM (SELECT *, acos((a1 + b2 + c3 - 1) / 2) / (2 * sin(acos((a1 + b2 + c3 - 1) / 2))) AS k FROM
+  (SELECT *, a2 * b3 - a3 * b2 AS c1, a3 * b1 - a1 * b3 AS c2, a1 * b2 - a2 * b1 AS c3 FROM {_MATRIX} p) q) r"""
+
+
+@query("fn_rot6d_to_axis_angle", _AXIS)
+def _(t):
+    return R.matrix_to_axis_angle(_matrix(t), "m", "v").select("vec_id", *(F.round(F.col("v")[i], 3).alias(c) for i, c in enumerate("xyz")))
 
 
 @query("fn_eye_aspect_ratio", "SELECT vec_id, round((sqrt((x[2] - x[6])^2 + (y[2] - y[6])^2) + sqrt((x[3] - x[5])^2 + (y[3] - y[5])^2)) / (2 * sqrt((x[1] - x[4])^2 + (y[1] - y[4])^2)), 5) AS ear FROM (SELECT vec_id, list_transform(range(1, 7), lambda i: embedding[2 * i - 1]::DOUBLE) AS x, list_transform(range(1, 7), lambda i: embedding[2 * i]::DOUBLE) AS y FROM embeddings) q")
@@ -194,9 +201,13 @@ def _(t):
     return t.v_logs.select("line_id", X.classify_error(F.col("text"), F.lit(None).cast("string"), F.col("code")).alias("kind"))
 
 
-@query("fn_drop_noise_lines", "SELECT count(*) AS n, sum(length(line))::BIGINT AS chars FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM v_logs) q WHERE NOT regexp_matches(line, 'overwriting variable|pkg_resources is deprecated|apex is not installed|deprecated pixel format|UserWarning: torch|FutureWarning|[0-9]+%\\|')")
+_NOISY = """(SELECT line_id, concat(text, chr(10), CASE line_id % 5 WHEN 0 THEN 'a UserWarning: torch.meshgrid: b' WHEN 1 THEN 'a UserWarning: torch.other: b' WHEN 2 THEN 'l2cs a FutureWarning' WHEN 3 THEN 'a FutureWarning' ELSE 'No module named <spectre>' END) AS text FROM v_logs)"""
+
+
+@query("fn_drop_noise_lines", f"SELECT count(*) AS n, sum(length(line))::BIGINT AS chars FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM {_NOISY} p) q WHERE NOT regexp_matches(line, '{X.NOISE}')")
 def _(t):
-    lines = t.v_logs.select(F.explode(F.split("text", "\n")).alias("line"))
+    more = F.expr("CASE line_id % 5 WHEN 0 THEN 'a UserWarning: torch.meshgrid: b' WHEN 1 THEN 'a UserWarning: torch.other: b' WHEN 2 THEN 'l2cs a FutureWarning' WHEN 3 THEN 'a FutureWarning' ELSE 'No module named <spectre>' END")
+    lines = t.v_logs.select(F.explode(F.split(F.concat("text", F.lit("\n"), more), "\n")).alias("line"))
     return lines.where(~X.noise_line(F.col("line"))).agg(F.count("*").alias("n"), F.sum(F.length("line")).alias("chars"))
 
 

@@ -26,7 +26,7 @@ def test_rotations_come_back(kernel):
     aa += [np.array([1.0, 0, 0]) * t for t in (0, 1e-9, 1e-5, 0.5, 3)]
     m = np.stack([matrix(v) for v in aa])
     back = np.stack([matrix(v) for v in kernel(m)])
-    assert np.abs(back - m).max() < 1e-4 and np.median(np.abs(back - m)) < 1e-9
+    assert np.abs(back - m).max() < 1e-5 and np.median(np.abs(back - m)) < 1e-9
 
 
 def rows(df):
