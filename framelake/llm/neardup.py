@@ -16,7 +16,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,8 +28,9 @@ SIMILARITY = 0.8
 SKETCHES = 112
 #: Bins of a text's word counts, by the first byte of the word's hash.
 BAG = 256
-#: Rounds in which texts are compared with one center each, before all texts of a bucket are compared.
-CENTERS = 2
+#: Rounds in which texts are compared with centers, of which at most so many a text, before all texts of a bucket are compared.
+CENTERS = 3
+TRIES = 5
 #: Texts of a bucket that meet in one task when all of them are compared: some 6 MB of word counts.
 BLOCK = 20_000
 #: Texts that a task compares with one center.
@@ -207,17 +208,19 @@ def _all_pairs(rows: DataFrame, facts: DataFrame, least: float, block: int) -> D
     """All pairs (id, center) of a bucket's texts that are of different classes and that may_be_near leaves; rows are (value, id, class).
 
     A bucket of more than block texts is dealt into blocks, and each two blocks meet in a cell of their own, so no
-    task holds a bucket."""
+    task holds a bucket. A pair is told in the first bucket that it shares only; facts: (id, words, bag, sketch)."""
     sizes = rows.groupBy("value").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
     own, other = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     dealt = rows.join(sizes, "value").withColumn("own", own).withColumn("other", other).join(facts.hint("merge"), "id")
-    cells = dealt.select("value", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "class", "words", "bag")
+    cells = dealt.select("value", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "class", "words", "bag", "sketch")
 
     def pairs(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         inside = t["i"][0] == t["j"][0]
         order = np.argsort(t["words"].to_numpy(), kind="stable")
         own, id_, part, words = (t[c].to_numpy()[order] for c in ("own", "id", "class", "words"))
         bags = _bags(t["bag"])[order]
+        marks = pc.list_flatten(t["sketch"]).to_numpy().reshape(len(order), -1)[order]
+        value = t["value"][0].as_py()
         # Of texts in order of length, those that are not too long to be near one are a run behind it.
         band = ((1 - least) * words + 1e-9).astype(np.int64)
         last = np.searchsorted(words - band, words, side="right")
@@ -231,6 +234,8 @@ def _all_pairs(rows: DataFrame, facts: DataFrame, least: float, block: int) -> D
             more = np.maximum(bags[b], bags[a]) - bags[a]
             less = np.maximum(bags[b], bags[a]) - bags[b]
             near = b[np.maximum(more.sum(axis=1, dtype=np.int64), less.sum(axis=1, dtype=np.int64)) <= band[b]]
+            first = (marks[near] == marks[a]).argmax(axis=1)
+            near = near[marks[a][first] == value]
             left.append(np.full(len(near), id_[a]))
             right.append(id_[near])
         a, b = np.concatenate(left), np.concatenate(right)
@@ -306,23 +311,23 @@ def _linked(features: DataFrame, key: str, text: str, least: float, block: int)
             drop(buckets)
             rows = classed
         first = [F.min("id").alias("center"), F.min("id").alias("center_class"), F.max("id").alias("other")]
-        later = [F.min(F.struct(F.xxhash64("id", F.lit(depth)), F.col("id").alias("center"), F.col("class").alias("center_class"))).alias("c"), F.min("class").alias("low"), F.max("class").alias("high"), F.count("*").alias("n")]
+        later = [F.min(F.struct(F.xxhash64("id", F.lit(depth)), F.col("id").alias("center"), F.col("class").alias("center_class"))).alias("c"), F.min("class").alias("low"), F.max("class").alias("high")]
         if not depth:
             centers = rows.groupBy("value").agg(*first).where("center < other").drop("other")
         else:
-            # Of two texts, the first round has compared both.
-            centers = rows.groupBy("value").agg(*later).where("low < high AND n > 2").select("value", "c.center", "c.center_class")
+            centers = rows.groupBy("value").agg(*later).where("low < high").select("value", "c.center", "c.center_class")
         buckets = written(rows.join(centers, "value"), "near-buckets")
         if classed is not None:
             drop(classed)
         if buckets.isEmpty():
             break
         if depth < CENTERS:
-            # Of the centers of a text's buckets, the one it meets most often: at most one comparison a text, and the most likely one.
-            met = buckets.where("class != center_class").groupBy("id", "center").agg(F.count("*").alias("n")).groupBy("id").agg(F.max_by("center", "n").alias("center"))
+            # Of the centers of a text's buckets, those it meets most often: a few comparisons a text, and the most likely ones.
+            often = Window.partitionBy("id").orderBy(F.desc("n"), "center")
+            met = buckets.where("class != center_class").groupBy("id", "center").agg(F.count("*").alias("n")).withColumn("place", F.row_number().over(often)).where(F.col("place") <= TRIES)
             pairs = _possible(met.select(F.greatest("id", "center").alias("id"), F.least("id", "center").alias("center")).distinct(), facts, least)
         else:
-            pairs = _all_pairs(buckets.select("value", "id", "class"), facts, least, block)
+            pairs = _all_pairs(buckets.select("value", "id", "class"), all_facts, least, block)
         rows = buckets.select("value", "id")
         if judged is not None:
             pairs = pairs.join(judged, ["id", "center"], "left_anti")
@@ -346,8 +351,8 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", least: flo
     """(key, class_id) of every row: the least key of its class of texts that are linked by similarity of at least least.
 
     Equal texts (after normalising case, punctuation and white space) share a class and go on as one. Texts that share an
-    order min hash meet in a bucket. First one text of a bucket is its center, and each text is compared with the center that it meets most
-    often, twice with different ones; that joins large groups of near copies by as many comparisons as they have members. Then every two texts of a bucket that
+    order min hash meet in a bucket. First one text of a bucket is its center, and each text is compared with the few centers that it meets most
+    often, in rounds with different ones; that joins large groups of near copies by as many comparisons as they have members. Then every two texts of a bucket that
     aren't yet in one class are compared, so each colliding pair is verified or already in one class when this ends: none is
     capped or sampled. Pairs whose lengths or word counts prove them too far apart are told without an alignment.
     Links are then closed transitively. Two texts that share no hash are missed, as min hashing goes.
