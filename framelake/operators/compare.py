@@ -21,8 +21,8 @@ def compare_runs(new: DataFrame, golden: DataFrame, masks: dict[str, str | None]
     return both.groupBy("clip_id").agg(*aggs)
 
 
-def dyads(clips: DataFrame) -> DataFrame:
-    """Pairs of clips of the same session and condition, which were filmed together: a few to a session."""
-    side = lambda n: clips.select("session", "condition", F.col("clip_id").alias(f"{n}_clip"), F.col("num_frames").alias(f"{n}_frames"))
-    pairs = side("first").join(side("second"), ["session", "condition"]).where("first_clip < second_clip")
-    return pairs.select("session", "condition", "first_clip", "second_clip", (F.col("first_frames") == F.col("second_frames")).alias("same_length"))
+def dyads(clips: DataFrame, by=("recording",)) -> DataFrame:
+    """Pairs of clips that were filmed together: those of one recording, of which there are a few (a camera or a person each)."""
+    side = lambda n: clips.select(*by, F.col("clip_id").alias(f"{n}_clip"), F.col("num_frames").alias(f"{n}_frames"))
+    pairs = side("first").join(side("second"), list(by)).where("first_clip < second_clip")
+    return pairs.select(*by, "first_clip", "second_clip", (F.col("first_frames") == F.col("second_frames")).alias("same_length"))

@@ -254,11 +254,11 @@ def _(t):
     return eye_pose(faces, points).select(*k, F.round("rx", 7).alias("rx"), F.round("ry", 7).alias("ry"))
 
 
-@query("join_dyad_pairs", "SELECT a.session, a.condition, a.clip_id AS first_clip, b.clip_id AS second_clip, a.num_frames = b.num_frames AS same_length FROM v_clips a JOIN v_clips b ON a.session = b.session AND a.condition = b.condition AND b.clip_id > a.clip_id")
+@query("join_dyad_pairs", "SELECT a.clip_id // 2 AS recording, a.clip_id AS first_clip, b.clip_id AS second_clip, a.num_frames = b.num_frames AS same_length FROM v_clips a JOIN v_clips b ON a.clip_id // 2 = b.clip_id // 2 AND b.clip_id > a.clip_id")
 def _(t):
     from framelake.operators.compare import dyads
 
-    return dyads(t.v_clips)
+    return dyads(t.v_clips.withColumn("recording", F.expr("clip_id div 2")))
 
 
 @query("join_nearest_torso", "SELECT clip_id, frame_idx, point_id, surface_id FROM (SELECT p.clip_id, p.frame_idx, p.det_idx AS point_id, s.track_id AS surface_id, row_number() OVER (PARTITION BY p.clip_id, p.frame_idx, p.det_idx ORDER BY (s.x1 - p.cam_x) * (s.x1 - p.cam_x) + (s.y1 - p.cam_y) * (s.y1 - p.cam_y) + (s.x2 - p.cam_z) * (s.x2 - p.cam_z), s.track_id) AS rn FROM v_detections p JOIN v_tracks s ON p.clip_id = s.clip_id AND p.frame_idx = s.frame_idx) q WHERE rn = 1")
