@@ -29,7 +29,7 @@ SKETCHES = 112
 #: Bins of a text's word counts, by the first byte of the word's hash.
 BAG = 256
 #: Rounds in which texts are compared with centers, of which at most so many a text, before all texts of a bucket are compared.
-CENTERS = 3
+CENTERS = 1
 TRIES = 5
 #: Texts of a bucket that meet in one task when all of them are compared: some 6 MB of word counts.
 BLOCK = 20_000
