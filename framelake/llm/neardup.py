@@ -10,6 +10,7 @@ from __future__ import annotations
 import hashlib
 import itertools
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -26,12 +27,13 @@ SHINGLE = 5
 SIMILARITY = 0.8
 #: At similarity 0.80 by scattered words, 112 hashes of two grams bring 0.95 of pairs of 100 words together; 24 brought 0.56.
 SKETCHES = 112
-#: Bins of a text's word counts, by the first byte of the word's hash.
-BAG = 256
+#: Bins of a text's word counts, by the first ten bits of the word's hash, and of the sums of neighbouring bins that are compared first.
+BAG = 1024
+COARSE = 256
 #: Rounds in which texts are compared with centers, of which at most so many a text, before all texts of a bucket are compared.
 CENTERS = 1
 TRIES = 5
-#: Texts of a bucket that meet in one task when all of them are compared: some 6 MB of word counts.
+#: Texts of a bucket that meet in one task when all of them are compared: some 25 MB of word counts.
 BLOCK = 20_000
 #: Texts that a task compares with one center.
 COMPARED = 500
@@ -143,12 +145,15 @@ def similar(a: list[str], b: list[str], least: float = SIMILARITY) -> bool:
     """1 - edit distance / longer length is at least so much."""
     longer = max(len(a), len(b))
     band = int((1 - least) * longer + 1e-9)
-    return longer > 0 and abs(len(a) - len(b)) <= band and edit_distance(a, b, band) is not None
+    if not longer or abs(len(a) - len(b)) > band:
+        return False
+    # Words that aren't in both, by their counts, each cost an edit.
+    return longer - (Counter(a) & Counter(b)).total() <= band and edit_distance(a, b, band) is not None
 
 
 def bag(words: np.ndarray) -> bytes:
     """How many of a text's words fall into each of BAG bins by their hash, up to 255."""
-    return np.minimum(np.bincount((words >> np.uint64(56)).astype(np.intp), minlength=BAG), 255).astype(np.uint8).tobytes()
+    return np.minimum(np.bincount((words >> np.uint64(54)).astype(np.intp), minlength=BAG), 255).astype(np.uint8).tobytes()
 
 
 def may_be_near(n_a: np.ndarray, n_b: np.ndarray, bags_a: np.ndarray, bags_b: np.ndarray, least: float) -> np.ndarray:
@@ -169,6 +174,12 @@ def _bags(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, BAG)
 
 
+def _apart(bags: np.ndarray, one: np.ndarray) -> np.ndarray:
+    """The edits that each of bags (rows) and one other bag prove at least."""
+    most = np.maximum(bags, one)
+    return np.maximum((most - one).sum(axis=1, dtype=np.int64), (most - bags).sum(axis=1, dtype=np.int64))
+
+
 def _features(docs: DataFrame, carried: list[str], text: str, sketches: int) -> DataFrame:
     """(row, text_hash, words, bag, sketch) of every row, row holding the carried columns, text among them."""
     rows, at = docs.select(F.struct(*carried).alias("row")), carried.index(text)
@@ -219,6 +230,7 @@ def _all_pairs(rows: DataFrame, facts: DataFrame, least: float, block: int) -> D
         order = np.argsort(t["words"].to_numpy(), kind="stable")
         own, id_, part, words = (t[c].to_numpy()[order] for c in ("own", "id", "class", "words"))
         bags = _bags(t["bag"])[order]
+        coarse = np.minimum(bags.reshape(len(order), COARSE, -1).sum(axis=2), 255).astype(np.uint8)
         marks = pc.list_flatten(t["sketch"]).to_numpy().reshape(len(order), -1)[order]
         value = t["value"][0].as_py()
         # Of texts in order of length, those that are not too long to be near one are a run behind it.
@@ -231,9 +243,8 @@ def _all_pairs(rows: DataFrame, facts: DataFrame, least: float, block: int) -> D
             if not inside:
                 meet &= own[a + 1 : z] != own[a]
             b = a + 1 + np.flatnonzero(meet)
-            more = np.maximum(bags[b], bags[a]) - bags[a]
-            less = np.maximum(bags[b], bags[a]) - bags[b]
-            near = b[np.maximum(more.sum(axis=1, dtype=np.int64), less.sum(axis=1, dtype=np.int64)) <= band[b]]
+            near = b[_apart(coarse[b], coarse[a]) <= band[b]]
+            near = near[_apart(bags[near], bags[a]) <= band[near]]
             first = (marks[near] == marks[a]).argmax(axis=1)
             near = near[marks[a][first] == value]
             left.append(np.full(len(near), id_[a]))
