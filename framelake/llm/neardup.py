@@ -222,7 +222,9 @@ def _all_pairs(rows: DataFrame, facts: DataFrame, least: float, block: int) -> D
     task holds a bucket. A pair is told in the first bucket that it shares only; facts: (id, words, bag, sketch)."""
     sizes = rows.groupBy("value").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
     own, other = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = rows.join(sizes, "value").withColumn("own", own).withColumn("other", other).join(facts.hint("merge"), "id")
+    # A text meets its facts once, with the list of its buckets, of which there are at most as many as hashes.
+    met = rows.join(sizes, "value").groupBy("id").agg(F.min("class").alias("class"), F.collect_list(F.struct("value", "blocks")).alias("met"))
+    dealt = met.join(facts.hint("merge"), "id").select("id", "class", "words", "bag", "sketch", F.inline("met")).withColumn("own", own).withColumn("other", other)
     cells = dealt.select("value", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "class", "words", "bag", "sketch")
 
     def pairs(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
