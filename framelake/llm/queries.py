@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from framelake.llm import arrow_seq, bpe, decontam, langid, licenses, neardup, quality, substring, urls, warc
+from framelake.llm import arrow_seq, bpe, decontam, divergence, langid, licenses, merkle, neardup, quality, substring, urls, warc
 
 QUERIES = {
     "op1_line_quality": quality.query,
@@ -15,5 +15,13 @@ QUERIES = {
     "op8_warc_dictionary": warc.query,
     "op9_repeated_phrases": substring.query,
     "op10_pigeonhole_leaks": decontam.query,
+    "op12_merkle_manifest": merkle.query,
+    "op13_source_divergence": divergence.query,
+}
+ORACLE_SQL = {
+    "op1_line_quality": quality.SQL,
+    "op5_url_aliases": urls.SQL,
+    "op8_warc_dictionary": warc.SQL,
+    "op12_merkle_manifest": merkle.SQL,
+    "op13_source_divergence": divergence.SQL,
 }
-ORACLE_SQL = {"op1_line_quality": quality.SQL, "op5_url_aliases": urls.SQL, "op8_warc_dictionary": warc.SQL}
