@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from framelake.llm import arrow_seq, bpe, decontam, divergence, langid, licenses, merkle, neardup, quality, substring, urls, warc
+from framelake.llm import arrow_seq, bpe, decontam, divergence, langid, licenses, merkle, neardup, quality, secrets, substring, urls, warc
 
 QUERIES = {
     "op1_line_quality": quality.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_warc_dictionary": warc.query,
     "op9_repeated_phrases": substring.query,
     "op10_pigeonhole_leaks": decontam.query,
+    "op11_secret_crf": secrets.query,
     "op12_merkle_manifest": merkle.query,
     "op13_source_divergence": divergence.query,
 }
