@@ -22,9 +22,9 @@ from pyspark.sql import functions as F
 from framelake.llm.common import _power_tables, mix
 
 #: Bounds of the training sample: texts of least hash, tokens of a window, windows a text.
-SAMPLE_TEXTS = 800
+SAMPLE_TEXTS = 1000
 WINDOW = 32
-WINDOWS = 4
+WINDOWS = 2
 #: What the model adds has at least so many bytes.
 LEAST = 8
 KINDS = ("assign", "access", "hex", "crf")
@@ -41,16 +41,32 @@ BASE = (
     (re.compile(rb"AKIA[A-Z0-9]+"), 0, 20),
     (re.compile(rb"[0-9a-f]+"), 0, 24),
 )
-_LONG_HEX = re.compile(rb"(?<![0-9a-f])[0-9a-f]{24,}")
+#: One of these is in every text with a base span of the first two kinds.
+_SIGNS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key", b"akia")
 
 
-def base_spans(raw: bytes) -> list[tuple[int, int, int, int]]:
-    """(start, kind, end, start of the value) in bytes, by start and kind."""
-    out = []
-    for kind, (pattern, group, least) in enumerate(BASE):
-        # A hexadecimal run is long enough only where 24 characters follow its first, so shorter runs needn't be matched.
-        found = _LONG_HEX if kind == 2 else pattern
-        out += [(m.start(), kind, m.end(), m.start(group)) for m in found.finditer(raw) if m.end(group) - m.start(group) >= least]
+def long_runs(inside: np.ndarray, least: int, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Begins and ends of the runs of true of at least so many, cut at bounds."""
+    edge = np.zeros(len(inside) + 1, bool)
+    edge[1:-1] = inside[1:] != inside[:-1]
+    edge[bounds] = True
+    at = np.flatnonzero(edge)
+    begin, end = at[:-1], at[1:]
+    long = end - begin >= least
+    begin, end = begin[long], end[long]
+    ok = inside[begin] if len(begin) else np.zeros(0, bool)
+    return begin[ok], end[ok]
+
+
+def base_spans(raw: bytes, hexes: list[tuple[int, int]] | None = None) -> list[tuple[int, int, int, int]]:
+    """(start, kind, end, start of the value) in bytes, by start and kind. hexes are the text's long hexadecimal runs, if they are known."""
+    if hexes is None:
+        hexes = list(zip(*(x.tolist() for x in long_runs(_HEX[np.frombuffer(raw, np.uint8)], BASE[2][2], np.array([0, len(raw)]))), strict=True)) if raw else []
+    out = [(a, 2, z, a) for a, z in hexes]
+    low = raw.lower()
+    if any(sign in low for sign in _SIGNS):
+        for kind, (pattern, group, least) in enumerate(BASE[:2]):
+            out += [(m.start(), kind, m.end(), m.start(group)) for m in pattern.finditer(raw) if m.end(group) - m.start(group) >= least]
     return sorted(out)
 
 
@@ -67,6 +83,8 @@ _HEX = np.zeros(256, bool)
 _HEX[[ord(c) for c in "0123456789abcdef"]] = True
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[0x41:0x5B] += 32
+_BIT = np.left_shift(1, _CLASS).astype(np.uint8)
+_PART = np.where(_CLASS == _SPACE, 0, np.where(_CLASS == _SIGN, 2, 1)).astype(np.uint8)
 _LENGTHS = np.searchsorted([1, 2, 4, 6, 10, 16, 20, 24, 32, 40, 64], np.arange(257), "right").astype(np.uint8)
 
 #: Words that the features know, by group. Fixed values.
@@ -102,8 +120,7 @@ TABLES = {"length, digits": 12 * 5, "shape": 128, "switches": 12 * 2, "word": 4,
 
 def features(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(begin, end, row, codes) of the tokens of texts that lie in raw between bounds; codes has a column a table."""
-    kind = _CLASS[raw]
-    group = np.where(kind == _SPACE, 0, np.where(kind == _SIGN, 2, 1)).astype(np.int8)
+    group = _PART[raw]
     edge = np.ones(len(raw) + 1, bool)
     edge[1:-1] = group[1:] != group[:-1]
     edge[bounds] = True
@@ -117,19 +134,20 @@ def features(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarra
     n = len(begin)
     if not n:
         return begin, end, row, np.zeros((0, len(TABLES)), np.uint8)
+    gap[0] = True
+    gap[1:] |= row[1:] != row[:-1]
     size = end - begin
     length = _LENGTHS[np.minimum(size, 256)]
-    has = np.bitwise_or.reduceat(np.left_shift(1, kind).astype(np.uint8), begin)
-    # reduceat runs to the next token's begin: a blank between them is class 0 and counts for nothing here.
-    digit = np.concatenate([[0], np.cumsum(kind == _DIGIT, dtype=np.int64)])
-    hexes = np.concatenate([[0], np.cumsum(_HEX[raw], dtype=np.int64)])
-    alnum = (kind == _DIGIT).astype(np.int8)
-    turn = np.zeros(len(raw), np.int64)
-    turn[1:] = (alnum[1:] != alnum[:-1]) | ((kind[1:] == _UPPER) & (kind[:-1] == _LOWER))
-    turns = np.concatenate([[0], np.cumsum(turn)])
-    digits, hex_only = digit[end] - digit[begin], hexes[end] - hexes[begin] == size
+    # Sums from a token's begin to the next one's: the blanks between them have no digits and no turns.
+    has = np.bitwise_or.reduceat(_BIT[raw], begin)
+    kind = _CLASS[raw]
+    digit = kind == _DIGIT
+    turn = np.zeros(len(raw), bool)
+    turn[1:] = (digit[1:] != digit[:-1]) | ((kind[1:] == _UPPER) & (kind[:-1] == _LOWER))
+    turn &= ~edge[:-1]
+    digits, hex_only = np.add.reduceat(digit, begin, dtype=np.int32), np.add.reduceat(_HEX[raw], begin, dtype=np.int32) == size
     share = np.minimum(4, np.ceil(4 * digits / size)).astype(np.uint8)
-    switches = np.minimum(11, turns[end] - turns[begin + 1]).astype(np.uint8)
+    switches = np.minimum(11, np.add.reduceat(turn, begin, dtype=np.int32)).astype(np.uint8)
     sign = group[begin] == 2
     word = np.zeros(n, np.uint8)
     few = np.flatnonzero(~sign & (size <= 16))
@@ -156,9 +174,8 @@ def features(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarra
     tokens = np.maximum(1, np.bincount(row, minlength=texts))
     signs = np.minimum(4, (10 * np.bincount(row[sign], minlength=texts)) // tokens)
     keyed = np.minimum(2, np.bincount(row[word == 1], minlength=texts))
-    newline = np.concatenate([[0], np.cumsum(raw == 0x0A, dtype=np.int64)])
     starts_line = np.ones(n, bool)
-    starts_line[1:] = (newline[begin[1:]] > newline[begin[:-1]]) | (row[1:] != row[:-1])
+    starts_line[1:] = np.logical_or.reduceat(raw == 0x0A, begin)[:-1] | (row[1:] != row[:-1])
     codes = np.empty((n, len(TABLES)), np.uint8, order="F")
     codes[:, 0] = length * np.uint8(5) + share
     codes[:, 1] = (has >> 1) & 63 | (hex_only.astype(np.uint8) << 6)
@@ -231,7 +248,7 @@ class Crf:
         return tags
 
 
-def fit(codes: np.ndarray, tags: np.ndarray, mask: np.ndarray, rounds: int = 120, l2: float = 1e-3, rate: float = 0.15) -> Crf:
+def fit(codes: np.ndarray, tags: np.ndarray, mask: np.ndarray, rounds: int = 100, l2: float = 1e-3, rate: float = 0.15) -> Crf:
     """Maximises the penalised conditional likelihood of windows (windows x tokens) by Adam on exact gradients (forward and backward sums over all windows at once)."""
     n, length = tags.shape
     width = int(_OFFSETS[-1])
@@ -377,7 +394,7 @@ def joined(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{z}" for a, k, z in sorted(spans))
 
 
-def scan(docs: DataFrame, model: Crf, text: str = "text", key: str = "doc_id", run_bytes: int = 2 << 20) -> DataFrame:
+def scan(docs: DataFrame, model: Crf, text: str = "text", key: str = "doc_id", run_bytes: int = 1_000_000) -> DataFrame:
     """(key, n_assign, n_access, n_hex, base, spans): base and spans are kind:start:end in code points, by start and then kind, comma-joined.
 
     The base spans are those of the patterns. spans adds, as crf, what the model finds apart from them. A null or empty text has none; an unpaired
@@ -401,10 +418,13 @@ def scan(docs: DataFrame, model: Crf, text: str = "text", key: str = "doc_id", r
             at = np.flatnonzero(opens)
             for a, z in zip(hit[at], np.append(hit[at[1:] - 1], hit[-1:]), strict=True):
                 added.setdefault(int(row[a]), []).append((int(begin[a] - bounds[row[a]]), int(end[z] - bounds[row[a]])))
+        hexes: dict[int, list[tuple[int, int]]] = {}
+        for a, z in zip(*long_runs(_HEX[raw], BASE[2][2], bounds), strict=True) if len(raw) else ():
+            i = int(np.searchsorted(bounds, a, "right")) - 1
+            hexes.setdefault(i, []).append((int(a - bounds[i]), int(z - bounds[i])))
         out = []
         for i in range(len(texts)):
-            one = raw[bounds[i] : bounds[i + 1]].tobytes()
-            base = [(a, k, z) for a, k, z, _ in base_spans(one)]
+            base = [(a, k, z) for a, k, z, _ in base_spans(raw[bounds[i] : bounds[i + 1]].tobytes(), hexes.get(i, []))]
             more = [(a, 3, z) for a, z in added.get(i, ()) if z - a >= LEAST and not any(a < e and s < z for s, _, e in base)]
             # From bytes to code points: bytes that continue a character don't count.
             if base or more:
