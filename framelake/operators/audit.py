@@ -19,9 +19,15 @@ def audit(sources: DataFrame, outputs: DataFrame, finished: DataFrame) -> DataFr
 
 
 def rollup_counts(sources: DataFrame, outputs: DataFrame) -> DataFrame:
-    """(session, condition, source, output, excerpt, gap): a row each, and a TOTAL row; an excerpt counts only with its output, and conditions without a source are left out."""
+    """(session, condition, source, output, excerpt, gap): a row each, and a TOTAL row; an excerpt counts only with its output, and conditions without a source are left out.
+
+    Without any source the job fails: nothing would be missing then, whatever there is."""
     rows = sources.select(*KEYS).distinct().withColumn("_s", F.lit(1)).join(outputs.select(*KEYS, "excerpt").withColumn("_o", F.lit(1)), KEYS, "left")
-    counts = rows.rollup("session", "condition").agg(F.sum("_s").alias("source"), F.count("_o").alias("output"), F.count_if(F.col("excerpt")).alias("excerpt"), F.grouping_id().alias("_g")).where("_g IN (0, 3)")
+    # A row of no source, so that there is a total to check even if nothing else is there.
+    blank = sources.sparkSession.range(1).select(*(F.lit(None).cast(f.dataType).alias(f.name) if f.name != "_s" else F.lit(0).alias("_s") for f in rows.schema.fields))
+    rows = rows.unionByName(blank)
+    counts = rows.rollup("session", "condition").agg(F.sum("_s").alias("source"), F.count("_o").alias("output"), F.count_if(F.col("excerpt")).alias("excerpt"), F.grouping_id().alias("_g")).where("_g = 3 OR _g = 0 AND source > 0")
+    counts = counts.withColumn("source", F.when(F.col("source") > 0, F.col("source")).otherwise(F.raise_error(F.lit("there is no source at all: look at the path")).cast("long")))
     return counts.select(*(F.when(F.col("_g") == 3, "TOTAL").otherwise(F.col(c)).alias(c) for c in ("session", "condition")), "source", "output", "excerpt", (F.col("source") != F.col("output")).alias("gap"))
 
 
@@ -98,3 +104,17 @@ def attribute_samples(samples: DataFrame, stages: DataFrame) -> DataFrame:
     )
     last = F.last("_stage", ignorenulls=True).over(Window.partitionBy("run_id").orderBy("ts", "_o").rowsBetween(Window.unboundedPreceding, 0))
     return both.withColumn("_last", last).where("_o = 1").select(*kept, F.when(F.col("ts") < F.col("_last.end_ts"), F.col("_last.stage")).alias("stage"))
+
+
+def stage_bench(samples: DataFrame, stages: DataFrame, order=("ts",), start: str = "startup") -> DataFrame:
+    """(run_id, stage, peak, util, seconds, underused) from samples (run_id, ts, used, util) and stages (run_id, stage, start_ts, end_ts).
+
+    peak is the most that was used over what the run's first sample, by order, had in use before any stage, at least 0; util the mean. Samples outside stages don't count, nor
+    does the stage start. A stage of enough seconds with a low util is underused."""
+    base = samples.groupBy("run_id").agg(F.min_by("used", F.struct(*order)).alias("_base"))
+    seen = attribute_samples(samples, stages).where(F.col("stage") != start).groupBy("run_id", "stage").agg(F.max("used").alias("_most"), F.avg("util").alias("util"))
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    took = stages.select("run_id", "stage", ((micros("end_ts") - micros("start_ts")) / 1e6).alias("seconds"))
+    out = seen.join(base, "run_id").join(took, ["run_id", "stage"])
+    underused = (F.col("util") < K.UTIL_FLOOR) & (F.floor("seconds") >= K.UTIL_SECONDS)
+    return out.select("run_id", "stage", F.greatest(F.col("_most") - F.col("_base"), F.lit(0.0)).alias("peak"), "util", "seconds", underused.alias("underused"))

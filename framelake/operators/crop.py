@@ -5,8 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from framelake import constants as K
 
-def subject_crop(points: DataFrame, fx: float, fy: float, cx: float, cy: float, width: int, height: int, least: int = 100, pad: float = 0.15) -> DataFrame:
+
+def sampled(frames: DataFrame, clips: DataFrame, most: int = K.CROP_FRAMES) -> DataFrame:
+    """The frames of clips (clip_id, num_frames; start, if the clip's excerpt doesn't begin at 0) to look at: every max(1, num_frames div most)-th from the start on."""
+    about = clips.select("clip_id", F.col("num_frames").alias("_n"), (F.col("start") if "start" in clips.columns else F.lit(0)).alias("_from"))
+    place = F.col("frame_idx") - F.col("_from")
+    out = frames.join(about, "clip_id").where((place >= 0) & (place < F.col("_n")) & (place % F.greatest(F.lit(1), F.expr(f"_n div {most}")) == 0))
+    return out.drop("_n", "_from")
+
+
+def subject_crop(points: DataFrame, fx: float, fy: float, cx: float, cy: float, width: int, height: int, least: int = K.CROP_POINTS, pad: float = 0.15) -> DataFrame:
     """(clip_id, x0, y0, x1, y1) from points (clip_id, frame_idx, x, y, z): each frame's bounds of the points in front of the
     camera, where there are enough; the 5th percentile of the lows and the 95th of the highs; padded, cut at the frame, at
     least 16 pixels and of even sides."""

@@ -48,6 +48,24 @@ def coverage(df: DataFrame, masks: list[str]) -> DataFrame:
     return df.groupBy("clip_id").agg(F.count("*").alias("num_frames"), *(share(m).alias(m) for m in masks))
 
 
+def hand_gate(df: DataFrame, least: float = K.HAND_GATE) -> DataFrame:
+    """(clip_id, coverage, no_hands): the mean of the two hands' coverages, and whether it is under the least that a clip needs for its hands to be used."""
+    c = coverage(df, ["left_valid", "right_valid"]).select("clip_id", ((F.col("left_valid") + F.col("right_valid")) / 2).alias("coverage"))
+    return c.withColumn("no_hands", F.col("coverage") < least)
+
+
+def loss_stats(df: DataFrame, loss: str, share: float = K.SOLVED_SHARE, median: float = K.SOLVED_MEDIAN, strict: bool = False) -> DataFrame:
+    """(clip_id, median, p95, largest, covered, solved) of the losses over 0; covered is their share of all frames.
+
+    A clip is solved with at least so large a share and a median under the given one. With strict, a clip that isn't fails the job that reads solved, naming it."""
+    over = F.when(F.col(loss) > 0, F.col(loss))
+    out = df.groupBy("clip_id").agg(F.percentile(over, F.array(F.lit(0.5), F.lit(0.95))).alias("_p"), F.max(over).alias("largest"), (F.count(over) / F.count("*")).alias("covered"))
+    ok = F.coalesce((F.col("covered") >= share) & (F.col("_p")[0] < median), F.lit(False))
+    if strict:
+        ok = F.when(ok, ok).otherwise(F.raise_error(F.concat(F.lit("clip "), F.col("clip_id").cast("string"), F.lit(" isn't solved"))).cast("boolean"))
+    return out.select("clip_id", F.col("_p")[0].alias("median"), F.col("_p")[1].alias("p95"), "largest", "covered", ok.alias("solved"))
+
+
 def quality_report(clips: DataFrame) -> DataFrame:
     """clips with warnings, failures and status.
 

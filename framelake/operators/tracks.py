@@ -23,11 +23,15 @@ def overlaps(boxes: DataFrame, ranks: DataFrame, person: int = 0) -> DataFrame:
 
 
 def summarise_tracks(boxes: DataFrame, person: int = 0) -> DataFrame:
-    """A row a track: rank, frames, overlap with the chosen track, median area, its share of the chosen track's, median box."""
-    ranks = rank_tracks(boxes)
-    medians = boxes.groupBy("clip_id", "track_id").agg(*(F.percentile(c, 0.5).alias(f"{c}_median") for c in ("x1", "y1", "x2", "y2")))
-    chosen = ranks.where(F.col("rank") == person).select("clip_id", F.col("area_median").alias("_chosen"))
-    out = ranks.join(overlaps(boxes, ranks, person), ["clip_id", "track_id"], "left").join(medians, ["clip_id", "track_id"]).join(chosen, "clip_id", "left")
+    """A row a track: rank, frames, overlap with the chosen track, median area, its share of the chosen track's, median box.
+
+    One grouping by track gives all medians; a clip's few tracks are then ranked in one window, which also tells the chosen one's area; one join counts overlaps."""
+    area = (F.col("x2") - F.col("x1")) * (F.col("y2") - F.col("y1"))
+    medians = {"area_median": area, **{f"{c}_median": F.col(c) for c in ("x1", "y1", "x2", "y2")}}
+    each = boxes.groupBy("clip_id", "track_id").agg(F.count("*").alias("n_frames"), *(F.percentile(v, 0.5).alias(n) for n, v in medians.items()))
+    clip = Window.partitionBy("clip_id")
+    ranks = each.withColumn("rank", F.row_number().over(clip.orderBy(F.desc("area_median"), "track_id")) - 1).withColumn("_chosen", F.max(F.when(F.col("rank") == person, F.col("area_median"))).over(clip))
+    out = ranks.join(overlaps(boxes, ranks, person), ["clip_id", "track_id"], "left")
     return out.withColumns({"n_overlap_frames": F.coalesce("n_overlap_frames", F.lit(0).cast("long")), "area_share": F.try_divide("area_median", "_chosen")}).drop("_chosen")
 
 

@@ -25,22 +25,59 @@ _FACE = """SELECT clip_id, frame_idx AS timestep_id, (clip_id + frame_idx) % 9 =
   CASE WHEN (clip_id + frame_idx * 3) % 11 = 0 THEN CAST(0 AS DOUBLE) ELSE CAST((clip_id + frame_idx) % 17 AS DOUBLE) / CAST(40 AS DOUBLE) + CAST(0.05 AS DOUBLE) END AS blink
   FROM v_body WHERE (clip_id * 13 + frame_idx * 7) % 10 < 6"""
 
+# Arrays: {at} takes an element counted from 1, {map} a range of numbers through an expression of i.
+_HANDS = "SELECT d.*, {hand} AS hand FROM v_detections d JOIN embeddings e ON e.vec_id = d.vec"
+_MESHES = """SELECT d.clip_id, d.frame_idx, d.det_idx, d.is_right, d.kp_count, d.kp_conf, d.cam_x, d.cam_y, CASE WHEN d.det_idx % 29 = 0 THEN CAST(0 AS DOUBLE) ELSE d.cam_z END AS cam_z, d.focal, {verts} AS verts
+  FROM v_detections d JOIN embeddings e ON e.vec_id = d.vec"""
+_FACES = """SELECT clip_id, timestep_id, row_idx, CASE WHEN clip_id % 4 = 3 THEN NULL ELSE stale <> (row_idx = 1) END AS stale, {jaw} AS jaw, {expression} AS expression, {eyes} AS eyes, pitch - row_idx AS gaze_pitch, yaw AS gaze_yaw, blink + row_idx AS blink_left, blink / CAST(2 AS DOUBLE) AS blink_right
+  FROM (SELECT *, 0 AS row_idx FROM v_face UNION ALL SELECT *, 1 AS row_idx FROM v_face WHERE timestep_id % 5 = 0) q"""
+
+
+def _mapped(n: str, of: str) -> tuple[str, str]:
+    """An array of of over i from 1 to n, for Spark and for DuckDB."""
+    return f"transform(sequence(1, {n}), i -> {of})", f"list_transform(range(1, {n} + 1), lambda i: {of})"
+
+
+def _both(text: str, **arrays: tuple[str, str]) -> tuple[str, str]:
+    return tuple(text.format(**{k: v[side] for k, v in arrays.items()}) for side in (0, 1))
+
+
+_EMBEDDED = ("CAST(element_at(e.embedding, CAST({0} AS INT)) AS DOUBLE)", "CAST(e.embedding[{0}] AS DOUBLE)")
+
+
+def _embedded(n: str, index: str, of: str) -> tuple[str, str]:
+    """As _mapped, with x in of being element index of the embedding."""
+    return tuple(_mapped(n, of.replace("x", x.format(index)))[side] for side, x in enumerate(_EMBEDDED))
+
+
 #: name -> text, or (Spark's text, DuckDB's).
 VIEWS: dict[str, str | tuple[str, str]] = {
     "v_frames": """SELECT user_id AS clip_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS BIGINT) AS frame_idx, ts,
   event_type <> 'error' AS valid, event_type = 'click' AS detected, value AS x, CAST(regexp_extract(props, '[0-9]+', 0) AS INT) AS size FROM events""",
     "v_clips": """SELECT clip_id, count(*) AS num_frames, CAST(CASE WHEN clip_id % 4 = 0 THEN 25 WHEN clip_id % 4 = 1 THEN 29.97 WHEN clip_id % 4 = 2 THEN 30 ELSE 0 END AS DOUBLE) AS fps,
-  concat('S0', CAST(clip_id % 5 + 1 AS STRING)) AS session, CASE clip_id % 3 WHEN 0 THEN 'BP' WHEN 1 THEN 'CS' ELSE 'FT1' END AS condition FROM v_frames GROUP BY clip_id""",
+  concat('S0', CAST(clip_id % 5 + 1 AS STRING)) AS session, CASE clip_id % 3 WHEN 0 THEN 'BP' WHEN 1 THEN 'CS' ELSE 'FT1' END AS condition,
+  CAST(sum(size) AS DOUBLE) / CAST(10 AS DOUBLE) AS mb, clip_id % 4 <> 1 AS excerpt FROM v_frames GROUP BY clip_id""",
     "v_poses": _POSES,
     "v_body": (_BODY.format(series="explode(sequence(CAST(0 AS BIGINT), CAST(599 AS BIGINT)))"), _BODY.format(series="unnest(range(600))")),
     "v_detections": _DETECTIONS,
     "v_face": _FACE,
+    "v_hands": _both(_HANDS, hand=_embedded("45", "i", "x * CAST(8 AS DOUBLE)")),
+    "v_meshes": _both(_MESHES, verts=_embedded("120", "(i - 1) % 64 + 1", "x + CAST(i AS DOUBLE) / CAST(1000 AS DOUBLE)")),
+    "v_faces": _both(
+        _FACES,
+        jaw=_mapped("3", "jaw + CAST(i - 10 * row_idx AS DOUBLE) / CAST(10 AS DOUBLE)"),
+        expression=_mapped("CASE WHEN (clip_id + timestep_id) % 13 = 0 THEN 80 ELSE 120 END", "CAST((clip_id * 3 + timestep_id * 5 + i * 7) % 41 - 50 * row_idx AS DOUBLE) / CAST(40 AS DOUBLE)"),
+        eyes=_mapped("CASE WHEN (clip_id + timestep_id + row_idx) % 7 = 0 THEN 4 ELSE 6 END", "pitch * CAST(i AS DOUBLE) + CAST(row_idx AS DOUBLE)"),
+    ),
+    "v_joints": "SELECT clip_id, frame_idx, transl_z AS left_z, transl_z - CAST(clip_id % 5 AS DOUBLE) / CAST(10 AS DOUBLE) AS right_z FROM v_body WHERE frame_idx < 480 + clip_id % 100",
+    "v_body_clips": "SELECT s_suppkey AS clip_id, 480 + s_suppkey % 100 AS num_frames, CASE WHEN s_suppkey % 2 = 0 THEN CAST(1000 AS DOUBLE) ELSE CAST(1200 AS DOUBLE) END AS fx, 640 AS width, 480 AS height FROM supplier",
+    "v_weights": "SELECT p_partkey % 21 AS joint_id, (p_partkey * 7 + p_size) % 40 AS vertex_id, sum(CAST(p_retailprice AS DOUBLE)) / CAST(100000 AS DOUBLE) AS weight FROM part GROUP BY p_partkey % 21, (p_partkey * 7 + p_size) % 40",
     "v_tracks": """SELECT clip_id, track_id, frame_idx, x1, y1, x1 + w AS x2, y1 + h AS y2 FROM (SELECT l_suppkey AS clip_id,
-  CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END AS track_id, l_orderkey % 600 AS frame_idx, l_quantity AS x1, l_tax * CAST(100 AS DOUBLE) AS y1,
+  CASE WHEN l_returnflag = 'A' THEN 0 WHEN l_returnflag = 'N' THEN 1 WHEN l_orderkey % 40 = 0 THEN 2 ELSE 0 END AS track_id, l_orderkey % 600 AS frame_idx, l_quantity AS x1, l_tax * CAST(100 AS DOUBLE) AS y1,
   l_quantity * CAST(2 AS DOUBLE) + CAST(1 AS DOUBLE) AS w, l_discount * CAST(500 AS DOUBLE) + CAST(1 AS DOUBLE) AS h,
-  row_number() OVER (PARTITION BY l_suppkey, l_returnflag, l_orderkey % 600 ORDER BY l_orderkey, l_partkey, l_linenumber, l_quantity, l_extendedprice) AS rn
-  FROM lineitem) q WHERE rn = 1 AND (track_id < 2 OR frame_idx % 40 = 0)""",
-    "v_sources": "SELECT o_orderkey AS name, o_orderstatus AS session, o_orderpriority AS condition FROM orders WHERE o_orderkey % 50 <> 3",
+  row_number() OVER (PARTITION BY l_suppkey, CASE WHEN l_returnflag = 'A' THEN 0 WHEN l_returnflag = 'N' THEN 1 WHEN l_orderkey % 40 = 0 THEN 2 ELSE 0 END, l_orderkey % 600 ORDER BY l_orderkey, l_partkey, l_linenumber, l_quantity, l_extendedprice) AS rn
+  FROM lineitem) q WHERE rn = 1""",
+    "v_sources": "SELECT CASE WHEN o_orderkey % 50 = 3 THEN o_orderkey + 100000000 ELSE o_orderkey END AS name, o_orderstatus AS session, o_orderpriority AS condition FROM orders",
     "v_outputs": """SELECT DISTINCT o.o_orderkey AS name, o.o_orderstatus AS session, o.o_orderpriority AS condition, o.o_orderkey % 2 = 0 AS excerpt
   FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey""",
     "v_videos": """SELECT o_orderkey AS clip_id, o_orderstatus AS session, o_orderpriority AS condition, CASE o_orderkey % 4 WHEN 0 THEN '25/1' WHEN 1 THEN '30000/1001' WHEN 2 THEN '0/0' ELSE '' END AS r_frame_rate,

@@ -123,72 +123,6 @@ def _(t):
 _LAST = f"""SELECT clip_id, frame_idx, is_right, cam_x, det_idx FROM (SELECT *, row_number() OVER (PARTITION BY clip_id, frame_idx, is_right ORDER BY det_idx DESC) AS rn FROM v_detections WHERE {_OK}) q WHERE rn = 1"""
 
 
-@query(
-    "join_fuse_streams",
-    f"""SELECT b.clip_id, count(*) AS frames, count(l.cam_x) AS left_frames, count(r.cam_x) AS right_frames, count(CASE WHEN NOT g.stale THEN 1 END) AS face_frames,
-    round(sum(coalesce(l.cam_x, 0) + coalesce(r.cam_x, 0)), 4) AS hands, round(sum(coalesce(g.jaw, 0)), 4) AS jaw
-    FROM v_body b LEFT JOIN ({_LAST}) l ON b.clip_id = l.clip_id AND b.frame_idx = l.frame_idx AND NOT l.is_right
-    LEFT JOIN ({_LAST}) r ON b.clip_id = r.clip_id AND b.frame_idx = r.frame_idx AND r.is_right
-    LEFT JOIN v_face g ON b.clip_id = g.clip_id AND b.frame_idx = g.timestep_id GROUP BY b.clip_id""",
-)
-def _(t):
-    hands = t.v_detections.select("clip_id", "frame_idx", "is_right", "det_idx", "kp_count", "kp_conf", F.col("cam_x").alias("value"))
-    f = O.fuse(t.v_body.select("clip_id", "frame_idx"), hands, t.v_face.select("clip_id", "timestep_id", "stale", "jaw"))
-    return f.groupBy("clip_id").agg(
-        F.count("*").alias("frames"), F.count_if("left_valid").alias("left_frames"), F.count_if("right_valid").alias("right_frames"), F.count_if("face_valid").alias("face_frames"),
-        F.round(F.sum(F.col("left_hand") + F.col("right_hand")), 4).alias("hands"), F.round(F.sum("jaw"), 4).alias("jaw"),
-    )
-
-
-def _twice(face, channel: str):
-    """The face rows, and of every fifth frame a later row, smaller and stale where the first isn't."""
-    first = face.select("clip_id", "timestep_id", F.lit(0).alias("row_idx"), "stale", channel)
-    again = face.where("timestep_id % 5 = 0").select("clip_id", "timestep_id", F.lit(1).alias("row_idx"), (~F.col("stale")).alias("stale"), (F.col(channel) - 100).alias(channel))
-    return again.unionByName(first)
-
-
-def _overlay_sql(channel: str) -> str:
-    return f"""SELECT b.clip_id, b.frame_idx, coalesce(CASE WHEN b.frame_idx % 5 = 0 THEN g.{channel} - 100 ELSE g.{channel} END, CAST(0 AS DOUBLE)) AS {channel}, coalesce(g.stale = (b.frame_idx % 5 = 0), false) AS face_valid
-    FROM v_body b LEFT JOIN v_face g ON b.clip_id = g.clip_id AND b.frame_idx = g.timestep_id"""
-
-
-@query("join_face_overlay", _overlay_sql("jaw"))
-def _(t):
-    return O.fuse(t.v_body.select("clip_id", "frame_idx"), face=_twice(t.v_face, "jaw"))
-
-
-@query("join_gaze_overlay", _overlay_sql("blink"))
-def _(t):
-    return O.fuse(t.v_body.select("clip_id", "frame_idx"), face=_twice(t.v_face, "blink"))
-
-
-_DEPTH = """SELECT d.clip_id, d.frame_idx, d.det_idx, d.is_right, d.kp_count, d.kp_conf, d.cam_x, d.cam_y, CASE WHEN d.det_idx % 29 = 0 THEN CAST(0 AS DOUBLE) ELSE d.cam_z END AS cam_z, b.transl_z AS wrist_z,
-  d.frame_idx >= 500 AS beyond FROM v_detections d JOIN v_body b ON d.clip_id = b.clip_id AND d.frame_idx = b.frame_idx"""
-_REASON = "CASE WHEN beyond THEN 'out of range' WHEN wrist_z <= 0 THEN 'wrist_z' WHEN abs(cam_z) <= CAST(0.000001 AS DOUBLE) THEN 'cam_z' ELSE 'ok' END"
-
-
-def _depth(t):
-    from framelake.operators.depth import depth_correct
-
-    det = t.v_detections.withColumn("cam_z", F.when(F.col("det_idx") % 29 == 0, 0.0).otherwise(F.col("cam_z")))
-    joints = t.v_body.select("clip_id", "frame_idx", F.col("transl_z").alias("wrist_z"))
-    return depth_correct(det, joints, _body_clips(t))
-
-
-@query("join_depth_correct", f"SELECT clip_id, frame_idx, det_idx, round(cam_x * wrist_z / cam_z, 5) AS x, round(cam_y * wrist_z / cam_z, 5) AS y, round(wrist_z, 5) AS z FROM ({_DEPTH}) q WHERE {_REASON} = 'ok' AND abs(cam_z) > CAST(0.01 AS DOUBLE)")
-def _(t):
-    return _depth(t).where("reject_reason = 'ok' AND abs(cam_z) > 0.01").select("clip_id", "frame_idx", "det_idx", *(F.round(c, 5).alias(c) for c in "xyz"))
-
-
-@query("agg_reject_reasons", f"SELECT clip_id, count(*) FILTER (WHERE r <> 'out of range') AS total, count(*) FILTER (WHERE r = 'ok') AS ok, count(*) FILTER (WHERE r = 'wrist_z') AS wrist_z, count(*) FILTER (WHERE r = 'cam_z') AS cam_z, count(*) FILTER (WHERE r = 'out of range') AS beyond, count(DISTINCT CASE WHEN r = 'ok' THEN frame_idx END) AS frames FROM (SELECT *, {_REASON} AS r FROM ({_DEPTH}) q) p GROUP BY clip_id")
-def _(t):
-    r = F.col("reject_reason")
-    return _depth(t).groupBy("clip_id").agg(
-        F.count_if(r != "out of range").alias("total"), F.count_if(r == "ok").alias("ok"), F.count_if(r == "wrist_z").alias("wrist_z"), F.count_if(r == "cam_z").alias("cam_z"),
-        F.count_if(r == "out of range").alias("beyond"), F.countDistinct(F.when(r == "ok", F.col("frame_idx"))).alias("frames"),
-    )
-
-
 @query("join_intrinsics_match", "SELECT clip_id, focal, abs(focal - CAST(1000 AS DOUBLE)) < CAST(1 AS DOUBLE) AS matches FROM (SELECT clip_id, coalesce(focal, CAST(5000 AS DOUBLE) / CAST(256 AS DOUBLE) * CAST(640 AS DOUBLE)) AS focal FROM v_detections WHERE det_idx = 0) q")
 def _(t):
     from framelake.operators.depth import intrinsics_match
@@ -197,19 +131,6 @@ def _(t):
     return intrinsics_match(t.v_detections, clips).select("clip_id", "focal", "matches")
 
 
-@query(
-    "join_golden_compare",
-    """SELECT a.clip_id, round(max(CASE WHEN NOT a.stale THEN abs(a.jaw - (a.jaw + CASE WHEN a.timestep_id % 5 = 0 THEN CAST(0.05 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END)) ELSE CAST(0 AS DOUBLE) END), 6) AS jaw,
-    round(avg(CASE WHEN a.stale = (a.timestep_id % 7 = 0) THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END), 6) AS agreement FROM v_face a GROUP BY a.clip_id""",
-)
-def _(t):
-    from framelake.operators.compare import compare_runs
-
-    golden = t.v_face.select("clip_id", F.col("timestep_id").alias("frame_idx"), "jaw", (~F.col("stale")).alias("face_valid"))
-    new = golden.select("clip_id", "frame_idx", (F.col("jaw") + F.when(F.col("frame_idx") % 5 == 0, 0.05).otherwise(0.0)).alias("jaw"), (F.col("frame_idx") % 7 != 0).alias("face_valid"))
-    return compare_runs(new, golden, {"jaw": "face_valid"}).select("clip_id", F.round("jaw", 6).alias("jaw"), F.round("face_valid_agreement", 6).alias("agreement"))
-
-
 _CARRY = """SELECT clip_id, frame_idx, CASE WHEN age <= 5 THEN age END AS age, CASE WHEN age <= 5 THEN last_x END AS carried, CASE WHEN age <= 5 THEN age > 0 END AS stale FROM (
   SELECT clip_id, frame_idx, frame_idx - last_value(CASE WHEN detected THEN frame_idx END IGNORE NULLS) OVER w AS age, last_value(CASE WHEN detected THEN x END IGNORE NULLS) OVER w AS last_x
   FROM v_frames WINDOW w AS (PARTITION BY clip_id ORDER BY frame_idx ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) q"""
@@ -254,13 +175,6 @@ def _(t):
     return eye_pose(faces, points).select(*k, F.round("rx", 7).alias("rx"), F.round("ry", 7).alias("ry"))
 
 
-@query("join_dyad_pairs", "SELECT a.clip_id // 2 AS recording, a.clip_id AS first_clip, b.clip_id AS second_clip, a.num_frames = b.num_frames AS same_length FROM v_clips a JOIN v_clips b ON a.clip_id // 2 = b.clip_id // 2 AND b.clip_id > a.clip_id")
-def _(t):
-    from framelake.operators.compare import dyads
-
-    return dyads(t.v_clips.withColumn("recording", F.expr("clip_id div 2")))
-
-
 @query("join_nearest_torso", "SELECT clip_id, frame_idx, point_id, surface_id FROM (SELECT p.clip_id, p.frame_idx, p.det_idx AS point_id, s.track_id AS surface_id, row_number() OVER (PARTITION BY p.clip_id, p.frame_idx, p.det_idx ORDER BY (s.x1 - p.cam_x) * (s.x1 - p.cam_x) + (s.y1 - p.cam_y) * (s.y1 - p.cam_y) + (s.x2 - p.cam_z) * (s.x2 - p.cam_z), s.track_id) AS rn FROM v_detections p JOIN v_tracks s ON p.clip_id = s.clip_id AND p.frame_idx = s.frame_idx) q WHERE rn = 1")
 def _(t):
     return _near(t).select("clip_id", "frame_idx", "point_id", "surface_id")
@@ -293,27 +207,26 @@ def _(t):
     return penetration(_near(t)).select("clip_id", "frame_idx", F.round("penetration", 7).alias("penetration"))
 
 
-@query("join_nearest_joint", "SELECT vertex_id, joint_id FROM (SELECT p.p_partkey AS vertex_id, n.n_nationkey AS joint_id, row_number() OVER (PARTITION BY p.p_partkey ORDER BY (p.p_size - n.n_nationkey * 2) * (p.p_size - n.n_nationkey * 2) + (p.p_partkey % 50 - n.n_regionkey * 10) * (p.p_partkey % 50 - n.n_regionkey * 10), n.n_nationkey) AS rn FROM part p CROSS JOIN nation n) q WHERE rn = 1")
-def _(t):
-    from framelake.operators.mesh import label_vertices
-
-    d = lambda c: F.col(c).cast("double")
-    verts = t.part.select(F.col("p_partkey").alias("vertex_id"), d("p_size").alias("x"), (d("p_partkey") % 50).alias("y"), F.lit(0.0).alias("z"))
-    joints = t.nation.select(F.col("n_nationkey").alias("joint_id"), (d("n_nationkey") * 2).alias("jx"), (d("n_regionkey") * 10).alias("jy"), F.lit(0.0).alias("jz"))
-    return label_vertices(verts, joints).select("vertex_id", "joint_id")
+_FAR = "pow(p.p_size - joint_id * CAST(0.9 AS DOUBLE), 2) + pow(p.p_partkey % 50 - n.n_regionkey * 10 - r.r_regionkey, 2)"
 
 
-@query("join_anchor_targets", f"SELECT clip_id, frame_idx, is_right, round(cam_x, 6) AS x, det_idx FROM ({_LAST}) l WHERE frame_idx % 35 < 3")
+@query(
+    "join_nearest_joint",
+    f"""WITH j AS (SELECT p.p_partkey AS vertex_id, n.n_nationkey * 5 + r.r_regionkey AS joint_id, {_FAR.replace('joint_id', '(n.n_nationkey * 5 + r.r_regionkey)')} AS d FROM part p CROSS JOIN nation n CROSS JOIN region r WHERE n.n_nationkey < 11),
+    l AS (SELECT vertex_id, joint_id FROM (SELECT *, row_number() OVER (PARTITION BY vertex_id ORDER BY d, joint_id) AS rn FROM j) q WHERE rn = 1),
+    p AS (SELECT *, CASE WHEN joint_id IN (18, 19, 20, 21) OR joint_id >= 25 THEN 'arm' WHEN joint_id < 10 OR joint_id IN (12, 13, 14, 15) THEN 'torso' END AS part FROM l),
+    k AS (SELECT *, row_number() OVER (PARTITION BY part ORDER BY vertex_id) - 1 AS place FROM p)
+    SELECT vertex_id, joint_id, part, coalesce(CASE part WHEN 'arm' THEN place % 3 = 0 WHEN 'torso' THEN place % 5 = 0 END, false) AS collides FROM k""",
+)
 def _(t):
-    anchors = t.nation.where("n_nationkey < 3").select(F.col("n_nationkey").cast("long").alias("anchor"))
-    last = O.last_detection(O.accepted_detections(t.v_detections)).withColumn("anchor", F.col("frame_idx") % 35)
-    return last.join(F.broadcast(anchors), "anchor").select("clip_id", "frame_idx", "is_right", F.round("cam_x", 6).alias("x"), "det_idx")
+    from framelake.operators.mesh import body_parts, label_vertices
 
-
-@query("upsert_solved_frames", "SELECT clip_id, frame_idx, CASE WHEN (clip_id + frame_idx) % 4 = 0 THEN box_size ELSE transl_z END AS transl_z FROM v_body")
-def _(t):
-    solved = t.v_body.where("(clip_id + frame_idx) % 4 = 0").select("clip_id", "frame_idx", F.col("box_size").alias("transl_z"))
-    return O.keep_solved(t.v_body.select("clip_id", "frame_idx", "transl_z"), solved, "transl_z")
+    # 55 joints: five of each of eleven nations.
+    d = lambda c: F.col(c).cast("double")
+    verts = t.part.select(F.col("p_partkey").alias("vertex_id"), d("p_size").alias("x"), (d("p_partkey") % 50).alias("y"), F.lit(0.0).alias("z"))
+    joints = t.nation.where("n_nationkey < 11").join(F.broadcast(t.region.select("r_regionkey"))).withColumn("joint_id", F.col("n_nationkey") * 5 + F.col("r_regionkey"))
+    joints = joints.select("joint_id", (d("joint_id") * 0.9).alias("jx"), (d("n_regionkey") * 10 + d("r_regionkey")).alias("jy"), F.lit(0.0).alias("jz"))
+    return body_parts(label_vertices(verts, joints)).select("vertex_id", "joint_id", "part", "collides")
 
 
 @query("join_vertex_map", "SELECT d.clip_id, d.frame_idx, d.det_idx, n.n_regionkey AS body_vertex FROM v_detections d JOIN nation n ON d.det_idx % 25 = n.n_nationkey")
@@ -400,20 +313,30 @@ def _velocity(t):
     return M.velocity(t.v_poses, F.slice("pose", 1, 63).cast("array<double>"), F.col("left_valid"))
 
 
-_SCORES = """WITH v AS (SELECT clip_id, frame_idx, abs(x - coalesce(lag(x) OVER (PARTITION BY clip_id ORDER BY frame_idx), x)) AS v FROM v_frames),
-  s AS (SELECT clip_id, frame_idx - 9 AS start, avg(v) OVER (PARTITION BY clip_id ORDER BY frame_idx ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS score FROM v),
-  k AS (SELECT *, round(score, 9) AS r FROM s WHERE start >= 0)"""
-_BEST = _SCORES + " SELECT clip_id, start, CAST(10 AS BIGINT) AS n, round(score, 8) AS score, round(m, 8) AS mean_score FROM (SELECT *, avg(score) OVER (PARTITION BY clip_id) AS m, row_number() OVER (PARTITION BY clip_id ORDER BY r DESC, start) AS rn FROM k) q WHERE rn = 1"
+# A window of 0.3 seconds, in frames of the clip's own rate.
+_RATE = "CASE WHEN fps > 0 THEN fps ELSE CAST(29.97 AS DOUBLE) END"
+_SCORES = f"""WITH v AS (SELECT clip_id, frame_idx, abs(x - coalesce(lag(x) OVER (PARTITION BY clip_id ORDER BY frame_idx), x)) AS v FROM v_frames),
+  l AS (SELECT v.clip_id, list(v.v ORDER BY v.frame_idx) AS vs, max(CAST(round_even(CAST(0.3 AS DOUBLE) * {_RATE}, 0) AS BIGINT)) AS n FROM v JOIN v_clips c ON c.clip_id = v.clip_id GROUP BY v.clip_id),
+  k AS (SELECT clip_id, n, start, list_sum(vs[start + 1 : start + n]) / n AS score FROM (SELECT *, unnest(range(len(vs) - n + 1)) AS start FROM l) q)"""
 
 
-def _best(t):
+def _window_scores(t):
     v = M.velocity(t.v_frames.withColumn("a", F.array("x")), F.col("a"), F.lit(True))
-    best = M.best_window(M.window_scores(v, F.lit(10).cast("long")))
-    return best.select("clip_id", "start", "n", F.round("score", 8).alias("score"), F.round("mean_score", 8).alias("mean_score"))
+    fps = F.when(F.col("fps") > 0, F.col("fps")).otherwise(K.FALLBACK_FPS)
+    length = t.v_clips.select("clip_id", F.rint(F.lit(0.3) * fps).cast("long").alias("n_window"))
+    return M.window_scores(v.join(length, "clip_id"), F.col("n_window"))
+
+
+@query("win_motion_score", _SCORES + " SELECT clip_id, start, n, round(score, 6) AS score FROM k")
+def _(t):
+    return _window_scores(t).select("clip_id", "start", "n", F.round("score", 6).alias("score"))
+
+
+@query("argmax_window", _SCORES + " SELECT clip_id, start, n, round(score, 6) AS score, round(m, 6) AS mean_score FROM (SELECT *, avg(score) OVER (PARTITION BY clip_id) AS m, row_number() OVER (PARTITION BY clip_id ORDER BY round(score, 9) DESC, start) AS rn FROM k) q WHERE rn = 1")
+def _(t):
+    return M.best_window(_window_scores(t)).select("clip_id", "start", "n", F.round("score", 6).alias("score"), F.round("mean_score", 6).alias("mean_score"))
 
 
-query("win_motion_score", _BEST)(_best)
-query("argmax_window", _BEST)(_best)
 query("win_last_wins", f"SELECT clip_id, frame_idx, is_right, det_idx FROM ({_LAST}) l")(lambda t: O.last_detection(O.accepted_detections(t.v_detections)).select("clip_id", "frame_idx", "is_right", "det_idx"))
 
 

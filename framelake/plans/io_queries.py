@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import re
 import tempfile
 import uuid
 
@@ -22,7 +23,7 @@ def folder(spark, name: str) -> str:
     """A new folder in spark.checkpoint.dir, which all executors share; where that is unset, in a temporary one of a local session."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         if not _own:
             _own.append("file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
@@ -92,6 +93,13 @@ def _(t):
     return out.where("run_id IS NOT NULL").select("run_id", F.col("start").cast("timestamp_ntz").alias("start"), F.round("peak", 4).alias("peak"), F.round("util", 4).alias("util"), "n")
 
 
+@query("stream_stage_metrics_sliding", """SELECT run_id, start, round(max(used), 4) AS peak, round(avg(util), 4) AS util, count(*) AS n FROM (SELECT *, unnest([time_bucket(INTERVAL 30 MINUTE, ts), time_bucket(INTERVAL 30 MINUTE, ts) - INTERVAL 30 MINUTE]) AS start FROM v_samples) s GROUP BY 1, 2""")
+def _(t):
+    s = _with_end(t.v_samples.select("run_id", F.col("ts").cast("timestamp").alias("ts"), "used", "util"))
+    out = _finished(jobs.stage_metrics(_streamed_in_order(s, "samples", "ts", (F.expr("TIMESTAMP '2024-01-10 00:00:00'"),)).drop("_o"), slide="30 minutes"), "metrics")
+    return out.where("run_id IS NOT NULL").select("run_id", F.col("start").cast("timestamp_ntz").alias("start"), F.round("peak", 4).alias("peak"), F.round("util", 4).alias("util"), "n")
+
+
 @query("stream_detection_sessions", """SELECT clip_id, min(ts) AS start, count(*) AS n FROM (SELECT *, sum(CASE WHEN p IS NULL OR ts >= p + INTERVAL 6 HOUR THEN 1 ELSE 0 END) OVER (PARTITION BY clip_id ORDER BY ts) AS s FROM
   (SELECT clip_id, ts, lag(ts) OVER (PARTITION BY clip_id ORDER BY ts) AS p FROM v_frames WHERE detected) q) r GROUP BY clip_id, s""")
 def _(t):
@@ -114,13 +122,13 @@ _CARRY = """SELECT clip_id, frame_idx, CASE WHEN age <= 5 THEN age END AS age, C
 @query("stream_carry_forward", _CARRY)
 def _(t):
     d = t.v_frames.select("clip_id", "frame_idx", F.when(F.col("detected"), F.col("x")).alias("x"))
-    return _finished(jobs.carry_forward(_streamed_in_order(d, "frames", "frame_idx", (20, 40))), "carried")
+    return _finished(jobs.carry_forward(_streamed_in_order(d, "frames", "frame_idx", (20, 40))), "carried").where("NOT late").drop("late")
 
 
 @query("stream_one_euro")
 def _(t):
     d = t.v_frames.select("clip_id", "frame_idx", "x")
-    return _finished(jobs.one_euro(_streamed_in_order(d, "frames", "frame_idx", (20, 40))), "smooth")
+    return _finished(jobs.one_euro(_streamed_in_order(d, "frames", "frame_idx", (20, 40))), "smooth").where("NOT late").drop("late")
 
 
 def _archived(t, name: str) -> str:

@@ -29,14 +29,14 @@ def _rate():
     return F.when(F.col("fps") > 0, F.col("fps")).otherwise(K.FALLBACK_FPS)
 
 
-@query("agg_corpus_totals", f"SELECT count(*) AS clips, sum(num_frames)::BIGINT AS frames, round(sum(num_frames / ({_FPS}) / 3600), 6) AS hours FROM v_clips")
+@query("agg_corpus_totals", f"SELECT count(*) AS clips, sum(num_frames)::BIGINT AS frames, round(sum(num_frames / ({_FPS}) / 3600), 6) AS hours, round(sum(mb) / 1000, 6) AS gb, count(*) FILTER (WHERE excerpt) AS excerpts FROM v_clips")
 def _(t):
-    return t.v_clips.agg(F.count("*").alias("clips"), F.sum("num_frames").alias("frames"), F.round(F.sum(F.col("num_frames") / _rate() / 3600), 6).alias("hours"))
+    return t.v_clips.agg(F.count("*").alias("clips"), F.sum("num_frames").alias("frames"), F.round(F.sum(F.col("num_frames") / _rate() / 3600), 6).alias("hours"), F.round(F.sum("mb") / 1000, 6).alias("gb"), F.count_if("excerpt").alias("excerpts"))
 
 
-@query("agg_by_condition", f"SELECT condition, count(*) AS clips, min(num_frames) AS low, max(num_frames) AS high, round(avg(num_frames / ({_FPS}) / 60), 6) AS minutes FROM v_clips GROUP BY condition")
+@query("agg_by_condition", f"SELECT condition, count(*) AS clips, min(num_frames) AS low, max(num_frames) AS high, round(avg(num_frames / ({_FPS}) / 60), 6) AS minutes, round(avg(mb), 6) AS mb FROM v_clips GROUP BY condition")
 def _(t):
-    return t.v_clips.groupBy("condition").agg(F.count("*").alias("clips"), F.min("num_frames").alias("low"), F.max("num_frames").alias("high"), F.round(F.avg(F.col("num_frames") / _rate() / 60), 6).alias("minutes"))
+    return t.v_clips.groupBy("condition").agg(F.count("*").alias("clips"), F.min("num_frames").alias("low"), F.max("num_frames").alias("high"), F.round(F.avg(F.col("num_frames") / _rate() / 60), 6).alias("minutes"), F.round(F.avg("mb"), 6).alias("mb"))
 
 
 @query("agg_session_condition", "SELECT session, condition, count(*) AS clips, count(DISTINCT num_frames) = 1 AS same_length, arg_min(num_frames, clip_id) AS first_length FROM v_clips GROUP BY session, condition")
@@ -105,17 +105,11 @@ def _(t):
     return c.select("clip_id", F.round("c", 6).alias("ik_coverage"), (F.col("c") < K.IK_FAIL).alias("failed"))
 
 
-@query("agg_loss_stats", "SELECT clip_id, round(quantile_cont(x, 0.5), 5) AS median, round(quantile_cont(x, 0.95), 5) AS p95, max(x) AS largest FROM v_frames WHERE x > 0 GROUP BY clip_id")
+@query("agg_loss_stats", "SELECT clip_id, round(quantile_cont(l, 0.5) FILTER (WHERE l > 0), 5) AS median, round(quantile_cont(l, 0.95) FILTER (WHERE l > 0), 5) AS p95, max(l) FILTER (WHERE l > 0) AS largest, round(count(*) FILTER (WHERE l > 0) / count(*)::DOUBLE, 6) AS covered, coalesce(count(*) FILTER (WHERE l > 0) / count(*)::DOUBLE >= CAST(0.2 AS DOUBLE) AND quantile_cont(l, 0.5) FILTER (WHERE l > 0) < CAST(0.05 AS DOUBLE), false) AS solved FROM (SELECT clip_id, CASE WHEN detected OR clip_id % 3 = 0 THEN x / (1000 + 4000 * (clip_id % 2)) ELSE 0 END AS l FROM v_frames) q GROUP BY clip_id")
 def _(t):
-    p = F.percentile("x", F.array(F.lit(0.5), F.lit(0.95)))
-    return t.v_frames.where("x > 0").groupBy("clip_id").agg(p.alias("p"), F.max("x").alias("largest")).select("clip_id", F.round(F.col("p")[0], 5).alias("median"), F.round(F.col("p")[1], 5).alias("p95"), "largest")
-
-
-@query("agg_ring_loss", "SELECT b.clip_id, b.frame_idx, round(coalesce(avg((d.cam_x - b.transl_z) * (d.cam_x - b.transl_z) + (d.cam_y - b.box_size) * (d.cam_y - b.box_size)) FILTER (WHERE NOT d.is_right), 0) + coalesce(avg((d.cam_x - b.transl_z) * (d.cam_x - b.transl_z) + (d.cam_y - b.box_size) * (d.cam_y - b.box_size)) FILTER (WHERE d.is_right), 0), 4) AS loss FROM v_body b LEFT JOIN v_detections d ON b.clip_id = d.clip_id AND b.frame_idx = d.frame_idx GROUP BY b.clip_id, b.frame_idx")
-def _(t):
-    d = t.v_detections.join(t.v_body, ["clip_id", "frame_idx"]).withColumn("e", F.expr("pow(cam_x - transl_z, 2) + pow(cam_y - box_size, 2)"))
-    sides = d.groupBy("clip_id", "frame_idx").agg(*(F.coalesce(F.avg(F.when(F.col("is_right") == r, F.col("e"))), F.lit(0.0)).alias(n) for n, r in (("l", False), ("r", True))))
-    return t.v_body.select("clip_id", "frame_idx").join(sides, ["clip_id", "frame_idx"], "left").select("clip_id", "frame_idx", F.round(F.coalesce(F.col("l") + F.col("r"), F.lit(0.0)), 4).alias("loss"))
+    loss = F.when(F.col("detected") | (F.col("clip_id") % 3 == 0), F.col("x") / (1000 + 4000 * (F.col("clip_id") % 2))).otherwise(0.0)
+    s = Q.loss_stats(t.v_frames.withColumn("loss", loss), "loss")
+    return s.select("clip_id", F.round("median", 5).alias("median"), F.round("p95", 5).alias("p95"), "largest", F.round("covered", 6).alias("covered"), "solved")
 
 
 _STAGED = "(SELECT s.run_id, s.event_id, s.used, s.util, g.stage, g.start_ts, g.end_ts FROM v_samples s JOIN v_stages g ON s.run_id = g.run_id AND s.ts >= g.start_ts AND s.ts < g.end_ts) j"
@@ -126,13 +120,10 @@ def _(t):
     return A.attribute_samples(t.v_samples, t.v_stages.where("end_ts IS NOT NULL")).where("stage IS NOT NULL").select("run_id", "event_id", "stage")
 
 
-@query("agg_stage_bench", f"SELECT run_id, stage, round(max(used), 4) AS peak, round(avg(util), 4) AS util, epoch(max(end_ts) - max(start_ts))::BIGINT AS seconds, avg(util) < 40 AND floor(epoch(max(end_ts) - max(start_ts))) >= 5 AS underused FROM {_STAGED} GROUP BY run_id, stage")
+@query("agg_stage_bench", f"SELECT run_id, stage, round(greatest(max(used) - (SELECT arg_min(b.used, struct_pack(t := b.ts, e := b.event_id)) FROM v_samples b WHERE b.run_id = j.run_id), 0), 4) AS peak, round(avg(util), 4) AS util, epoch(max(end_ts) - max(start_ts))::BIGINT AS seconds, avg(util) < 40 AND floor(epoch(max(end_ts) - max(start_ts))) >= 5 AS underused FROM {_STAGED} WHERE stage <> 'startup' GROUP BY run_id, stage")
 def _(t):
-    s = A.attribute_samples(t.v_samples, t.v_stages.where("end_ts IS NOT NULL")).where("stage IS NOT NULL").groupBy("run_id", "stage").agg(F.round(F.max("used"), 4).alias("peak"), F.avg("util").alias("u"))
-    took = F.floor(F.unix_micros(F.col("end_ts").cast("timestamp")) / 1e6 - F.unix_micros(F.col("start_ts").cast("timestamp")) / 1e6)
-    exact = (F.unix_micros(F.col("end_ts").cast("timestamp")) - F.unix_micros(F.col("start_ts").cast("timestamp"))) / 1e6
-    s = s.join(t.v_stages.select("run_id", "stage", F.round(exact).cast("long").alias("seconds"), took.alias("whole")), ["run_id", "stage"])
-    return s.select("run_id", "stage", "peak", F.round("u", 4).alias("util"), "seconds", ((F.col("u") < K.UTIL_FLOOR) & (F.col("whole") >= K.UTIL_SECONDS)).alias("underused"))
+    s = A.stage_bench(t.v_samples, t.v_stages.where("end_ts IS NOT NULL"), ("ts", "event_id"))
+    return s.select("run_id", "stage", F.round("peak", 4).alias("peak"), F.round("util", 4).alias("util"), F.round("seconds").cast("long").alias("seconds"), "underused")
 
 
 @query("agg_nonfinite_guard", "SELECT clip_id, count(*) AS n, min(frame_idx) AS first_frame FROM v_body WHERE vec % 37 = 0 GROUP BY clip_id")
@@ -157,9 +148,13 @@ def _(t):
     return t.v_face.groupBy("clip_id").agg(F.round(F.min(good("pitch")), 6).alias("low"), F.round(F.max(good("pitch")), 6).alias("high"), F.round(F.max(good("blink")), 6).alias("blink"), F.count_if(~F.col("stale")).alias("valid"), F.count("*").alias("total"))
 
 
+_CROP_POINTS = """(SELECT clip_id, frame_idx, CAST((clip_id * 3 + frame_idx * 5 + i * 7) % 41 - 20 AS DOUBLE) / CAST(10 AS DOUBLE) AS x, CAST((clip_id + frame_idx * 2 + i * 11) % 37 - 18 AS DOUBLE) / CAST(10 AS DOUBLE) AS y, transl_z + CAST(i AS DOUBLE) / CAST(100 AS DOUBLE) AS z
+  FROM (SELECT b.clip_id, b.frame_idx, b.transl_z, unnest(range(1, 131)) AS i FROM v_body b JOIN v_body_clips c ON c.clip_id = b.clip_id WHERE b.frame_idx < c.num_frames AND b.frame_idx % greatest(1, c.num_frames // 40) = 0) q)"""
+
+
 @query(
     "agg_subject_crop",
-    """WITH f AS (SELECT clip_id, frame_idx, min(cam_x / cam_z * 100 + 320) AS lx, min(cam_y / cam_z * 100 + 240) AS ly, max(cam_x / cam_z * 100 + 320) AS hx, max(cam_y / cam_z * 100 + 240) AS hy FROM v_detections WHERE cam_z > CAST(0.001 AS DOUBLE) AND frame_idx % 15 = 0 GROUP BY clip_id, frame_idx HAVING count(*) >= 2),
+    f"""WITH f AS (SELECT clip_id, frame_idx, min(x / z * 100 + 320) AS lx, min(y / z * 100 + 240) AS ly, max(x / z * 100 + 320) AS hx, max(y / z * 100 + 240) AS hy FROM {_CROP_POINTS} p WHERE z > CAST(0.001 AS DOUBLE) GROUP BY clip_id, frame_idx HAVING count(*) >= 100),
     b AS (SELECT clip_id, quantile_cont(lx, 0.05) AS lx, quantile_cont(ly, 0.05) AS ly, quantile_cont(hx, 0.95) AS hx, quantile_cont(hy, 0.95) AS hy FROM f GROUP BY clip_id),
     p AS (SELECT *, CAST(0.15 AS DOUBLE) * greatest(hx - lx, hy - ly) AS pad FROM b),
     c AS (SELECT clip_id, trunc(greatest(0, lx - pad))::INT AS x0, trunc(greatest(0, ly - pad))::INT AS y0, trunc(least(640, hx + pad))::INT AS x1, trunc(least(480, hy + pad))::INT AS y1 FROM p),
@@ -167,10 +162,13 @@ def _(t):
     SELECT clip_id, x0, y0, x1 - (x1 - x0) % 2 AS x1, y1 - (y1 - y0) % 2 AS y1 FROM d""",
 )
 def _(t):
-    from framelake.operators.crop import subject_crop
+    from framelake.operators.crop import sampled, subject_crop
 
-    pts = t.v_detections.where("frame_idx % 15 = 0").select("clip_id", "frame_idx", F.col("cam_x").alias("x"), F.col("cam_y").alias("y"), F.col("cam_z").alias("z"))
-    return subject_crop(pts, fx=100.0, fy=100.0, cx=320.0, cy=240.0, width=640, height=480, least=2)
+    few = sampled(t.v_body.select("clip_id", "frame_idx", "transl_z"), t.v_body_clips)
+    c, f, i = F.col("clip_id"), F.col("frame_idx"), F.col("i")
+    each = few.withColumn("i", F.explode(F.sequence(F.lit(1), F.lit(130))))
+    pts = each.select("clip_id", "frame_idx", (((c * 3 + f * 5 + i * 7) % 41 - 20) / 10).alias("x"), (((c + f * 2 + i * 11) % 37 - 18) / 10).alias("y"), (F.col("transl_z") + i / 100).alias("z"))
+    return subject_crop(pts, fx=100.0, fy=100.0, cx=320.0, cy=240.0, width=640, height=480)
 
 
 @query("agg_landmark_box", "SELECT vec_id, round(min(x) - CAST(0.15 AS DOUBLE) * (max(x) - min(x)), 5) AS x1, round(max(y) + CAST(0.15 AS DOUBLE) * (max(y) - min(y)), 5) AS y2 FROM (SELECT vec_id, unnest(list_transform(range(1, 33), lambda i: embedding[2 * i - 1]::DOUBLE)) AS x, unnest(list_transform(range(1, 33), lambda i: embedding[2 * i]::DOUBLE)) AS y FROM embeddings) q GROUP BY vec_id")
@@ -185,30 +183,16 @@ def _points(column: str):
     return F.transform(F.sequence(F.lit(0), F.lit(31)), lambda i: F.struct(F.get(F.col(column), 2 * i).cast("double").alias("x"), F.get(F.col(column), 2 * i + 1).cast("double").alias("y")))
 
 
-@query("agg_scene_normalise", "SELECT clip_id, round(min(transl_z), 6) AS floor, round(sum(transl_z - m), 4) AS lifted FROM (SELECT clip_id, transl_z, min(transl_z) OVER (PARTITION BY clip_id) AS m FROM v_body) q GROUP BY clip_id")
-def _(t):
-    floor = t.v_body.groupBy("clip_id").agg(F.min("transl_z").alias("m"))
-    return t.v_body.join(floor, "clip_id").groupBy("clip_id").agg(F.round(F.min("transl_z"), 6).alias("floor"), F.round(F.sum(F.col("transl_z") - F.col("m")), 4).alias("lifted"))
-
-
-@query("agg_joint_regress", "SELECT n.n_nationkey AS joint_id, p_size AS frame_idx, round(sum(p.p_retailprice * (n.n_nationkey + 1) / (p.p_partkey + 1)), 7) AS x FROM part p JOIN nation n ON p.p_partkey % 25 = n.n_nationkey GROUP BY 1, 2")
-def _(t):
-    weights = t.nation.select(F.col("n_nationkey").alias("joint_id"), F.col("n_nationkey").cast("long").alias("k"))
-    verts = t.part.select(F.col("p_size").alias("frame_idx"), (F.col("p_partkey") % 25).alias("k"), (F.col("p_retailprice") / (F.col("p_partkey") + 1)).alias("v"))
-    return verts.join(F.broadcast(weights), "k").groupBy("joint_id", "frame_idx").agg(F.round(F.sum(F.col("v") * (F.col("joint_id") + 1)), 7).alias("x"))
-
-
-@query("agg_rigid_fit", "SELECT DISTINCT CAST(label AS BIGINT) AS clip_id, 1.0::DOUBLE AS determinant, 0.0::DOUBLE AS residual FROM embeddings")
+@query("agg_rigid_fit", "SELECT CAST(label AS BIGINT) AS clip_id, round(cos(label * CAST(0.7 AS DOUBLE)), 4) AS r0, round(-sin(label * CAST(0.7 AS DOUBLE)), 4) AS r1, round(sin(label * CAST(0.7 AS DOUBLE)), 4) AS r3, round(avg(CAST(1 AS DOUBLE)), 4) AS r8, round(label / CAST(4 AS DOUBLE), 4) AS t0, round(-label / CAST(8 AS DOUBLE), 4) AS t1, CAST(3 AS DOUBLE) AS t2 FROM embeddings GROUP BY label")
 def _(t):
     from framelake.operators.mesh import rigid_fit
 
     e = lambda i: F.col("embedding")[i].cast("double")
-    # A quarter turn about z and a shift: the fit must find it again.
-    pairs = t.embeddings.select(F.col("label").cast("long").alias("clip_id"), e(0).alias("ax"), e(1).alias("ay"), e(2).alias("az"), (1 - e(1)).alias("bx"), (e(0) + 2).alias("by"), (e(2) - 3).alias("bz"))
-    r = lambda i: F.col("r")[i]
-    det = r(0) * (r(4) * r(8) - r(5) * r(7)) - r(1) * (r(3) * r(8) - r(5) * r(6)) + r(2) * (r(3) * r(7) - r(4) * r(6))
-    off = F.abs(r(0)) + F.abs(r(1) + 1) + F.abs(r(3) - 1) + F.abs(r(8) - 1) + F.abs(F.col("t")[0] - 1) + F.abs(F.col("t")[1] - 2) + F.abs(F.col("t")[2] + 3)
-    return rigid_fit(pairs).select("clip_id", F.round(det, 6).alias("determinant"), F.round(off, 5).alias("residual"))
+    # A turn about z and a shift of each clip's own: the fit must find them again.
+    turn, k = F.col("label") * 0.7, F.col("label").cast("double")
+    pairs = t.embeddings.select(F.col("label").cast("long").alias("clip_id"), e(0).alias("ax"), e(1).alias("ay"), e(2).alias("az"), (e(0) * F.cos(turn) - e(1) * F.sin(turn) + k / 4).alias("bx"), (e(0) * F.sin(turn) + e(1) * F.cos(turn) - k / 8).alias("by"), (e(2) + 3).alias("bz"))
+    whole = lambda c: F.round(c, 4) + 0.0
+    return rigid_fit(pairs).select("clip_id", *(whole(F.col("r")[i]).alias(f"r{i}") for i in (0, 1, 3, 8)), *(whole(F.col("t")[i]).alias(f"t{i}") for i in range(3)))
 
 
 @query("agg_pose_regularizer", "SELECT clip_id, round(0.001::DOUBLE * sum(list_sum(list_transform(range(1, 13), lambda i: (pose[i]::DOUBLE - pose[i + 20]::DOUBLE) * (pose[i]::DOUBLE - pose[i + 20]::DOUBLE)))) + 0.00002::DOUBLE * sum(list_sum(list_transform(range(13, 19), lambda i: (pose[i]::DOUBLE - pose[i + 20]::DOUBLE) * (pose[i]::DOUBLE - pose[i + 20]::DOUBLE)))), 7) AS penalty FROM v_poses GROUP BY clip_id")
@@ -247,27 +231,33 @@ query("anti_missing", f"SELECT {_K} FROM v_sources s WHERE NOT EXISTS (SELECT 1
 @query("join_audit_in_out", """SELECT coalesce(s.session, o.session) AS session, coalesce(s.condition, o.condition) AS condition, coalesce(s.name, o.name) AS name,
   CASE WHEN s.name IS NULL THEN 'orphan' WHEN o.name IS NOT NULL THEN 'ok' WHEN s.name % 3 = 0 THEN 'unsynced' ELSE 'NOT-DONE' END AS status FROM v_sources s FULL OUTER JOIN v_outputs o ON s.name = o.name AND s.session = o.session AND s.condition = o.condition""")
 def _(t):
-    return A.audit(t.v_sources, t.v_outputs, t.orders.select(F.col("o_orderkey").alias("name")).where("name % 3 = 0"))
+    return A.audit(t.v_sources, t.v_outputs, t.v_sources.select("name").where("name % 3 = 0"))
+
+
+def _renamed(videos, every: int):
+    """videos, each so many of them under a name that no clip has."""
+    k = F.col("clip_id")
+    return videos.withColumn("clip_id", k + F.when(k % every == 0, 100_000_000).otherwise(0))
 
 
-@query("join_archive_to_video", "SELECT a.name, v.duration FROM v_outputs a LEFT JOIN v_videos v ON a.name = v.clip_id AND v.clip_id % 5 <> 0")
+@query("join_archive_to_video", "SELECT a.name, v.duration FROM v_outputs a LEFT JOIN v_videos v ON a.name = v.clip_id + CASE WHEN v.clip_id % 5 = 0 THEN 100000000 ELSE 0 END")
 def _(t):
     # Of several videos of one stem the last path counts.
-    videos = t.v_videos.where("clip_id % 5 != 0").groupBy(F.col("clip_id").alias("name")).agg(F.max_by("duration", "session").alias("duration"))
+    videos = _renamed(t.v_videos, 5).groupBy(F.col("clip_id").alias("name")).agg(F.max_by("duration", "session").alias("duration"))
     return t.v_outputs.select("name").join(videos, "name", "left")
 
 
-_ALIGN = "(SELECT c.clip_id, c.num_frames, v.nb_frames - c.num_frames AS delta, CASE WHEN v.clip_id IS NULL THEN 'missing' WHEN v.nb_frames IS NULL THEN 'not checked' WHEN v.nb_frames = c.num_frames THEN 'aligned' ELSE 'differs' END AS status FROM v_videos c LEFT JOIN (SELECT clip_id, nb_frames FROM v_videos WHERE clip_id % 9 <> 0) v ON c.clip_id = v.clip_id) q"
+_ALIGN = "(SELECT c.clip_id, c.num_frames, v.nb_frames - c.num_frames AS delta, CASE WHEN v.clip_id IS NULL THEN 'missing' WHEN v.nb_frames IS NULL THEN 'not checked' WHEN v.nb_frames = c.num_frames THEN 'aligned' ELSE 'differs' END AS status FROM v_videos c LEFT JOIN (SELECT clip_id + CASE WHEN clip_id % 9 = 0 THEN 100000000 ELSE 0 END AS clip_id, nb_frames FROM v_videos) v ON c.clip_id = v.clip_id) q"
 
 
 @query("join_frame_alignment", f"SELECT clip_id, num_frames, delta, status FROM {_ALIGN}")
 def _(t):
-    return A.alignment(t.v_videos.select("clip_id", "num_frames"), t.v_videos.where("clip_id % 9 != 0")).select("clip_id", "num_frames", "delta", "status")
+    return A.alignment(t.v_videos.select("clip_id", "num_frames"), _renamed(t.v_videos, 9)).select("clip_id", "num_frames", "delta", "status")
 
 
-@query("backfill_fps", "SELECT c.clip_id, CASE WHEN c.fps > 0 THEN c.fps ELSE coalesce(v.f, c.fps) END AS fps, CASE WHEN c.fps > 0 THEN 'already' WHEN v.f IS NULL THEN 'unmatched' ELSE 'todo' END AS outcome FROM v_videos c LEFT JOIN (SELECT clip_id, CASE clip_id % 4 WHEN 0 THEN 25.0::DOUBLE ELSE 30.0 END AS f FROM v_videos WHERE clip_id % 9 <> 0) v ON c.clip_id = v.clip_id")
+@query("backfill_fps", "SELECT c.clip_id, CASE WHEN c.fps > 0 THEN c.fps ELSE coalesce(v.f, c.fps) END AS fps, CASE WHEN c.fps > 0 THEN 'already' WHEN v.f IS NULL THEN 'unmatched' ELSE 'todo' END AS outcome FROM v_videos c LEFT JOIN (SELECT clip_id, CASE clip_id % 4 WHEN 0 THEN 25.0::DOUBLE ELSE 30.0 END AS f, clip_id % 9 = 0 AS other FROM v_videos) v ON c.clip_id = v.clip_id AND NOT v.other")
 def _(t):
-    videos = t.v_videos.where("clip_id % 9 != 0").select("clip_id", F.when(F.col("clip_id") % 4 == 0, 25.0).otherwise(30.0).alias("video_fps"))
+    videos = _renamed(t.v_videos, 9).select("clip_id", F.when(F.col("clip_id") % 4 == 0, 25.0).otherwise(30.0).alias("video_fps"))
     return A.backfill_fps(t.v_videos.select("clip_id", "fps"), videos).select("clip_id", "fps", "outcome")
 
 
@@ -285,10 +275,12 @@ def _(t):
     return Q.quality_report(clips).select("clip_id", F.size("failures").alias("failures"), F.size("warnings").alias("warnings"), "status")
 
 
-@query("dq_corpus_hand_gate", "SELECT clip_id, round((l + r) / 2, 6) AS coverage, (l + r) / 2 < CAST(0.65 AS DOUBLE) AS no_hands FROM (SELECT clip_id, avg(CASE WHEN left_valid THEN 1.0::DOUBLE ELSE 0 END) AS l, avg(CASE WHEN right_valid THEN 1.0::DOUBLE ELSE 0 END) AS r FROM v_poses GROUP BY clip_id) q")
+@query("dq_corpus_hand_gate", "SELECT clip_id, round((l + r) / 2, 6) AS coverage, (l + r) / 2 < CAST(0.05 AS DOUBLE) AS no_hands FROM (SELECT clip_id, avg(CASE WHEN left_valid AND (clip_id % 3 = 0 OR vec_id % 8 = 0) THEN 1.0::DOUBLE ELSE 0 END) AS l, avg(CASE WHEN right_valid AND clip_id % 3 = 0 THEN 1.0::DOUBLE ELSE 0 END) AS r FROM v_poses GROUP BY clip_id) q")
 def _(t):
-    c = Q.coverage(t.v_poses, ["left_valid", "right_valid"]).withColumn("c", (F.col("left_valid") + F.col("right_valid")) / 2)
-    return c.select("clip_id", F.round("c", 6).alias("coverage"), (F.col("c") < 0.65).alias("no_hands"))
+    # Two clips in three with hands in hardly any frame.
+    third = F.col("clip_id") % 3 == 0
+    hands = t.v_poses.withColumns({"left_valid": F.col("left_valid") & (third | (F.col("vec_id") % 8 == 0)), "right_valid": F.col("right_valid") & third})
+    return Q.hand_gate(hands).withColumn("coverage", F.round("coverage", 6))
 
 
 _STAMP_CHANGED = "list_filter([CASE WHEN code <> new_code THEN 'code' END, CASE WHEN flags <> new_flags THEN 'flags' END, CASE WHEN input <> new_input THEN 'input' END], lambda x: x IS NOT NULL)"

@@ -88,20 +88,3 @@ def test_verdicts(spark):
     given = [(True, True, 1, 0, "fail"), (True, True, 0, 0, "pass"), (False, True, 5, 1, "fail"), (False, True, 5, 0, "skip"), (True, False, 0, 0, "unusable")]
     df = spark.createDataFrame(given, "same boolean, usable boolean, tight int, wide int, want string")
     assert all(r.v == r.want for r in df.select("want", audit.verdict(*map(F.col, ("same", "usable", "tight", "wide"))).alias("v")).collect())
-
-
-def test_fusing_survives_empty_tables_and_keeps_the_spine(spark):
-    body = spark.createDataFrame([(1, 0), (1, 1)], "clip_id long, frame_idx long")
-    hands = spark.createDataFrame([], "clip_id long, frame_idx long, is_right boolean, det_idx long, kp_count int, kp_conf double, value double")
-    face = spark.createDataFrame([(1, 1, True, 0.5)], "clip_id long, timestep_id long, stale boolean, jaw double")
-    got = frames.fuse(body, hands, face).orderBy("frame_idx").collect()
-    assert [(r.left_valid, r.face_valid, r.jaw) for r in got] == [(False, False, 0.0), (False, False, 0.5)]
-
-
-def test_the_fuse_plan_combines_detections_before_it_shuffles_them(spark):
-    from conftest import SF
-
-    from framelake.plans.all import QUERIES
-
-    plan = QUERIES["join_fuse_streams"](spark, SF)._jdf.queryExecution().executedPlan().toString()
-    assert "partial_max" in plan and "Python" not in plan and "CartesianProduct" not in plan
