@@ -1,8 +1,8 @@
 """How far the sources of a language diverge in their terms, with strings materialised late.
 
-Tasks count terms by fixed-width digests, and digests alone are shuffled. The strings of digests in enough documents are then
-read once more, as the least and greatest string of each; a digest whose two differ stands for several terms, and is split by counting these
-few terms by their text. Reports work on (digest, sub) pairs, and text is joined back to the rows that stay."""
+Documents are counted by fixed-width digests of their terms first. A second reading counts the terms of digests in enough documents by source, and
+writes counts and strings as columns of one table, of which digests and counts alone are shuffled for the reports. The least and the greatest string of each such digest tell whether it stands for
+several terms; those few are split by a second digest. Reports work on (digest, sub) pairs, and text is joined back to the rows that stay."""
 
 from __future__ import annotations
 
@@ -20,9 +20,9 @@ from framelake.llm.common import _power_tables, mix, written
 #: Bits of the filter of kept digests that second readings carry: 1 MB, whatever the vocabulary; a full filter passes more strings, not other ones.
 FILTER_BITS = 23
 #: Distinct entries that a task holds before it sends them on.
-HELD = 400_000
+HELD = 500_000
 #: (term, source) rows that one group of the pair report aims at, and sources compared with all others at a time.
-PAIR_ROWS = 1 << 18
+PAIR_ROWS = 1 << 14
 TILE = 128
 
 # A term byte: an ASCII letter, or any byte of a longer character. Letters are lower-cased.
@@ -56,7 +56,7 @@ def terms(texts: pa.Array, bits: int = 64) -> tuple[np.ndarray, np.ndarray, np.n
     return raw, begin, end, np.searchsorted(bounds, begin, "right") - 1, digest.view(np.int64)
 
 
-def _runs(batch: pa.RecordBatch, bytes_: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def _runs(batch: pa.RecordBatch, bytes_: int = 1_000_000) -> Iterator[pa.RecordBatch]:
     """A batch in runs of texts of about so many bytes."""
     size = np.cumsum(pc.binary_length(batch.column("text")).to_numpy().astype(np.int64))
     a = 0
@@ -77,6 +77,36 @@ def _grouped(keys: list[np.ndarray], values: list[np.ndarray]) -> tuple[list[np.
     return [k[at] for k in keys], [np.add.reduceat(v[order], at) if len(at) else v[:0] for v in values]
 
 
+def _numbered(digest: np.ndarray, second: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(number, first): a number for each different digest (and second digest), from 0, and a place of each."""
+    order = np.argsort(digest, kind="stable")
+    d = digest[order]
+    new = np.ones(len(d), bool)
+    new[1:] = d[1:] != d[:-1]
+    if second is not None:
+        other = second[order][1:] != second[order][:-1]
+        if (other & ~new[1:]).any():
+            order = np.lexsort([second, digest])
+            d, other = digest[order], second[order][1:] != second[order][:-1]
+            new[1:] = d[1:] != d[:-1]
+        new[1:] |= other
+    number = np.empty(len(d), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return number, order[new]
+
+
+def _counted(a: np.ndarray, b: np.ndarray, width: int, *values: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Distinct pairs of numbers, b below width, with how often each occurs, or the sums of values by them."""
+    key = a * width + b
+    if not values:
+        key, n = np.unique(key, return_counts=True)
+        return key // width, key % width, [n.astype(np.int64)]
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    at = np.flatnonzero(np.diff(key, prepend=-1))
+    return key[at] // width, key[at] % width, [np.add.reduceat(v[order], at) if len(at) else v[:0] for v in values]
+
+
 def _in_filter(digest: np.ndarray, words: np.ndarray) -> np.ndarray:
     bit = digest.view(np.uint64) & np.uint64((1 << FILTER_BITS) - 1)
     return (words[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) > 0
@@ -92,129 +122,138 @@ def bit_filter(digests: DataFrame) -> np.ndarray:
     return words.view(np.uint64)
 
 
-def count_digests(docs: DataFrame, bits: int = 64) -> DataFrame:
-    """(lang, source, digest, n, df) from docs (text, lang, source, no nulls), summed within tasks: occurrences, and documents that have the term."""
+class _Sums:
+    """Sums by keys, all of them arrays; compacted whenever they have doubled."""
+
+    def __init__(self, keys: int):
+        self.keys, self.columns, self.size, self.limit = keys, [], 0, HELD
+
+    def add(self, *columns: np.ndarray) -> None:
+        self.columns.append(columns)
+        self.size += len(columns[0])
+        if self.size > 2 * self.limit:
+            self.compact()
+            self.limit = max(HELD, self.size)
+
+    def compact(self) -> list[np.ndarray]:
+        whole = [np.concatenate(c) for c in zip(*self.columns, strict=True)]
+        keys, values = _grouped(whole[: self.keys], whole[self.keys :])
+        self.columns = [tuple(keys + values)]
+        self.size = len(keys[0])
+        return keys + values
+
+    def full(self) -> bool:
+        return self.size > 3 * HELD
+
+    def taken(self) -> Iterator[list[np.ndarray]]:
+        """What is held, in pieces; nothing is held any more."""
+        if self.columns:
+            whole = self.compact()
+            for k in range(0, len(whole[0]), 1 << 16):
+                yield [c[k : k + (1 << 16)] for c in whole]
+        self.columns, self.size, self.limit = [], 0, HELD
+
+
+def _named(codes: np.ndarray, names: list) -> pa.Array:
+    return pa.DictionaryArray.from_arrays(pa.array(codes.astype(np.int32)), pa.array(names, pa.string())).dictionary_decode()
+
+
+def term_documents(docs: DataFrame, bits: int = 64) -> DataFrame:
+    """(lang, digest, df) from docs (text, lang, no nulls): documents that have the term, summed within tasks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names: dict[tuple[str, str], int] = {}
-        held: list[tuple[np.ndarray, ...]] = []
-        size = 0
+        langs: dict[str, int] = {}
+        sums = _Sums(2)
 
         def sent() -> Iterator[pa.RecordBatch]:
-            nonlocal held, size
-            if held:
-                (g, d), (n, df) = _grouped([np.concatenate([h[i] for h in held]) for i in (0, 1)], [np.concatenate([h[i] for h in held]) for i in (2, 3)])
-                held = [(g, d, n, df)]
-                size = len(g)
-            if size > HELD or final:
-                for k in range(0, size, 1 << 16):
-                    g, d, n, df = (x[k : k + (1 << 16)] for x in held[0])
-                    lang, source = (pa.DictionaryArray.from_arrays(pa.array(g.astype(np.int32)), pa.array([x[i] for x in names], pa.string())).dictionary_decode() for i in (0, 1))
-                    yield pa.RecordBatch.from_arrays([lang, source, pa.array(d), pa.array(n), pa.array(df)], ["lang", "source", "digest", "n", "df"])
-                held, size = [], 0
-
-        final = False
+            for g, d, df in sums.taken():
+                yield pa.RecordBatch.from_arrays([_named(g, list(langs)), pa.array(d), pa.array(df)], ["lang", "digest", "df"])
+
         for batch in batches:
             for part in _runs(batch):
                 _, _, _, row, digest = terms(part.column("text"), bits)
-                (row, digest), (n,) = _grouped([row, digest], [np.ones(len(row), np.int64)])
-                group = np.fromiter((names.setdefault(k, len(names)) for k in zip(part.column("lang").to_pylist(), part.column("source").to_pylist(), strict=True)), np.int64, part.num_rows)
-                (g, d), (n, df) = _grouped([group[row], digest], [n, np.ones(len(row), np.int64)])
-                held.append((g, d, n, df))
-                size += len(g)
-                if size > 2 * HELD:
+                group = np.fromiter((langs.setdefault(k, len(langs)) for k in part.column("lang").to_pylist()), np.int64, part.num_rows)
+                number, first = _numbered(digest)
+                row, number, _ = _counted(row, number, max(1, len(first)))
+                lang, number, (df,) = _counted(group[row], number, max(1, len(first)))
+                sums.add(lang, digest[first[number]], df)
+                if sums.full():
                     yield from sent()
-        final = True
         yield from sent()
 
-    return docs.select("text", "lang", "source").mapInArrow(run, "lang string, source string, digest long, n long, df long")
-
+    return docs.select("text", "lang").mapInArrow(run, "lang string, digest long, df long")
 
-def read_terms(docs: DataFrame, words: np.ndarray, bits: int = 64, counted: bool = False) -> DataFrame:
-    """The strings of the digests in a filter: (digest, term), distinct within tasks as far as they are held; counted adds lang, source, n and df by text.
 
-    Strings are sent for digests that pass the filter alone."""
+def term_hits(docs: DataFrame, words: np.ndarray, bits: int = 64) -> DataFrame:
+    """(lang, source, digest, second, n, df) of the terms whose digests pass a filter, summed within tasks: occurrences and documents. second is
+    another digest, and term the string on one row at least of each task that has these two."""
     shared = docs.sparkSession.sparkContext.broadcast(words)
-    keys = ["lang", "source", "digest", "term"] if counted else ["digest", "term"]
-    schema = pa.schema([(k, pa.int64() if k == "digest" else pa.string()) for k in keys] + ([("n", pa.int64()), ("df", pa.int64())] if counted else []))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple, list[int]] = {}
+        names: dict[tuple[str, str], int] = {}
+        strings: dict[tuple[int, int], bytes] = {}
+        sums = _Sums(3)
 
-        def sent() -> pa.RecordBatch:
-            columns = list(zip(*held, strict=True)) if held else [[]] * len(keys)
-            if counted:
-                columns += list(zip(*held.values(), strict=True)) if held else [[], []]
-            out = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
-            held.clear()
-            return out
+        def sent() -> Iterator[pa.RecordBatch]:
+            for g, d, second, n, df in sums.taken():
+                # A string is told once, with the first row that has its digests.
+                text = pa.array([strings.pop(k, None) for k in zip(d.tolist(), second.tolist(), strict=True)], pa.binary()).cast(pa.string())
+                columns = [_named(g, [x[0] for x in names]), _named(g, [x[1] for x in names]), pa.array(d), pa.array(second), text, pa.array(n), pa.array(df)]
+                yield pa.RecordBatch.from_arrays(columns, ["lang", "source", "digest", "second", "term", "n", "df"])
+            strings.clear()
 
         for batch in batches:
             for part in _runs(batch):
                 raw, begin, end, row, digest = terms(part.column("text"), bits)
                 at = np.flatnonzero(_in_filter(digest, shared.value))
-                # Equal bytes and lengths have equal digests: one string a digest and length stands for them where digests are whole.
-                if not counted and bits == 64:
-                    at = at[np.unique(digest[at], return_index=True)[1]] if not len(at) else at[_distinct(raw, begin[at], end[at], digest[at])]
-                data = raw.tobytes()
-                lang, source = (part.column(c).to_pylist() for c in ("lang", "source"))
-                seen: dict[tuple, int] = {}
-                for i, a, z, r in zip(digest[at].tolist(), begin[at].tolist(), end[at].tolist(), row[at].tolist(), strict=True):
-                    term = data[a:z].decode()
-                    if not counted:
-                        held[i, term] = []
-                        continue
-                    entry = held.setdefault((lang[r], source[r], i, term), [0, 0])
-                    entry[0] += 1
-                    if seen.get((i, term)) != r:
-                        seen[i, term] = r
-                        entry[1] += 1
-                if len(held) > HELD:
-                    yield sent()
-        yield sent()
-
-    kinds = ", ".join(f"{f.name} {'long' if f.type == pa.int64() else 'string'}" for f in schema)
-    return docs.select("text", "lang", "source").mapInArrow(run, kinds)
-
-
-def _distinct(raw: np.ndarray, begin: np.ndarray, end: np.ndarray, digest: np.ndarray) -> np.ndarray:
-    """Places of one of each different (digest, string): neighbours by digest are told apart by a second hash of their bytes."""
+                begin, end, row, digest = begin[at], end[at], row[at], digest[at]
+                second = _second(raw, begin, end)
+                number, first = _numbered(digest, second)
+                for d, x, a, z in zip(digest[first].tolist(), second[first].tolist(), begin[first].tolist(), end[first].tolist(), strict=True):
+                    if (d, x) not in strings:
+                        strings[d, x] = raw[a:z].tobytes()
+                keys = zip(part.column("lang").to_pylist(), part.column("source").to_pylist(), strict=True)
+                group = np.fromiter((names.setdefault(k, len(names)) for k in keys), np.int64, part.num_rows)
+                row, number, (n,) = _counted(row, number, max(1, len(first)))
+                own, number, (n, df) = _counted(group[row], number, max(1, len(first)), n, np.ones(len(row), np.int64))
+                sums.add(own, digest[first[number]], second[first[number]], n, df)
+                if sums.full():
+                    yield from sent()
+        yield from sent()
+
+    return docs.select("text", "lang", "source").mapInArrow(run, "lang string, source string, digest long, second long, term string, n long, df long")
+
+
+def _second(raw: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Another 64-bit digest of runs of bytes."""
     up, down = _power_tables(len(raw) + 1)
     sums = np.zeros(len(raw) + 1, np.uint64)
     np.cumsum(mix(raw.astype(np.uint64) + np.uint64(0x1234567)) * up[: len(raw)], out=sums[1:])
-    second = (sums[end] - sums[begin]) * down[begin]
-    order = np.lexsort([second, digest])
-    new = np.ones(len(order), bool)
-    new[1:] = (digest[order][1:] != digest[order][:-1]) | (second[order][1:] != second[order][:-1])
-    return order[new]
+    return ((sums[end] - sums[begin]) * down[begin]).view(np.int64)
 
 
 def kept_terms(docs: DataFrame, least: int = 30, bits: int = 64) -> tuple[DataFrame, DataFrame]:
     """(counts, texts): counts (lang, source, digest, sub, n) of the terms in at least so many documents of their lang, and
     texts (digest, sub, term). Both are tables. bits narrows the digests, to test what collisions do."""
-    parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-
-    def enough(counts: DataFrame, *by: str) -> DataFrame:
-        """Sums by source, of terms whose documents of all sources of the lang are enough."""
-        summed = counts.repartition(parts, "lang", *by).groupBy("lang", *by, "source").agg(F.sum("n").alias("n"), F.sum("df").alias("df"))
-        return summed.withColumn("all", F.sum("df").over(Window.partitionBy("lang", *by))).where(F.col("all") >= least).select("lang", "source", *by, "n")
-
-    counts = written(enough(count_digests(docs, bits), "digest"), "term-counts")
-    digests = written(counts.select("digest").distinct(), "term-digests")
-    found = read_terms(docs, bit_filter(digests), bits).groupBy("digest").agg(F.min("term").alias("low"), F.max("term").alias("high"))
-    found = written(found.join(digests, "digest", "left_semi"), "term-strings")
+    enough = term_documents(docs, bits).groupBy("lang", "digest").agg(F.sum("df").alias("df")).where(F.col("df") >= least).select("lang", "digest")
+    enough = written(enough, "term-digests")
+    # The second reading's table stays as the tasks wrote it; its strings and its counts are separate columns of its files.
+    hits = written(term_hits(docs, bit_filter(enough), bits), "term-hits")
+    counts = written(hits.groupBy("lang", "source", "digest").agg(F.sum("n").alias("n")).join(enough, ["lang", "digest"]).select("lang", "source", "digest", "n"), "term-counts")
+    strings = hits.where("term IS NOT NULL")
+    found = written(strings.groupBy("digest").agg(F.min("term").alias("low"), F.max("term").alias("high")), "term-strings")
     several = found.where("low != high").select("digest")
     texts = found.where("low = high").select("digest", F.lit(0).alias("sub"), F.col("low").alias("term"))
     if several.isEmpty():
         return counts.withColumn("sub", F.lit(0)), texts
-    # Digests of several terms: their terms are counted by text, and numbered within their digest.
-    apart = read_terms(docs, bit_filter(several), bits, counted=True).join(several, "digest", "left_semi")
-    apart = written(enough(apart, "digest", "term"), "term-split")
-    numbered = apart.select("digest", "term").distinct().withColumn("sub", F.row_number().over(Window.partitionBy("digest").orderBy("term")))
-    numbered = written(numbered, "term-numbers")
-    split = apart.join(numbered, ["digest", "term"]).select("lang", "source", "digest", "n", "sub")
+    # Digests of several terms: their terms are told apart by both digests, which must then have one string, and are numbered within the first.
+    one = F.when(F.min("term") == F.max("term"), F.min("term")).otherwise(F.raise_error(F.lit("two terms have the same two digests")))
+    numbered = strings.join(several, "digest").groupBy("digest", "second").agg(one.alias("term"))
+    numbered = written(numbered.withColumn("sub", F.row_number().over(Window.partitionBy("digest").orderBy("second"))), "term-numbers")
+    apart = hits.join(numbered, ["digest", "second"]).groupBy("lang", "digest", "sub", "source").agg(F.sum("n").alias("n"), F.sum("df").alias("df"))
+    apart = apart.withColumn("all", F.sum("df").over(Window.partitionBy("lang", "digest", "sub"))).where(F.col("all") >= least)
     whole = counts.join(several, "digest", "left_anti").select("lang", "source", "digest", "n", F.lit(0).alias("sub"))
-    return written(whole.unionByName(split), "term-counts-split"), texts.unionByName(numbered.select("digest", "sub", "term"))
+    return written(whole.unionByName(apart.select("lang", "source", "digest", "n", "sub")), "term-counts-split"), texts.unionByName(numbered.select("digest", "sub", "term"))
 
 
 def share(n: Column, total: Column, v: Column) -> Column:
