@@ -2,7 +2,7 @@
 
 Word 5-grams are labelled with their occurrence number. Under each of several hash functions the two least labelled
 5-grams are kept in text order and hashed together (order min hash, Marçais et al. 2019): equal values need common
-5-grams in the same order, so collisions follow edit similarity rather than set overlap. Texts that collide are compared by
+5-grams in the same order, so collisions follow edit similarity rather than set overlap. Short texts, of which few 5-grams outlive an edit, have hashes of word pairs. Texts that collide are compared by
 banded alignment of their words, unless their word counts tell already that they are too far apart."""
 
 from __future__ import annotations
@@ -25,6 +25,10 @@ from framelake.llm.common import connected, drop, gram_hashes, mix, word_hashes,
 
 SHINGLE = 5
 SIMILARITY = 0.8
+#: Few 5-grams outlive scattered edits in a short text: up to SHORT words, texts have SHORT_SKETCHES hashes of two word pairs, and 5-grams from LONG words on. Two
+#: texts that may be similar and aren't both short have at least LONG words, as SHORT * SIMILARITY is more.
+SHORT, LONG = 60, 40
+SHORT_SHINGLE, SHORT_SKETCHES = 2, 64
 #: At similarity 0.80 by scattered words, 112 hashes of two grams bring 0.95 of pairs of 100 words together; 24 brought 0.56.
 SKETCHES = 112
 #: Bins of a text's word counts, by the first ten bits of the word's hash, and of the sums of neighbouring bins that are compared first.
@@ -91,6 +95,25 @@ def sketch(words: np.ndarray, sketches: int = SKETCHES, kept: int = 2, k: int =
     return value.view(np.int64)
 
 
+def sketches_of(words: np.ndarray, sketches: int = SKETCHES) -> np.ndarray:
+    """All order min hashes of a text: those of 5-grams, if it has LONG words, and behind them those of pairs, if it has at most SHORT."""
+    parts = [sketch(words, sketches)] if len(words) >= LONG else []
+    if len(words) <= SHORT:
+        parts.append(mix(sketch(words, SHORT_SKETCHES, k=SHORT_SHINGLE).view(np.uint64) + np.uint64(1)).view(np.int64))
+    return np.concatenate(parts)
+
+
+def _aligned(marks: pa.Array, words: np.ndarray, sketches: int) -> np.ndarray:
+    """The hashes of texts, a row each, in columns of equal hash functions; where a text has none of a function, a number that no other row has there."""
+    width = sketches + SHORT_SKETCHES
+    out = -1 - np.arange(len(words) * width, dtype=np.int64).reshape(-1, width)
+    has = np.zeros(out.shape, bool)
+    has[:, :sketches] = (words >= LONG)[:, None]
+    has[:, sketches:] = (words <= SHORT)[:, None]
+    out[has] = pc.list_flatten(marks).to_numpy()
+    return out
+
+
 def edit_distance(a: list[str], b: list[str], band: int) -> int | None:
     """The edit distance of two word lists if it is at most band, else None.
 
@@ -195,7 +218,7 @@ def _features(docs: DataFrame, carried: list[str], text: str, sketches: int) ->
                 digest.append(hashlib.blake2b(raw, digest_size=16).digest() if raw else None)
                 number.append(len(words))
                 bags.append(bag(words) if raw else None)
-                marks.append(sketch(words, sketches) if raw else [])
+                marks.append(sketches_of(words, sketches) if raw else [])
             columns = [b["row"], pa.array(digest, pa.binary()), pa.array(number, pa.int64()), pa.array(bags, pa.binary()), pa.array(marks, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(columns, schema.names)
 
@@ -215,7 +238,7 @@ def _possible(pairs: DataFrame, facts: DataFrame, least: float) -> DataFrame:
     return both.select("id", "center", "words", "bag", "words_c", "bag_c").mapInArrow(run, "id long, center long")
 
 
-def _all_pairs(rows: DataFrame, facts: DataFrame, least: float, block: int) -> DataFrame:
+def _all_pairs(rows: DataFrame, facts: DataFrame, least: float, block: int, sketches: int) -> DataFrame:
     """All pairs (id, center) of a bucket's texts that are of different classes and that may_be_near leaves; rows are (value, id, class).
 
     A bucket of more than block texts is dealt into blocks, and each two blocks meet in a cell of their own, so no
@@ -233,7 +256,7 @@ def _all_pairs(rows: DataFrame, facts: DataFrame, least: float, block: int) -> D
         own, id_, part, words = (t[c].to_numpy()[order] for c in ("own", "id", "class", "words"))
         bags = _bags(t["bag"])[order]
         coarse = np.minimum(bags.reshape(len(order), COARSE, -1).sum(axis=2), 255).astype(np.uint8)
-        marks = pc.list_flatten(t["sketch"]).to_numpy().reshape(len(order), -1)[order]
+        marks = _aligned(t["sketch"], t["words"].to_numpy(), sketches)[order]
         value = t["value"][0].as_py()
         # Of texts in order of length, those that are not too long to be near one are a run behind it.
         band = ((1 - least) * words + 1e-9).astype(np.int64)
@@ -304,7 +327,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     return judged
 
 
-def _linked(features: DataFrame, key: str, text: str, least: float, block: int) -> DataFrame:
+def _linked(features: DataFrame, key: str, text: str, least: float, block: int, sketches: int) -> DataFrame:
     """(text_hash, id, none, key, component), written, of each different text of features: the component of texts that links close, by the number
     of one of its texts; id is the row that has the least key, if one isn't null, and none tells that all are."""
     first = F.min(F.struct(F.col(f"row.{key}").isNull().alias("none"), F.col(f"row.{key}").alias("key"), "id")).alias("first")
@@ -340,7 +363,7 @@ def _linked(features: DataFrame, key: str, text: str, least: float, block: int)
             met = buckets.where("class != center_class").groupBy("id", "center").agg(F.count("*").alias("n")).withColumn("place", F.row_number().over(often)).where(F.col("place") <= TRIES)
             pairs = _possible(met.select(F.greatest("id", "center").alias("id"), F.least("id", "center").alias("center")).distinct(), facts, least)
         else:
-            pairs = _all_pairs(buckets.select("value", "id", "class"), all_facts, least, block)
+            pairs = _all_pairs(buckets.select("value", "id", "class"), all_facts, least, block, sketches)
         rows = buckets.select("value", "id")
         if judged is not None:
             pairs = pairs.join(judged, ["id", "center"], "left_anti")
@@ -372,7 +395,7 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", least: flo
     Null and wordless texts are classes of their own (class_id is the key); a null key takes the class of its text.
     Rows that share a key have a row each, by their own texts."""
     features = written(_features(docs, [key, text], text, sketches).withColumn("id", F.monotonically_increasing_id()), "near-features")
-    known = _linked(features, key, text, least, block)
+    known = _linked(features, key, text, least, block, sketches)
     least_key = known.groupBy("component").agg(F.min("key").alias("class_id"))
     known_key = known.join(least_key, "component").select("text_hash", "class_id")
     own = F.col(f"row.{key}")
@@ -388,7 +411,7 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", least:
     Rows are told apart by themselves and not by their key, so different texts of one key or without one don't replace each other.
     Null and wordless texts are no copies, and stay. All columns stay, whatever they are called."""
     features = written(_features(docs, docs.columns, text, sketches).withColumn("id", F.monotonically_increasing_id()), "near-features")
-    known = _linked(features, key, text, least, block)
+    known = _linked(features, key, text, least, block, sketches)
     chosen = written(known.groupBy("component").agg(F.min(F.struct("none", "key", "id")).alias("first")).select("first.id"), "near-chosen")
     texts = features.where("text_hash IS NOT NULL").join(chosen, "id", "left_semi").unionByName(features.where("text_hash IS NULL"))
     kept = written(texts.select("row.*"), "near-kept")

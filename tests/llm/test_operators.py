@@ -334,7 +334,7 @@ def test_near_classes_link_every_pair_that_collides(spark, block):
         texts |= {100 * g + c: " ".join(original if c == 57 else edited(original, r, 14)) for c in range(60)}
     got = {x.doc_id: x.class_id for x in neardup.classes(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), sketches=24, block=block).collect()}
     words = {k: neardup.normal(t).split() for k, t in texts.items()}
-    marks = {k: set(neardup.sketch(common.word_hashes(neardup.normal(t)), 24).tolist()) for k, t in texts.items()}
+    marks = {k: set(neardup.sketches_of(common.word_hashes(neardup.normal(t)), 24).tolist()) for k, t in texts.items()}
     want = closed(texts, [(a, b) for a in texts for b in texts if a < b and marks[a] & marks[b] and neardup.similar(words[a], words[b])])
     assert got == want and sum(want[k] == want[k // 100 * 100 + 57] for k in texts) > 150
 
