@@ -2,7 +2,7 @@
 
 A test item of n words may occur with up to k edited words. Split into k + 1 pieces, at least one piece of any such
 occurrence is exact; piece hits name the places where Myers' bit-parallel distance, on words, decides. Items are a
-stated query set: they are broadcast in blocks of bounded size, and each block is one pass over the documents."""
+stated query set: they lie in the shared folder in blocks of bounded size, which each task reads and goes through, an automaton at a time, in one pass over the documents."""
 
 from __future__ import annotations
 
@@ -10,14 +10,19 @@ import re
 from collections.abc import Iterator
 
 import ahocorasick
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from framelake.llm.common import local_path, new_folder, unused
+
 #: Characters of items that a block holds, but for a last item that goes beyond; an automaton takes some 60 bytes for each.
 BLOCK_CHARS = 2_000_000
+#: Bytes of texts that a task holds while it goes through several blocks.
+CHUNK_BYTES = 32 << 20
 _WORDS = re.compile(r"\w+").findall
 
 
@@ -131,14 +136,45 @@ class Items:
         return sorted(out)
 
 
-def _blocks(items: DataFrame, item_id: str, text: str, block_chars: int) -> Iterator[list[tuple[int, list[str]]]]:
+def _write_blocks(items: DataFrame, item_id: str, text: str, block_chars: int) -> str:
+    """Items with a word, as files of (item, text) in the shared folder: a file is a block of about block_chars characters. Items never pass through the driver."""
+    spark = items.sparkSession
+    some = items.select(F.col(item_id).alias("item"), F.col(text).cast("string").alias("text")).where(F.length("text") > 0)
+    total = some.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
+    folder = new_folder(spark, "leak-items")
+    some.repartition(max(1, -(-total // block_chars)), F.xxhash64("item", "text")).write.parquet(folder)
+    return folder
+
+
+class Blocks:
+    """The blocks of a folder, an automaton at a time; the last one is kept, so a single block is read once a worker."""
+
+    def __init__(self, folder: str, rate: float):
+        self.fs, top = local_path(folder)
+        from pyarrow import fs
+
+        self.paths = sorted(f.path for f in self.fs.get_file_info(fs.FileSelector(top)) if f.path.endswith(".parquet"))
+        self.rate, self.path, self.held = rate, None, None
+
+    def items(self) -> Iterator[Items]:
+        # The block that is held already comes first.
+        for path in sorted(self.paths, key=lambda p: p != self.path):
+            if path != self.path:
+                self.path, self.held = None, None
+                with self.fs.open_input_file(path) as f:
+                    t = pq.read_table(f)
+                self.held = Items([(i, w) for i, x in zip(t["item"].to_pylist(), t["text"].to_pylist(), strict=True) if (w := normal_words(x))], self.rate)
+                self.path = path
+            yield self.held
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], at: int, whole: bool) -> Iterator[list[pa.RecordBatch]]:
+    """Batches one by one, or in runs of about CHUNK_BYTES of texts, where several automata have to be built for each run."""
     held, size = [], 0
-    for row in items.select(item_id, text).where(F.col(text).isNotNull()).toLocalIterator():
-        words = normal_words(row[1])
-        if words:
-            held.append((row[0], words))
-            size += len(row[1])
-        if size >= block_chars:
+    for b in batches:
+        held.append(b)
+        size += pc.sum(pc.binary_length(b.column(at))).as_py() or 0
+        if whole or size >= CHUNK_BYTES:
             yield held
             held, size = [], 0
     if held:
@@ -150,38 +186,45 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
 
     Words are runs of letters, digits and _, lower-cased. A null or wordless text or item matches nothing; items under
     five words must occur exactly. Rows that repeat are matched each by themselves. Of overlapping places of one item in a
-    document the one of least distance counts (the earliest end of equals), and places beside it count each."""
-    spark = docs.sparkSession
-    schema = T.StructType([T.StructField(key, docs.schema[key].dataType), T.StructField("item_id", items.schema[item_id].dataType)]).add("edits", "long").add("begin_word", "long").add("end_word", "long")
-    out = None
-    for block in _blocks(items, item_id, item_text, block_chars):
-        shared = spark.sparkContext.broadcast(block)
-
-        def search(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            held = Items(shared.value, rate)
-            for b in batches:
-                rows = [(d, *m) for d, t in zip(b[key], b[text], strict=True) for m in held.find(t)]
-                yield pd.DataFrame(rows, columns=schema.names)
-
-        found = docs.select(key, text).mapInPandas(search, schema)
-        out = found if out is None else out.unionByName(found)
-    return out if out is not None else spark.createDataFrame([], schema)
+    document the one of least distance counts (the earliest end of equals), and places beside it count each.
+    A key that is called like a result makes the result's name end in _."""
+    names = [unused(n, [key]) for n in ("item_id", "edits", "begin_word", "end_word")]
+    schema = T.StructType([T.StructField(key, docs.schema[key].dataType), T.StructField(names[0], items.schema[item_id].dataType)]).add(names[1], "long").add(names[2], "long").add(names[3], "long")
+    folder = _write_blocks(items, item_id, item_text, block_chars)
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks = Blocks(folder, rate)
+        types = None
+        for run in _chunks(batches, 1, len(blocks.paths) < 2):
+            for held in blocks.items():
+                for b in run:
+                    rows = [(i, *m) for i, t in enumerate(b.column(1)) for m in held.find(t.as_py())]
+                    if rows:
+                        at, *found = zip(*rows, strict=True)
+                        types = types or [pa.array(found[0]).type] + [pa.int64()] * 3
+                        yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at)), *(pa.array(c, k) for c, k in zip(found, types, strict=True))], schema.names)
+
+    return docs.select(F.col(key), F.col(text).cast("string").alias(unused("text", [key]))).mapInArrow(search, schema)
 
 
 def clean(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", rate: float = 0.1, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """The rows of docs in whose text no item occurs, as leaks finds them. Each row is judged by its own text, so null and repeated keys don't matter."""
-    spark, schema, at = docs.sparkSession, docs.schema, docs.columns.index(text)
-    out = docs
-    for block in _blocks(items, item_id, item_text, block_chars):
-        shared = spark.sparkContext.broadcast(block)
-
-        def keep(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            held = Items(shared.value, rate)
-            for b in batches:
-                yield b.filter(pa.array([not held.find(t.as_py()) for t in b.column(at)], pa.bool_()))
-
-        out = out.mapInArrow(keep, schema)
-    return out
+    """The rows of docs in whose text no item occurs, as leaks finds them. Each row is judged by its own text, so null and repeated keys don't matter. All columns stay."""
+    schema, at = docs.schema, docs.columns.index(text)
+    folder = _write_blocks(items, item_id, item_text, block_chars)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks = Blocks(folder, rate)
+        for run in _chunks(batches, at, len(blocks.paths) < 2):
+            clear = [[True] * b.num_rows for b in run]
+            for held in blocks.items():
+                for mask, b in zip(clear, run, strict=True):
+                    for i, t in enumerate(b.column(at)):
+                        if mask[i] and held.find(t.as_py()):
+                            mask[i] = False
+            for mask, b in zip(clear, run, strict=True):
+                yield b.filter(pa.array(mask, pa.bool_()))
+
+    return docs.mapInArrow(keep, schema)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
