@@ -6,6 +6,7 @@ payloads one is stored, the others revisit it."""
 
 from __future__ import annotations
 
+import contextlib
 import hashlib
 import struct
 import uuid
@@ -49,28 +50,28 @@ def _record(page_id, url, payload: bytes | None, size: int, digest: str, refers_
 
 
 def train(pages: DataFrame, date: str) -> bytes:
-    """A dictionary from the sample, of records as they are archived; empty, so that frames are compressed without one, where there are fewer than
-    eight records or the library finds too little in common to learn from."""
-    few = pages.select(F.xxhash64("page_id").alias("h"), "page_id", "url", "html").where(F.col("page_id").isNotNull() & (F.octet_length("html") > 0) & (F.octet_length("html") <= SAMPLE_BYTES))
+    """A dictionary from the sample, of records as they are archived (of a payload its first SAMPLE_BYTES characters). With too few records, or too little in common among them, for
+    the library to learn from, their own content is the dictionary. Only an empty table has none."""
+    few = pages.select(F.xxhash64("page_id", "html").alias("h"), "page_id", "url", F.coalesce(F.substring("html", 1, SAMPLE_BYTES), F.lit("")).alias("html"))
     # The bound first, so that tasks send hashes to the driver and only the chosen records follow.
     bound = few.select("h").orderBy("h").limit(SAMPLE_RECORDS).agg(F.max("h")).first()[0]
     chosen = few.where(F.col("h") <= bound).groupBy("h").agg(F.min(F.struct("page_id", "html", "url")).alias("r")).orderBy("h").select("r.*") if bound is not None else few.limit(0)
     sample = [_record(r.page_id, r.url, r.html.encode(), len(r.html.encode()), hashlib.sha1(r.html.encode()).hexdigest(), None, date) for r in chosen.collect()]
-    try:
-        return zstandard.train_dictionary(DICT_BYTES, sample).as_bytes() if len(sample) >= 8 else b""
-    except zstandard.ZstdError:
-        return b""
+    if len(sample) >= 8:
+        with contextlib.suppress(zstandard.ZstdError):
+            return zstandard.train_dictionary(DICT_BYTES, sample).as_bytes()
+    return b"".join(sample)[-DICT_BYTES:]
 
 
 def verdicts(pages: DataFrame, least_bytes: int = 1000) -> DataFrame:
     """(page_id, strong, payload_bytes, payload_digest, refers_to), strong being the payload's SHA-256: refers_to is the largest page_id of the equal payloads of at
     least least_bytes, null for that page itself and for smaller payloads. Only digests are shuffled. A null html is an
-    empty payload; pages without an id are responses."""
+    empty payload; a page without an id is a revisit of the equal page of largest id, and a response where none has one."""
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     each = written(pages.select("page_id", F.octet_length(payload).cast("long").alias("payload_bytes"), F.sha1(payload).alias("payload_digest"), F.sha2(payload, 256).alias("strong")), "warc-digests")
-    groups = each.where((F.col("payload_bytes") >= least_bytes) & F.col("page_id").isNotNull()).groupBy("strong").agg(F.max("page_id").alias("keeper"), F.count("*").alias("n")).where("n > 1").drop("n")
+    groups = each.where(F.col("payload_bytes") >= least_bytes).groupBy("strong").agg(F.max("page_id").alias("keeper"), F.count("*").alias("n")).where("n > 1 AND keeper IS NOT NULL").drop("n")
     out = each.join(groups, "strong", "left")
-    return out.select("page_id", "strong", "payload_bytes", "payload_digest", F.when(F.col("keeper") != F.col("page_id"), F.col("keeper")).alias("refers_to"))
+    return out.select("page_id", "strong", "payload_bytes", "payload_digest", F.when(~F.col("keeper").eqNullSafe(F.col("page_id")), F.col("keeper")).alias("refers_to"))
 
 
 def write(pages: DataFrame, folder: str, date: str = "2024-01-01T00:00:00Z", least_bytes: int = 1000, level: int = LEVEL) -> DataFrame:
@@ -84,10 +85,10 @@ def write(pages: DataFrame, folder: str, date: str = "2024-01-01T00:00:00Z", lea
     judged = verdicts(rows, least_bytes)
     fs, top = local_path(folder)
     fs.create_dir(top, recursive=True)
-    # By id and payload, as an id may repeat with other payloads. Rows without an id or a verdict are responses.
-    known = judged.where("refers_to IS NOT NULL").groupBy("page_id", "strong").agg(F.max("refers_to").alias("refers_to"))
+    # By id and payload, as an id may repeat with other payloads; null is an id like others. Rows without a verdict are responses.
+    known = judged.where("refers_to IS NOT NULL").groupBy(F.col("page_id").alias("known_id"), F.col("strong").alias("known_strong")).agg(F.max("refers_to").alias("refers_to"))
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
-    full = rows.withColumn("strong", F.sha2(payload, 256)).join(known, ["page_id", "strong"], "left").select("page_id", "url", "html", F.octet_length(payload).cast("long").alias("payload_bytes"), F.sha1(payload).alias("payload_digest"), "refers_to")
+    full = rows.withColumn("strong", F.sha2(payload, 256)).join(known, F.col("page_id").eqNullSafe(F.col("known_id")) & (F.col("strong") == F.col("known_strong")), "left").select("page_id", "url", "html", F.octet_length(payload).cast("long").alias("payload_bytes"), F.sha1(payload).alias("payload_digest"), "refers_to")
 
     def save(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         at, folder_in = local_path(folder)
@@ -177,6 +178,6 @@ def query(spark, sf_dir: str) -> DataFrame:
 SQL = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS h, octet_length(encode(coalesce(html, '')))::BIGINT AS n FROM pages),
 q AS (SELECT page_id, n, sha1(h) AS d, CASE WHEN n >= 1000 THEN max(page_id) OVER (PARTITION BY h) ELSE page_id END AS k FROM p)
-SELECT page_id, n AS payload_bytes, d AS payload_digest, CASE WHEN k = page_id THEN 'response' ELSE 'revisit' END AS record_type,
-       CASE WHEN k <> page_id THEN k END AS refers_to FROM q
+SELECT page_id, n AS payload_bytes, d AS payload_digest, CASE WHEN k IS NULL OR k IS NOT DISTINCT FROM page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN k IS DISTINCT FROM page_id THEN k END AS refers_to FROM q
 """
