@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from framelake.llm.common import WHITE, WORD
+from framelake.llm.common import WHITE, WORD, unused
 
 SYMBOLS = "#*$%&|<>"
 #: Regular expressions that Java and RE2 read alike; they look at one line.
@@ -78,25 +78,26 @@ def clean_lines(docs: DataFrame, text: str = "text", min_words: int = 50, max_re
     t = F.coalesce(F.col(text), F.lit(""))
     words = F.filter(F.split(t, r"[\x20\x09-\x0D]+"), lambda w: w != "")
     lines = F.split(t, "\n")
-    out = docs.withColumns({"_words": words, "_lines": F.filter(lines, lambda x: F.length(squeezed(x)) > 0)})
+    own_words, own_lines, own_good = (unused(n, docs.columns) for n in ("_words", "_lines", "_good"))
+    out = docs.withColumns({own_words: words, own_lines: F.filter(lines, lambda x: F.length(squeezed(x)) > 0)})
     out = out.withColumns(
         {
-            "n_words": F.size("_words").cast("long"),
+            "n_words": F.size(own_words).cast("long"),
             "word_chars": F.length(squeezed(t)).cast("long"),
             "n_symbols": (F.length(t) - F.length(without_symbols(t))).cast("long"),
-            "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-            "n_repeat_words": repeated_words(F.col("_words")).cast("long"),
-            "_good": F.filter(lines, lambda x: ~line_fails(x)),
+            "n_dup_lines": (F.size(own_lines) - F.size(F.array_distinct(own_lines))).cast("long"),
+            "n_repeat_words": repeated_words(F.col(own_words)).cast("long"),
+            own_good: F.filter(lines, lambda x: ~line_fails(x)),
         }
     )
-    out = out.withColumn("clean_text", F.array_join("_good", "\n"))
+    out = out.withColumn("clean_text", F.array_join(own_good, "\n"))
     out = out.withColumns(
         {
             "lost": F.when(F.col("word_chars") > 0, 1 - F.length(squeezed(F.col("clean_text"))) / F.col("word_chars")).otherwise(F.lit(0.0)),
             "base_failed": (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > 100 * max_repeat * F.col("n_words")),
         }
     )
-    return out.withColumn("kept", ~F.col("base_failed") & (F.col("lost") <= max_lost)).drop("_words", "_lines", "_good")
+    return out.withColumn("kept", ~F.col("base_failed") & (F.col("lost") <= max_lost)).drop(own_words, own_lines, own_good)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
