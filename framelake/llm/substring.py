@@ -283,14 +283,18 @@ def located(words: DataFrame, found: DataFrame, shard_words: int = SHARD_WORDS,
     shard = F.pmod(F.xxhash64("anchor"), F.lit(shards)).alias("shard")
     sizes = words.groupBy(shard).agg(F.count("*").alias("n"))
     most = max(shard_stretches, 2 * sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] // shards)
-    # A row a shard, whose number the words of passages bound.
-    salts = written(found.select(shard).distinct().join(sizes, "shard").select("shard", F.ceil(F.col("n") / most).cast("int").alias("salts")), "repeats-salts")
+    # A row a shard, whose number the words of passages bound. A shard with too many words for one automaton, as an anchor that very many passages share makes it, is dealt
+    # into parts: a passage is in one of them, and the shard's stretches go through each.
+    sums = found.groupBy(shard).agg(F.greatest(F.lit(1), F.ceil(F.sum("n_words") / (2 * shard_words))).cast("int").alias("pieces"))
+    salts = written(sums.join(sizes, "shard").select("shard", "pieces", F.ceil(F.col("n") / most).cast("int").alias("salts")), "repeats-salts")
     shared = (F.col("salts") > 1).alias("shared")
     salt = F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")
-    mine = found.select(shard, "pid", "passage").join(salts, "shard").select("shard", salt, shared, "pid", F.lit(None).cast("long").alias("stid"), F.lit(0).cast("long").alias("n"), F.col("passage").alias("words"))
+    piece = F.pmod(F.xxhash64("pid"), F.col("pieces")).cast("int").alias("piece")
+    mine = found.select(shard, "pid", "passage").join(salts, "shard").select("shard", piece, salt, shared, "pid", F.lit(None).cast("long").alias("stid"), F.lit(0).cast("long").alias("n"), F.col("passage").alias("words"))
     salt = F.pmod(F.xxhash64("stid"), F.col("salts")).cast("int").alias("salt")
-    theirs = words.select(shard, "stid", "n", "words").join(salts, "shard").select("shard", salt, shared, F.lit(None).cast("long").alias("pid"), "stid", "n", "words")
-    dealt = mine.unionByName(theirs).repartition(max(parts, shards), "shard", "salt").sortWithinPartitions("shard", "salt", F.col("stid").asc_nulls_first())
+    piece = F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece")
+    theirs = words.select(shard, "stid", "n", "words").join(salts, "shard").select("shard", piece, salt, shared, F.lit(None).cast("long").alias("pid"), "stid", "n", "words")
+    dealt = mine.unionByName(theirs).repartition(max(parts, shards), "shard", "piece", "salt").sortWithinPartitions("shard", "piece", "salt", F.col("stid").asc_nulls_first())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def done(held: list[tuple[int, int, list]], shared: bool) -> list[tuple]:
@@ -307,11 +311,11 @@ def located(words: DataFrame, found: DataFrame, shard_words: int = SHARD_WORDS,
 
         now, some, automaton, held, rows = None, [], None, [], []
         for b in itertools.chain(batches, [None]):
-            for place, salt, shared, pid, stid, n, text in zip(*(c.to_pylist() for c in b.columns), strict=True) if b is not None else [(None,) * 7]:
-                if (place, salt, shared) != now:
+            for place, part, salt, shared, pid, stid, n, text in zip(*(c.to_pylist() for c in b.columns), strict=True) if b is not None else [(None,) * 8]:
+                if (place, part, salt, shared) != now:
                     if held:
-                        rows += done(held, now[2])
-                    now, some, automaton, held = (place, salt, shared), [], None, []
+                        rows += done(held, now[3])
+                    now, some, automaton, held = (place, part, salt, shared), [], None, []
                 if pid is not None:
                     some.append((pid, text))
                 elif stid is not None:

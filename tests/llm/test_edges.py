@@ -131,3 +131,13 @@ def test_stages_on_odd_and_empty_tables(spark, odd, stage):
     n = {"language": None, "near_duplicates": 8, "repeated_passages": 10, "benchmark_leaks": 10, "tokens": 10}[stage]
     assert out.count() == n if n else out.where("text IS NULL OR trim(text) = ''").count() == 0
     assert run(spark, odd.limit(0), SF).count() == 0
+
+
+def test_passages_of_one_anchor_are_dealt_to_several_automata(spark):
+    shared = prose(77, 36).split()
+    rows = [(i, " ".join([*shared, *prose(1000 + i % 40, 30).split()])) for i in range(120)] + [(500, prose(9, 80)), (501, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    few = sorted(map(tuple, substring.digests(docs, shard_words=30).collect()), key=str)
+    assert few == sorted(map(tuple, substring.digests(docs).collect()), key=str)
+    by_id = {r[0]: r for r in few}
+    assert by_id[5][2] == 66 and by_id[500][2] == 0
