@@ -239,3 +239,13 @@ def test_gaps_of_long_clips_are_read_once(spark):
     f = spark.range(60_000).select(F.lit(1).alias("clip_id"), F.col("id").alias("frame_idx"), (F.col("id") % 20_000 == 5).alias("valid"))
     got = [(r.gap_start, r.gap_end, r.prev_valid, r.next_valid) for r in frames.gap_islands(f).orderBy("gap_start").collect()]
     assert got == [(0, 5, None, 5), (6, 20_005, 5, 20_005), (20_006, 40_005, 20_005, 40_005), (40_006, 60_000, 40_005, None)]
+
+
+def test_smoothing_at_each_clips_own_rate(spark):
+    r = random.Random(1)
+    rows = [(c, f, r.random(), fps) for c, fps in ((1, 25.0), (2, 60.0), (3, 0.0), (4, None)) for f in range(20)]
+    df = spark.createDataFrame(rows, "clip_id long, frame_idx long, x double, fps double")
+    got = {(x.clip_id, x.frame_idx): x.smooth for x in one_euro(df, "x", fps="fps").collect()}
+    for c, fps in ((1, 25.0), (2, 60.0), (3, 29.97), (4, 29.97)):
+        one = {(x.clip_id, x.frame_idx): x.smooth for x in one_euro(df.where(F.col("clip_id") == c), "x", fps=fps).collect()}
+        assert {k: v for k, v in got.items() if k[0] == c} == one
