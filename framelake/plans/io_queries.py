@@ -39,8 +39,8 @@ def _finished(stream: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(out)
 
 
-#: Files that a batch of an ordered stream takes.
-FILES = 4
+#: Rows of a file of an ordered stream, of which a batch takes one a file or more.
+ROWS = 100_000
 
 
 def _streamed(df: DataFrame, name: str, files: int = 4) -> DataFrame:
@@ -54,17 +54,18 @@ def _streamed_in_order(df: DataFrame, name: str, column: str, cuts: tuple = ())
     """df as a stream whose batches follow each other in column: written part after part, as files come in by their time. A part has as many
     files as a batch takes, each row numbered into one of them, and one row more in every file, all null, so that none is left out."""
     spark, at = df.sparkSession, folder(df.sparkSession, name)
+    files = max(4, -(-df.count() // ROWS))
     # A label for each file, such that Spark's partitioning by hash gives each a partition of its own.
     label = F.col("id").cast("int")
-    labels = {r.part: r.label for r in spark.range(64).select(label.alias("label"), F.pmod(F.hash(label), F.lit(FILES)).alias("part")).collect()}
-    blank = spark.range(64).where(label.isin(*labels.values())).select(label.alias("_file"), *[F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema.fields])
+    labels = {r.part: r.label for r in spark.range(64 * files).groupBy(F.pmod(F.hash(label), F.lit(files)).alias("part")).agg(F.min(label).alias("label")).collect()}
+    blank = spark.range(64 * files).where(label.isin(*labels.values())).select(label.alias("_file"), *[F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema.fields])
     for low, high in zip((None, *cuts), (*cuts, None), strict=True):
         part = df if low is None else df.where(F.col(column) >= low)
         part = part if high is None else part.where(F.col(column) < high)
-        own = F.element_at(F.array(*map(F.lit, labels.values())), F.pmod(F.xxhash64(*df.columns), F.lit(FILES)).cast("int") + 1)
+        own = F.element_at(F.array(*map(F.lit, labels.values())), F.pmod(F.xxhash64(*df.columns), F.lit(files)).cast("int") + 1)
         dealt = part.withColumn("_file", own).unionByName(blank)
-        dealt.repartition(FILES, "_file").drop("_file").write.mode("append").parquet(at)
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", FILES).parquet(at).where(F.col(column).isNotNull())
+        dealt.repartition(files, "_file").drop("_file").write.mode("append").parquet(at)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(at).where(F.col(column).isNotNull())
 
 
 @query("stream_ingest_finished", "SELECT clip_id, frame_idx, x FROM v_frames")
