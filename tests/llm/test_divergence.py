@@ -47,15 +47,14 @@ def rows_of(df):
     return sorted(tuple(r) for r in df.select("lang", "source", "part", "item", "value", "rank").collect())
 
 
-@pytest.mark.parametrize("bits", [64, 5])
-@pytest.mark.parametrize("tile", [128, 3])
+@pytest.mark.parametrize(("bits", "tile"), [(64, 128), (5, 12)])
 def test_audit_is_plain_counting(spark, monkeypatch, bits, tile):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     odd = [(None, "en", "src1"), ("", None, None), ("Éa é1a A-b a", "xx", None), ("Éa é1a A-b a", "xx", None), (None, "yy", "only"), ("a " * 100_000, "en", "src1"), ("12 !", "en", "numbers alone")]
     more = spark.createDataFrame([(*o, 1) for o in odd], "text string, lang string, source string, df int")
     both = docs.select("text", "lang", "source", F.lit(1).alias("df")).unionByName(more)
     monkeypatch.setattr(D, "TILE", tile)
-    monkeypatch.setattr(D, "PAIR_ROWS", 100)
+    monkeypatch.setattr(D, "PAIR_ROWS", 5000)
     monkeypatch.setattr(D, "HELD", 500)
     want = plain([tuple(r)[:3] for r in both.collect()], 3, 7)
     assert len(want) > 500 and rows_of(D.audit(both, least=3, top=7, bits=bits)) == want
