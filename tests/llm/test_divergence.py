@@ -31,7 +31,8 @@ def plain(rows, least, top):
         for w in kept[lang]:
             n[lang, source][w] += c[w]
             n[lang, None][w] += c[w]
-    share = lambda g, w, lang: 1 + 10**9 * (n[g][w] + 5) // (sum(n[g].values()) + 5 * len(kept[lang]))
+    totals = {g: sum(c.values()) for g, c in n.items()}
+    share = lambda g, w, lang: 1 + 10**9 * (n[g][w] + 5) // (totals.get(g, 0) + 5 * len(kept[lang]))
     out = []
     groups = {(lang, source) for _, lang, source in rows}
     for lang, source in groups:
