@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from framelake import constants as K
 from framelake.functions import text as X
 from framelake.functions.arrays import total
+from framelake.functions.numbers import rounded
 from framelake.operators import audit as A
 from framelake.operators import frames as O
 from framelake.operators import motion as M
@@ -109,7 +110,7 @@ def _(t):
 def _(t):
     loss = F.when(F.col("detected") | (F.col("clip_id") % 3 == 0), F.col("x") / (1000 + 4000 * (F.col("clip_id") % 2))).otherwise(0.0)
     s = Q.loss_stats(t.v_frames.withColumn("loss", loss), "loss")
-    return s.select("clip_id", F.round("median", 5).alias("median"), F.round("p95", 5).alias("p95"), "largest", F.round("covered", 6).alias("covered"), "solved")
+    return s.select("clip_id", rounded(F.col("median"), 5).alias("median"), rounded(F.col("p95"), 5).alias("p95"), "largest", rounded(F.col("covered"), 6).alias("covered"), "solved")
 
 
 _STAGED = "(SELECT s.run_id, s.event_id, s.used, s.util, g.stage, g.start_ts, g.end_ts FROM v_samples s JOIN v_stages g ON s.run_id = g.run_id AND s.ts >= g.start_ts AND s.ts < g.end_ts) j"
