@@ -31,10 +31,12 @@ def best_window(scores: DataFrame, digits: int = 9) -> DataFrame:
 
 
 def flag_depth(df: DataFrame, z: str, size: str | None = None, floor: float = K.DEPTH_FLOOR, stds: float = K.DEPTH_STDS, far: float = K.DEPTH_FAR) -> DataFrame:
-    """df with depth_outlier: size over depth off its clip's median by over stds deviations, or depth over far medians. A clip with a NaN flags nothing."""
+    """df with depth_outlier: size over depth off its clip's median by over stds deviations, or depth over far medians. A clip with a NaN flags nothing; rows of no clip go.
+
+    A clip's figures come from a window over it, in one exchange by clip: no table of frames is sent to all tasks."""
     ratio = (F.col(size) if size else F.lit(None).cast("double")) / F.greatest(F.col(z), F.lit(floor))
-    x = df.withColumn("_r", ratio)
-    stats = x.groupBy("clip_id").agg(F.percentile("_r", 0.5).alias("_med"), F.stddev_pop("_r").alias("_std"), F.percentile(z, 0.5).alias("_zmed"), F.bool_or(F.isnan(z)).alias("_nan"))
-    x = x.join(stats, "clip_id")
+    clip = Window.partitionBy("clip_id")
+    stats = {"_med": F.percentile("_r", 0.5), "_std": F.stddev_pop("_r"), "_zmed": F.percentile(z, 0.5), "_nan": F.bool_or(F.isnan(z))}
+    x = df.where("clip_id IS NOT NULL").withColumn("_r", ratio).withColumns({c: v.over(clip) for c, v in stats.items()})
     off = F.coalesce(F.abs(F.col("_r") - F.col("_med")) > stds * F.col("_std"), F.lit(False))
     return x.withColumn("depth_outlier", ~F.col("_nan") & (off | (F.col(z) > far * F.col("_zmed")))).drop("_r", "_med", "_std", "_zmed", "_nan")
