@@ -20,6 +20,7 @@ def exploded_and_sent(plan, sent=False):
     "key",
     [
         "agg_depth_outliers",
+        "filter_body_valid",
     ],
 )
 def test_frames_are_not_broadcast(spark, key):
