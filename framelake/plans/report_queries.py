@@ -101,7 +101,7 @@ _ACC = "coalesce(kp_count, 21) >= 7 AND coalesce(kp_conf, CAST(1 AS DOUBLE)) >=
 
 @query("agg_ik_coverage", f"SELECT clip_id, round(n_target / greatest(CAST(n_frames AS DOUBLE), 1), 6) AS ik_coverage, n_target / greatest(CAST(n_frames AS DOUBLE), 1) < CAST(0.2 AS DOUBLE) AS failed FROM (SELECT d.clip_id, count(DISTINCT d.frame_idx) AS n_frames, count(DISTINCT CASE WHEN b.body_valid THEN d.frame_idx END) AS n_target FROM v_detections d JOIN v_body b ON d.clip_id = b.clip_id AND d.frame_idx = b.frame_idx WHERE {_ACC} GROUP BY d.clip_id) q")
 def _(t):
-    frames = O.accepted_detections(t.v_detections).groupBy("clip_id", "frame_idx").agg(F.count("*").alias("n")).join(t.v_body.select("clip_id", "frame_idx", "body_valid"), ["clip_id", "frame_idx"])
+    frames = O.accepted_detections(t.v_detections).groupBy("clip_id", "frame_idx").agg(F.count("*").alias("n")).join(t.v_body.select("clip_id", "frame_idx", "body_valid").hint("merge"), ["clip_id", "frame_idx"])
     c = frames.groupBy("clip_id").agg((F.count_if("body_valid") / F.greatest(F.count("*"), F.lit(1))).alias("c"))
     return c.select("clip_id", F.round("c", 6).alias("ik_coverage"), (F.col("c") < K.IK_FAIL).alias("failed"))
 

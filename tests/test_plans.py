@@ -21,6 +21,7 @@ def exploded_and_sent(plan, sent=False):
     [
         "agg_depth_outliers",
         "filter_body_valid",
+        "agg_ik_coverage",
     ],
 )
 def test_frames_are_not_broadcast(spark, key):
