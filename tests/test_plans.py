@@ -22,6 +22,7 @@ def exploded_and_sent(plan, sent=False):
         "agg_depth_outliers",
         "filter_body_valid",
         "agg_ik_coverage",
+        "join_sparse_lookup",
     ],
 )
 def test_frames_are_not_broadcast(spark, key):
