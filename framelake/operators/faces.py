@@ -16,8 +16,8 @@ def choose_box(df: DataFrame) -> DataFrame:
 def eye_pose(faces: DataFrame, points: DataFrame) -> DataFrame:
     """(clip_id, frame_idx, rx, ry, rz): how far the iris landmarks (px, py) lie from the projected iris (vx, vy) of the face, over the box's side.
 
-    faces: clip_id, frame_idx, camera s, tx, ty and box x1, y1, x2, y2. Boxes without a side give zero."""
-    j = points.join(faces, ["clip_id", "frame_idx"])
+    faces: clip_id, frame_idx, camera s, tx, ty and box x1, y1, x2, y2. Boxes without a side give zero. Neither table is sent to all tasks: both have a row a frame or more."""
+    j = points.join(faces.hint("merge"), ["clip_id", "frame_idx"])
     u = F.col("x1") + (F.col("s") * F.col("vx") + F.col("tx") + 1) / 2 * (F.col("x2") - F.col("x1"))
     v = F.col("y1") + (F.col("s") * F.col("vy") + F.col("ty") + 1) / 2 * (F.col("y2") - F.col("y1"))
     side = F.max(F.greatest(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")))

@@ -23,6 +23,7 @@ def exploded_and_sent(plan, sent=False):
         "filter_body_valid",
         "agg_ik_coverage",
         "join_sparse_lookup",
+        "join_eye_pose",
     ],
 )
 def test_frames_are_not_broadcast(spark, key):
