@@ -9,10 +9,12 @@ from framelake import constants as K
 
 
 def sampled(frames: DataFrame, clips: DataFrame, most: int = K.CROP_FRAMES) -> DataFrame:
-    """The frames of clips (clip_id, num_frames; start, if the clip's excerpt doesn't begin at 0) to look at: every max(1, num_frames div most)-th from the start on."""
+    """The frames of clips (clip_id, num_frames; start, if the clip's excerpt doesn't begin at 0) to look at: every max(1, num_frames div most)-th from the start on.
+
+    Frames are dealt by clip and meet a hash table of their share of the clips, so they are neither sent to all tasks nor sorted."""
     about = clips.select("clip_id", F.col("num_frames").alias("_n"), (F.col("start") if "start" in clips.columns else F.lit(0)).alias("_from"))
     place = F.col("frame_idx") - F.col("_from")
-    out = frames.join(about, "clip_id").where((place >= 0) & (place < F.col("_n")) & (place % F.greatest(F.lit(1), F.expr(f"_n div {most}")) == 0))
+    out = frames.join(about.hint("shuffle_hash"), "clip_id").where((place >= 0) & (place < F.col("_n")) & (place % F.greatest(F.lit(1), F.expr(f"_n div {most}")) == 0))
     return out.drop("_n", "_from")
 
 

@@ -24,6 +24,7 @@ def exploded_and_sent(plan, sent=False):
         "agg_ik_coverage",
         "join_sparse_lookup",
         "join_eye_pose",
+        "agg_subject_crop",
     ],
 )
 def test_frames_are_not_broadcast(spark, key):
