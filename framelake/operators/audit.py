@@ -95,23 +95,24 @@ def verdict(same: Column, usable: Column, bad_tight: Column, bad_wide: Column) -
 
 
 def attribute_samples(samples: DataFrame, stages: DataFrame) -> DataFrame:
-    """samples (run_id, ts, ...) with the stage running then: the last one begun, if not ended. Stages of a run don't overlap, so one ordered pass replaces a range join."""
+    """samples (run_id, ts, ...) with the stage running then: the last one begun, if not ended. Stages of a run don't overlap, so one ordered pass replaces a range join;
+    of stages that begin at once the longest counts, as the others end where they begin."""
     from pyspark.sql import Window
 
     kept = samples.columns
     both = samples.withColumns({"_stage": F.lit(None).cast("struct<stage:string,end_ts:timestamp_ntz>"), "_o": F.lit(1)}).unionByName(
         stages.select("run_id", F.col("start_ts").alias("ts"), F.struct("stage", F.col("end_ts").cast("timestamp_ntz").alias("end_ts")).alias("_stage"), F.lit(0).alias("_o")), allowMissingColumns=True
     )
-    last = F.last("_stage", ignorenulls=True).over(Window.partitionBy("run_id").orderBy("ts", "_o").rowsBetween(Window.unboundedPreceding, 0))
+    last = F.last("_stage", ignorenulls=True).over(Window.partitionBy("run_id").orderBy("ts", "_o", F.col("_stage.end_ts").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0))
     return both.withColumn("_last", last).where("_o = 1").select(*kept, F.when(F.col("ts") < F.col("_last.end_ts"), F.col("_last.stage")).alias("stage"))
 
 
 def stage_bench(samples: DataFrame, stages: DataFrame, order=("ts",), start: str = "startup") -> DataFrame:
     """(run_id, stage, peak, util, seconds, underused) from samples (run_id, ts, used, util) and stages (run_id, stage, start_ts, end_ts).
 
-    peak is the most that was used over what the run's first sample, by order, had in use before any stage, at least 0; util the mean. Samples outside stages don't count, nor
+    peak is the most that was used over what the run's first sample with a value, by order, had in use before any stage, at least 0; util the mean. Samples outside stages don't count, nor
     does the stage start. A stage of enough seconds with a low util is underused."""
-    base = samples.groupBy("run_id").agg(F.min_by("used", F.struct(*order)).alias("_base"))
+    base = samples.groupBy("run_id").agg(F.min_by("used", F.when(F.col("used").isNotNull(), F.struct(*order))).alias("_base"))
     seen = attribute_samples(samples, stages).where(F.col("stage") != start).groupBy("run_id", "stage").agg(F.max("used").alias("_most"), F.avg("util").alias("util"))
     micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
     took = stages.select("run_id", "stage", ((micros("end_ts") - micros("start_ts")) / 1e6).alias("seconds"))

@@ -124,7 +124,7 @@ def _(t):
 @query("agg_stage_bench", f"SELECT run_id, stage, round(greatest(max(used) - (SELECT arg_min(b.used, struct_pack(t := b.ts, e := b.event_id)) FROM v_samples b WHERE b.run_id = j.run_id), 0), 4) AS peak, round(avg(util), 4) AS util, epoch(max(end_ts) - max(start_ts))::BIGINT AS seconds, avg(util) < 40 AND floor(epoch(max(end_ts) - max(start_ts))) >= 5 AS underused FROM {_STAGED} WHERE stage <> 'startup' GROUP BY run_id, stage")
 def _(t):
     s = A.stage_bench(t.v_samples, t.v_stages.where("end_ts IS NOT NULL"), ("ts", "event_id"))
-    return s.select("run_id", "stage", F.round("peak", 4).alias("peak"), F.round("util", 4).alias("util"), F.round("seconds").cast("long").alias("seconds"), "underused")
+    return s.select("run_id", "stage", rounded(F.col("peak"), 4).alias("peak"), rounded(F.col("util"), 4).alias("util"), F.rint("seconds").cast("long").alias("seconds"), "underused")
 
 
 @query("agg_nonfinite_guard", "SELECT clip_id, count(*) AS n, min(frame_idx) AS first_frame FROM v_body WHERE vec % 37 = 0 GROUP BY clip_id")

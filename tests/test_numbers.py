@@ -5,6 +5,7 @@ import random
 from fractions import Fraction
 
 import duckdb
+import pytest
 from pyspark.sql import functions as F
 
 from framelake.functions.numbers import fused, rounded
@@ -28,6 +29,36 @@ def test_losses_on_a_rounding_border_are_those_of_the_sql(spark, tmp_path):
     assert len(ours) == len(clips) and ours == theirs
 
 
+@pytest.mark.parametrize("key", ["agg_stage_bench", "join_range_stage_samples"])
+def test_stages_that_begin_at_once_and_borders_of_means_are_those_of_the_sql(spark, tmp_path, key):
+    rng, start, rows = random.Random(11), datetime.datetime(2024, 1, 1), []
+
+    def add(run, seconds, kind, value=1.0, k=0):
+        rows.append((len(rows), start + datetime.timedelta(seconds=seconds), run, kind, value, f'{{"k": {k}}}'))
+
+    for run in range(40):  # several events of a time, among them stages, dealt in any order
+        for _ in range(6):
+            for _ in range(rng.randint(1, 6)):
+                at = rng.randint(0, 20) / 2
+                for _ in range(rng.randint(1, 4)):
+                    add(run, at, rng.choice(["signup", "view"]), rng.choice([None, rng.randint(0, 9000) / 100]), rng.randint(0, 99))
+    for run in range(100, 160):  # a mean over 160 samples lies on the border of four digits
+        add(run, 0, "signup", 1.0, 0)
+        for i in range(159):
+            add(run, 1 + i / 1000, "view", 2.0, rng.randint(0, 99))
+        add(run, 2.5 + run % 4, "signup", 3.0, 0)
+    rng.shuffle(rows)
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string").coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+    found = con.execute(ORACLE_SQL[key])
+    names = [c[0] for c in found.description]
+    theirs = sorted(repr(r) for r in found.fetchall())
+    ours = sorted(repr(tuple(r[n] for n in names)) for r in QUERIES[key](spark, str(tmp_path)).collect())
+    assert len(theirs) > 100 and ours == theirs
+
+
 def test_fused_product(spark):
     rng = random.Random(5)
     rows = [tuple(rng.uniform(-1, 1) * 2.0 ** rng.randint(-30, 30) for _ in range(3)) for _ in range(3000)]
