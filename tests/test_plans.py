@@ -26,6 +26,7 @@ def exploded_and_sent(plan, sent=False):
         "join_eye_pose",
         "agg_subject_crop",
         "join_depth_correct",
+        "agg_reject_reasons",
     ],
 )
 def test_frames_are_not_broadcast(spark, key):
