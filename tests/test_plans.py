@@ -28,6 +28,7 @@ def exploded_and_sent(plan, sent=False):
         "join_depth_correct",
         "agg_reject_reasons",
         "join_anchor_targets",
+        "agg_ring_loss",
     ],
 )
 def test_frames_are_not_broadcast(spark, key):
