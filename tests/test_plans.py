@@ -52,3 +52,9 @@ def test_rows_without_a_frame_rest(spark):
     got = {r.frame_idx: r.filled for r in fill_gaps(df, "pose", "valid", F.array(*(F.lit(0.0) for _ in range(3))), slerp_poses).collect()}
     assert got[None] == [0.0] * 3 and got[1] == [0.2] * 3 and abs(got[2][0] - 0.3) < 1e-9
     assert abs(got[0][0] - 0.2 / 31) < 1e-9 and abs(got[4][0] - 0.4 * 30 / 31) < 1e-9
+
+
+def test_frames_of_a_small_table_are_made_by_several_tasks(spark):
+    from framelake.plans.fixtures import Tables
+
+    assert Tables(spark, SF).v_body.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
